@@ -1,0 +1,5 @@
+"""Deliveries are bounded inputs read whole, so there is no streaming operator.
+
+Every operator of :mod:`tablemint.operators` made only of projections (the functions, rule
+matching, entity validation) can be applied to a streaming DataFrame unchanged.
+"""
