@@ -23,7 +23,7 @@ def named_pairs(pairs: Column | str, name: str = "name") -> Column:
 
 def pair_value(pairs: Column | str, wanted: str, name: str = "name", value: str = "value") -> Column:
     """The value under one name; the last duplicate wins."""
-    return F.element_at(F.filter(_col(pairs), lambda p: p[name] == wanted), -1)[value]
+    return F.try_element_at(F.filter(_col(pairs), lambda p: p[name] == wanted), F.lit(-1))[value]
 
 
 def pairs_to_map(pairs: Column | str, name: str = "name", value: str = "value") -> Column:

@@ -95,7 +95,7 @@ def upgrade_context(contexts: DataFrame, target: str) -> tuple[DataFrame, DataFr
         .select("entity_id", F.inline(hoisted))
         .select("entity_id", "edge_key", F.explode("targets").alias("to_type", "_refs"))
         .select("entity_id", "edge_key", "to_type", F.explode("_refs").alias("_ref"))
-        .select("entity_id", "edge_key", "to_type", F.element_at(F.col("_ref.identifier"), 1)["identifierValue"].alias("to_value"))
+        .select("entity_id", "edge_key", "to_type", F.try_element_at(F.col("_ref.identifier"), F.lit(1))["identifierValue"].alias("to_value"))
     )
     return entities, edges
 

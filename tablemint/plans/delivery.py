@@ -26,6 +26,7 @@ from ..operators.order import ORDER
 from ..operators.quality import distinct_values, duplicate_keys, is_copied, leaked_fields, sentinel_tally
 from ..operators.reconcile import Reconciliation, cross_tab
 from ..operators.rules import SignatureRule
+from ..session import stage
 from ..sources.csv import CORRUPT, csv_rows
 from ..sources.xml import text_schema, xml_rows
 from .fields import (
@@ -237,8 +238,13 @@ class Delivery:
         )
 
 
-def read_delivery(spark: SparkSession, path: str | list[str]) -> Delivery:
-    """Scan the primary exports of any number of days."""
+def read_delivery(spark: SparkSession, path: str | list[str], staged: bool = False) -> Delivery:
+    """Scan the primary exports of any number of days.
+
+    With ``staged`` the four scans are stored as tables first, so that XML is parsed once however
+    many tables, checks and entities are made from it.
+    """
+    keep = stage if staged else lambda df, name: df
     header = xml_rows(spark, path, PRIMARY_ROOT, text_schema(HEADER_TAGS)).select(
         "file_path",
         *[
@@ -247,6 +253,8 @@ def read_delivery(spark: SparkSession, path: str | list[str]) -> Delivery:
         ],
     )
 
+    header = keep(header, "header")
+
     character = ["character_in_scene_number", "character_in_scene_name"]
     scene_schema = text_schema([f.tag for f in scene_fields()], {"scene_shoot_day_credited": None})
     scene_schema = scene_schema.add(
@@ -255,7 +263,10 @@ def read_delivery(spark: SparkSession, path: str | list[str]) -> Delivery:
     # A take names its scenes in elements of the same tag that hold text only.
     elements = xml_rows(spark, path, "scene", scene_schema).filter("_VALUE is null")
     filled = [F.col(f"`{f.tag}`") for f in scene_fields()]
-    elements = elements.filter(F.coalesce(*filled, F.col("scene_shoot_day_credited")[0], F.to_json("characters_in_scene")).isNotNull())
+    elements = elements.filter(
+        F.coalesce(*filled, F.get("scene_shoot_day_credited", F.lit(0)), F.to_json("characters_in_scene")).isNotNull()
+    )
+    elements = keep(elements.drop("_VALUE"), "scenes")
     credited = F.transform("scene_shoot_day_credited", clean_text)
     scenes = elements.select(
         *pick(scene_fields()),
@@ -275,13 +286,13 @@ def read_delivery(spark: SparkSession, path: str | list[str]) -> Delivery:
         F.struct(F.col(ORDER).alias("scene"), F.col("_position").alias("position")).alias(ORDER),
     )
 
-    days = xml_rows(spark, path, "shoot_day", text_schema([f.tag for f in day_fields()]))
+    days = keep(xml_rows(spark, path, "shoot_day", text_schema([f.tag for f in day_fields()])), "days")
 
     take_schema = text_schema([f.tag for f in take_fields()])
     take_schema = take_schema.add(
         "related_scenes", text_schema(["episode"], {"scene": None})
     ).add("characters_in_scenes", text_schema([], {"character": ["character_number", "character_name"]}))
-    shots = xml_rows(spark, path, "shot_properties", take_schema)
+    shots = keep(xml_rows(spark, path, "shot_properties", take_schema), "shots")
     picked = shots.select(
         *pick(take_fields()),
         _related_scenes("related_scenes.scene").alias("narrativeScene"),

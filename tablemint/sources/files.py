@@ -55,7 +55,7 @@ def opening_signature(df: DataFrame, content: str) -> DataFrame:
     Only the first 4096 bytes are looked at, which is what a signature is.  The cut is in bytes;
     a character cut in half reads as a replacement.
     """
-    head = F.decode(F.substring(F.col(content).cast("binary"), 1, SIGNATURE_BYTES), "UTF-8")
+    head = F.make_valid_utf8(F.substring(F.col(content).cast("binary"), 1, SIGNATURE_BYTES).cast("string"))
     lines = F.filter(F.transform(F.split("head", r"\r?\n"), trimmed), lambda line: line != "")
     body = F.regexp_replace("head", r"<\?xml[^?]*\?>", "")
     return (

@@ -39,3 +39,8 @@ def json_bundle(spark: SparkSession, path: str | list[str], schema: T.StructType
     """A bundle of JSON arrays, one file per entity type."""
     reader = spark.read.option("multiLine", "true")
     return (reader.schema(schema) if schema is not None else reader).json(path)
+
+
+def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """A bundle written as one JSON object per line, which large files can be split at."""
+    return spark.read.schema(schema).json(path)

@@ -62,8 +62,8 @@ def compare(spark, con, sf_dir: str, name: str) -> str | None:
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(columns)}"
     if got != want:
-        extra = [r for r in got if r not in set(want)][:3]
-        missing = [r for r in want if r not in set(got)][:3]
+        extra = sorted(set(got) - set(want))[:3]
+        missing = sorted(set(want) - set(got))[:3]
         return f"{len(got)} rows instead of {len(want)}; only here {extra}; only in SQL {missing}"
     if not got:
         return "both sides are empty"
