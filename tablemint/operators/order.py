@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import present
 
@@ -25,7 +26,15 @@ def order_of(df: DataFrame) -> Column:
     """The recorded order, or all columns as a total order."""
     if ORDER in df.columns:
         return F.col(ORDER)
-    return F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    return F.struct(*[_orderable(df, c) for c in sorted(df.columns)])
+
+
+def _orderable(df: DataFrame, name: str) -> Column:
+    """The column itself; a map, which has no order, as its sorted entries."""
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, T.MapType):
+        return F.array_sort(F.map_entries(column)).alias(name)
+    return column
 
 
 def data_columns(df: DataFrame) -> list[str]:

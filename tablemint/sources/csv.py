@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,12 +13,16 @@ from ..functions import clean_text
 from ..operators.order import ORDER
 
 CORRUPT = "_malformed"
+# A well-formed cell loses its enclosing quotes.  One that still has them, with more quotes
+# inside, was written without escaping the inner ones.
+UNESCAPED = r'(?s)^".*".*"'
 
 
 def csv_rows(spark: SparkSession, path: str | list[str], columns: list[str] | None = None, multiline: bool = True) -> DataFrame:
     """Rows keyed by header name, all text, with ``_malformed`` set on rows that do not parse.
 
-    A malformed row stays in the data with what could be read of it.  ``multiline`` keeps line
+    A malformed row stays in the data with what could be read of it: a row with too few or too
+    many cells, or with quotes inside a quoted cell that are not escaped.  ``multiline`` keeps line
     breaks inside quoted cells; without such cells turn it off, and large files are split.
     """
     reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multiline).lower())
@@ -27,9 +34,12 @@ def csv_rows(spark: SparkSession, path: str | list[str], columns: list[str] | No
         .schema(schema)
         .csv(path)
     )
+    cells = [F.col(f"`{c}`") for c in names]
+    unescaped = reduce(or_, [F.coalesce(c.rlike(UNESCAPED), F.lit(False)) for c in cells])
+    malformed = F.coalesce(F.col(CORRUPT), F.when(unescaped, F.concat_ws(",", *cells)))
     return rows.select(
         *[clean_text(f"`{c}`").alias(c) for c in names],
-        F.col(CORRUPT),
+        malformed.alias(CORRUPT),
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(
             F.col("_metadata.file_path").alias("file"),

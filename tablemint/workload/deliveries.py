@@ -248,11 +248,13 @@ def _take_columns(text: str) -> dict[str, str]:
 
 
 def _write_xml(df: DataFrame, out: str, root: str, row: str) -> str:
-    df.write.format("xml").option("rootTag", root).option("rowTag", row).option("attributePrefix", "@").save(out)
+    """One document per task, so that reading them back uses every core."""
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spread.write.format("xml").option("rootTag", root).option("rowTag", row).option("attributePrefix", "@").save(out)
     return out
 
 
-def _delivery(t: Tables) -> Delivery:
+def _delivery(t: Tables, staged: bool = False) -> Delivery:
     """Takes from lines, scenes from suppliers, shoot days from regions."""
     out = _folder(t, "delivery")
     scene = F.when(F.col("o") % 3 == 0, F.array(F.col("o") % 50, F.col("o") % 50 + 1)).otherwise(F.array(F.col("o") % 50))
@@ -283,7 +285,7 @@ def _delivery(t: Tables) -> Delivery:
         _write_xml(scenes, f"{out}/scenes", PRIMARY_ROOT, "scene"),
         _write_xml(days, f"{out}/days", PRIMARY_ROOT, "shoot_day"),
     ]
-    return read_delivery(t.spark, paths, staged=True)
+    return read_delivery(t.spark, paths, staged)
 
 
 _TAKES_SQL = f"""lines as (select l_orderkey as o, l_linenumber as n from lineitem),
@@ -366,7 +368,7 @@ def delivery_notes(t: Tables) -> DataFrame:
     Duplicate take keys are counted per file, and how a table is cut into files is Spark's choice,
     so they are covered by ``dup_keys`` and by the fixtures.
     """
-    notes = _delivery(t).notes().filter("kind <> 'duplicateTakeKey'")
+    notes = _delivery(t, staged=True).notes().filter("kind <> 'duplicateTakeKey'")
     tally = number_or_null(F.regexp_extract("detail", r"^(\d+) value", 1)).cast("bigint")
     named = F.col("kind").isin("sentinelNull", "objectDescription", "duplicatedField")
     return notes.groupBy("kind", F.when(named, F.col("where")).otherwise("").alias("field")).agg(
@@ -398,7 +400,7 @@ def delivery_tables(t: Tables) -> DataFrame:
 
     frames = [
         df.agg(F.count("*").alias("value")).select(F.lit(name).alias("name"), F.lit(len(data_columns(df))).cast("bigint").alias("columns"), "value")
-        for name, df in _delivery(t).tables().items()
+        for name, df in _delivery(t, staged=True).tables().items()
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -423,7 +425,7 @@ def delivery_tables(t: Tables) -> DataFrame:
 def delivery_entities(t: Tables) -> DataFrame:
     """Delivery to tables to entities to seal, with the built-in mappings."""
     mappings = [m for m in delivery_mappings() if m.table != "assets"]
-    tables = {name: stage(df, name) for name, df in _delivery(t).tables().items()}
+    tables = {name: stage(df, name) for name, df in _delivery(t, staged=True).tables().items()}
     built = build_entities(tables, mappings, NAMESPACE)
     seal = seal_bundle(built, {"Slate": [EntityRule("label", required=True)]})
     edges = report_rows(built.edges, "edges", F.concat_ws(" ", "from_type", "to_type"))
