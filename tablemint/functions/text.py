@@ -6,7 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The white space a delivery may contain, wider than the space Spark's trim
-# removes.  The class is written so that Java and RE2 read it alike.
+# removes, as characters and as a class that Java and RE2 read alike.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 SPACE = (
     r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
     r"\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -17,6 +21,8 @@ CURLY_SINGLE = "‘’‛"
 CURLY_DOUBLE = "“”"
 
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Leading zeros, a fraction of zeros only, and zeros that end a fraction.
+IDLE_ZEROS = r"^0+(?=\d)|\.0+$|(?<=\.\d{0,30}[1-9])0+$"
 
 
 def _col(value: Column | str) -> Column:
@@ -25,7 +31,7 @@ def _col(value: Column | str) -> Column:
 
 def trimmed(value: Column | str) -> Column:
     """Strip every kind of white space from both ends."""
-    return F.regexp_replace(_col(value).cast("string"), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(value).cast("string"), F.lit(WHITE_SPACE))
 
 
 def clean_text(value: Column | str) -> Column:
@@ -89,14 +95,26 @@ def number_text(number: Column) -> Column:
     ).otherwise(number.cast("string"))
 
 
+def plain_number_text(text: Column) -> Column:
+    """Canonical spelling of an unsigned decimal text: no idle zeros.
+
+    Up to fifteen digits a decimal and its double have the same shortest spelling, so the text is
+    edited; longer ones go through the double.
+    """
+    return F.when(F.length(text) > 15, number_text(text.try_cast("double"))).otherwise(
+        F.regexp_replace(text, IDLE_ZEROS, "")
+    )
+
+
 def as_number(value: Column | str) -> Column:
     """``23.976`` and ``23.9760`` become one spelling; other text is left as it is."""
     value = _col(value)
     text = trimmed(value)
     hexadecimal = F.conv(F.substr(text, F.lit(3)), 16, 10)
     return (
-        F.when(text.rlike(r"^0[xX][0-9a-fA-F]{1,13}$"), hexadecimal)
+        F.when(text.rlike(r"^\d{1,12}(\.\d{1,2})?$|^\d{1,8}\.\d{1,6}$"), F.regexp_replace(text, IDLE_ZEROS, ""))
         .when(text.rlike(PLAIN_NUMBER), number_text(text.try_cast("double")))
+        .when(text.rlike(r"^0[xX][0-9a-fA-F]{1,13}$"), hexadecimal)
         .otherwise(value)
     )
 

@@ -174,9 +174,15 @@ def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], ignore:
 
 
 def run_difference(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows two runs do not share, as multisets; empty when a re-run changed nothing."""
-    second = second.select(*first.columns)
+    """Rows two runs do not share, as multisets; empty when a re-run changed nothing.
+
+    One aggregation over both runs, which counts equal rows before the shuffle.  ``copies`` says
+    how many more of a row the run named in ``only_in`` has.
+    """
+    signed = first.withColumn("_n", F.lit(1)).unionAll(second.select(*first.columns).withColumn("_n", F.lit(-1)))
+    counted = signed.groupBy(*[f"`{c}`" for c in first.columns]).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
     return (
-        first.exceptAll(second).withColumn("only_in", F.lit("first"))
-        .unionAll(second.exceptAll(first).withColumn("only_in", F.lit("second")))
+        counted.withColumn("only_in", F.when(F.col("_n") > 0, "first").otherwise("second"))
+        .withColumn("copies", F.abs("_n"))
+        .drop("_n")
     )

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -20,34 +19,13 @@ from pyspark.sql import types as T
 from ..functions import cast_as, entity_id, is_present, present, split_list
 from ..operators.edges import edge_rows, edge_targets, inverse_edges, resolved, unresolved
 from ..operators.notes import note_rows
+from ..operators.quality import report_rows
 from ..operators.order import ORDER, data_columns, first_match, order_of
 from .mapping import Lookup, Mapping, MappingError, Source, check_mappings
 
 TEXT_PATH = re.compile(r"^(\w+)\[\d+\]\.(author|title|text)$")
 TEXT_FIELDS = ("author", "title", "text")
-
-
-@dataclass(frozen=True)
-class Built:
-    """The canonical result of a build.
-
-    ``entities[type]`` has ``key``, ``entity_id`` and one column per property path; ``texts``,
-    ``custom``, ``edges`` and ``identifiers`` are shared long tables; ``notes`` says what was
-    withheld.  Frames a run does not have are None.
-    """
-
-    entities: dict[str, DataFrame]
-    identifiers: DataFrame
-    texts: DataFrame | None
-    custom: DataFrame | None
-    edges: DataFrame | None
-    unresolved: DataFrame | None
-    notes: DataFrame | None
-
-    def counts(self) -> DataFrame:
-        from ..operators.quality import table_counts
-
-        return table_counts(self.entities, "entities")
+EdgeRules = dict[tuple[str, str], tuple[str, str]]
 
 
 def _quoted(name: str) -> Column:
@@ -232,6 +210,15 @@ def _entry_values(columns: list[str], value) -> Column:
     return F.array_compact(F.array(*entries))
 
 
+def _open_columns(mapping: Mapping, table: DataFrame) -> list[str]:
+    """Map columns the mapping carries; only a row by itself says what an open column holds."""
+    carried = mapping.rest_columns([c for c in data_columns(table) if c != "key"])
+    maps = [c for c in carried if isinstance(table.schema[c].dataType, T.MapType)]
+    if maps and mapping.grain == "group":
+        raise MappingError(f"{mapping.entity_type}: open columns {maps} can only be carried at row grain")
+    return maps
+
+
 def _open_entries(mapping: Mapping, column: str) -> Column:
     """Entries of a map column, each of them held to the mapping's allow and deny lists."""
     skip = list(mapping.consumed() | set(mapping.custom.exclude))
@@ -255,11 +242,8 @@ def _custom(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     At group grain a column is carried only when it is present on every row and equal on all of
     them.  At row grain each distinct row gives an entry, as array members are kept by value.
     """
-    columns = mapping.rest_columns([c for c in data_columns(rows) if c != "key"])
-    maps = [c for c in columns if isinstance(rows.schema[c].dataType, T.MapType)]
-    columns = [c for c in columns if c not in maps]
-    if maps and mapping.grain == "group":
-        raise MappingError(f"{mapping.entity_type}: open columns {maps} can only be carried at row grain")
+    maps = _open_columns(mapping, rows)
+    columns = [c for c in mapping.rest_columns([c for c in data_columns(rows) if c != "key"]) if c not in maps]
     if not columns and not maps:
         return None
     text = lambda c: present(_quoted(c)).cast("string")
@@ -375,71 +359,130 @@ def _edge_pairs(mapping: Mapping, edge, rows: DataFrame, tables: dict[str, DataF
     return pairs.join(own, "from_key", "left_semi")
 
 
+class Built:
+    """The canonical result of a build; each frame is planned when it is first asked for.
+
+    ``entities[type]`` has ``key``, ``entity_id`` and one column per property path; ``texts``,
+    ``custom``, ``edges`` and ``identifiers`` are shared long tables; ``notes`` says what was
+    withheld and ``unresolved`` which edge targets were not built.  Frames that the mappings give
+    no reason for are None.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame], mappings: list[Mapping], namespace: str, scope: str, edge_rules: EdgeRules | None):
+        self._tables = tables
+        self._namespace = namespace
+        self._scope = scope
+        self._edge_rules = edge_rules
+        self._rows = [(m, keyed_rows(m, tables[m.table])) for m in mappings]
+
+    @cached_property
+    def _folded(self) -> dict[str, DataFrame]:
+        """Entities by type, the mappings of one type folded in order."""
+        folded: dict[str, DataFrame] = {}
+        for m, rows in self._rows:
+            found = _entities(m, rows, self._tables)
+            held = folded.get(m.entity_type)
+            folded[m.entity_type] = found if held is None else fold_entities(held, found)
+        return folded
+
+    @cached_property
+    def _keys(self) -> dict[str, DataFrame]:
+        """The keys of each type; all that an edge or an identifier needs of an entity."""
+        keys: dict[str, list[DataFrame]] = {}
+        for m, rows in self._rows:
+            keys.setdefault(m.entity_type, []).append(rows.select("key"))
+        return {t: reduce(DataFrame.unionByName, frames).distinct() for t, frames in keys.items()}
+
+    @cached_property
+    def entities(self) -> dict[str, DataFrame]:
+        return {
+            t: df.select(
+                "key", entity_id(t, "key", self._namespace).alias("entity_id"),
+                *[_quoted(c) for c in df.columns if c != "key"],
+            )
+            for t, df in self._folded.items()
+        }
+
+    @cached_property
+    def identifiers(self) -> DataFrame:
+        return _union(
+            df.select(
+                F.lit(t).alias("entity_type"), entity_id(t, "key", self._namespace).alias("entity_id"),
+                F.lit(0).alias("ordinal"), F.lit(self._scope).alias("scope"),
+                entity_id(t, "key", self._namespace).alias("value"),
+            )
+            for t, df in self._keys.items()
+        )
+
+    @cached_property
+    def texts(self) -> DataFrame | None:
+        found = [t for t in (_texts(m, rows) for m, rows in self._rows) if t is not None]
+        # Two mappings of one type may state the same text.
+        return _union(found).distinct() if len(found) > 1 else _union(found)
+
+    @cached_property
+    def custom(self) -> DataFrame | None:
+        return _union(_custom(m, rows) for m, rows in self._rows)
+
+    @cached_property
+    def notes(self) -> DataFrame | None:
+        return _union(f(m, rows) for m, rows in self._rows for f in (_withheld_unanimous, _withheld_single))
+
+    def _declared_edges(self):
+        """``(mapping, edge, pairs, predicates)`` of every edge that may be built."""
+        for m, rows in self._rows:
+            for e in m.edges:
+                rule = (self._edge_rules or {}).get((m.entity_type, e.to))
+                if self._edge_rules is not None and rule is None:
+                    continue
+                if not e.external and e.to not in self._keys:
+                    continue
+                yield m, e, _edge_pairs(m, e, rows, self._tables), rule or ("has", "for")
+
+    @cached_property
+    def edges(self) -> DataFrame | None:
+        frames = []
+        for m, e, pairs, (forward, backward) in self._declared_edges():
+            found = pairs if e.external else resolved(pairs, self._keys[e.to])
+            rows = edge_rows(found, m.entity_type, e.to, self._namespace, e.edge_key or forward, e.external)
+            frames.append(rows)
+            if e.inverse and not e.external:
+                frames.append(inverse_edges(rows, backward))
+        return _union(frames)
+
+    @cached_property
+    def unresolved(self) -> DataFrame | None:
+        return _union(
+            unresolved(pairs, self._keys[e.to]).select(
+                F.lit(m.entity_type).alias("from_type"), "from_key", F.lit(e.to).alias("to_type"), "to_key"
+            )
+            for m, e, pairs, _ in self._declared_edges()
+            if not e.external
+        )
+
+    @property
+    def types(self) -> list[str]:
+        return list(self._keys)
+
+    def counts(self) -> DataFrame:
+        """``report`` rows: entities per type."""
+        return report_rows(self.identifiers.filter("ordinal = 0"), "entities", "entity_type")
+
+
 def build_entities(
     tables: dict[str, DataFrame],
     mappings: list[Mapping],
     namespace: str,
     scope: str = "local",
-    edge_rules: dict[tuple[str, str], tuple[str, str]] | None = None,
+    edge_rules: EdgeRules | None = None,
 ) -> Built:
-    """Build every mapping's entities, then the edges between them.
+    """Check the mappings and plan their entities and the edges between them.
 
     Mapping order decides only which mapping owns a property that two of them state.  An edge not
     in ``edge_rules``, when those are given, is not allowed and is not built.
     """
     check_mappings(mappings, {n: t.columns for n, t in tables.items()})
-    entities: dict[str, DataFrame] = {}
-    texts, custom, notes, built = [], [], [], []
     for m in mappings:
-        rows = keyed_rows(m, tables[m.table])
-        found = _entities(m, rows, tables)
-        held = entities.get(m.entity_type)
-        entities[m.entity_type] = found if held is None else fold_entities(held, found)
-        texts.append(_texts(m, rows))
-        custom.append(_custom(m, rows))
-        notes += [_withheld_unanimous(m, rows), _withheld_single(m, rows)]
-        built.append((m, rows))
-
-    edges, missing = [], []
-    for m, rows in built:
-        for e in m.edges:
-            rule = (edge_rules or {}).get((m.entity_type, e.to))
-            if edge_rules is not None and rule is None:
-                continue
-            forward, backward = rule or ("has", "for")
-            pairs = _edge_pairs(m, e, rows, tables)
-            if not e.external:
-                targets = entities.get(e.to)
-                if targets is None:
-                    continue
-                missing.append(
-                    unresolved(pairs, targets).select(
-                        F.lit(m.entity_type).alias("from_type"), "from_key", F.lit(e.to).alias("to_type"), "to_key"
-                    )
-                )
-                pairs = resolved(pairs, targets)
-            rows_out = edge_rows(pairs, m.entity_type, e.to, namespace, e.edge_key or forward, e.external)
-            edges.append(rows_out)
-            if e.inverse and not e.external:
-                edges.append(inverse_edges(rows_out, backward))
-
-    named = {t: df.select("key", entity_id(t, "key", namespace).alias("entity_id"),
-                          *[_quoted(c) for c in df.columns if c != "key"]) for t, df in entities.items()}
-    identifiers = _union(
-        df.select(
-            F.lit(t).alias("entity_type"), "entity_id", F.lit(0).alias("ordinal"),
-            F.lit(scope).alias("scope"), F.col("entity_id").alias("value"),
-        )
-        for t, df in named.items()
-    )
-    text_rows = _union(texts)
-    return Built(
-        entities=named,
-        identifiers=identifiers,
-        # Two mappings of one type may state the same text.
-        texts=text_rows.distinct() if text_rows is not None and sum(t is not None for t in texts) > 1 else text_rows,
-        custom=_union(custom),
-        edges=_union(edges),
-        unresolved=_union(missing),
-        notes=_union(notes),
-    )
+        if m.custom and m.grain == "group":
+            _open_columns(m, tables[m.table])
+    return Built(tables, mappings, namespace, scope, edge_rules)

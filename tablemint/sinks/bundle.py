@@ -28,7 +28,7 @@ def _facts(built: Built, scope: str) -> DataFrame | None:
                 F.col("from_type").alias("entity_type"), F.col("from_key").alias("key"),
                 F.lit("edges").alias("slot"), F.struct("edge_key", "to_type").alias("sub"),
                 F.to_json(reference).alias("json"),
-            ).distinct()
+            )
         )
     none = F.struct(F.lit(None).cast("string").alias("edge_key"), F.lit(None).cast("string").alias("to_type"))
     if built.texts is not None:
@@ -75,42 +75,27 @@ def nested_records(built: Built, schema_version: str, scope: str = "local", per_
         body = base.withColumn("_chunk", F.lit(0)).withColumn("_parts", F.lit(""))
     else:
         sizes = facts.groupBy("entity_type", "key").agg(F.ceil(F.count("*") / per_record).cast("int").alias("_chunks"))
-        spread = facts.join(sizes, ["entity_type", "key"]).withColumn(
-            "_chunk", F.pmod(F.xxhash64("json", "sub"), F.col("_chunks")).cast("int")
-        )
-        listed = spread.groupBy("entity_type", "key", "_chunk", "slot", "sub").agg(
-            F.array_join(F.array_sort(F.collect_list("json")), ",").alias("_members")
+        # Equal facts hash to one chunk, where collecting a set drops the repeats.  All groupings
+        # below refine entity and chunk, so this one exchange serves them all.
+        spread = (
+            facts.join(sizes, ["entity_type", "key"])
+            .withColumn("_chunk", F.pmod(F.xxhash64("json", "sub"), F.col("_chunks")).cast("int"))
+            .repartition("entity_type", "key", "_chunk")
         )
         quoted = lambda name: F.concat(F.lit('"'), name, F.lit('":'))
-        # Predicates and types per entity come from the mappings, so these lists are short.
-        by_predicate = listed.groupBy(
-            "entity_type", "key", "_chunk", "slot", F.col("sub.edge_key").alias("edge_key")
-        ).agg(
-            F.array_join(
-                F.array_sort(
-                    F.collect_list(
-                        F.when(
-                            F.col("sub.to_type").isNotNull(),
-                            F.concat(quoted(F.col("sub.to_type")), F.lit("["), "_members", F.lit("]")),
-                        ).otherwise(F.concat(F.lit("["), "_members", F.lit("]")))
-                    )
-                ),
-                ",",
-            ).alias("_node")
+        joined = lambda members: F.array_join(F.array_sort(members), ",")
+        listed = spread.groupBy("entity_type", "key", "_chunk", "slot", "sub").agg(
+            F.concat(F.lit("["), joined(F.collect_set("json")), F.lit("]")).alias("_list")
         )
-        slots = by_predicate.groupBy("entity_type", "key", "_chunk", "slot").agg(
-            F.array_join(
-                F.array_sort(
-                    F.collect_list(
-                        F.when(
-                            F.col("edge_key").isNotNull(),
-                            F.concat(quoted(F.col("edge_key")), F.lit("{"), "_node", F.lit("}")),
-                        ).otherwise(F.col("_node"))
-                    )
-                ),
-                ",",
-            ).alias("_slot")
+        # Predicates and types of an entity come from the mappings, so these lists are short.
+        node = F.when(F.col("sub.to_type").isNotNull(), F.concat(quoted(F.col("sub.to_type")), "_list")).otherwise(F.col("_list"))
+        nodes = listed.groupBy("entity_type", "key", "_chunk", "slot", F.col("sub.edge_key").alias("edge_key")).agg(
+            joined(F.collect_list(node)).alias("_node")
         )
+        predicate = F.when(
+            F.col("edge_key").isNotNull(), F.concat(quoted(F.col("edge_key")), F.lit("{"), "_node", F.lit("}"))
+        ).otherwise(F.col("_node"))
+        slots = nodes.groupBy("entity_type", "key", "_chunk", "slot").agg(joined(F.collect_list(predicate)).alias("_slot"))
         wrapped = F.when(F.col("slot") == "edges", F.concat(F.lit("{"), "_slot", F.lit("}"))).otherwise(F.col("_slot"))
         parts = slots.groupBy("entity_type", "key", "_chunk").agg(
             F.concat(F.lit(","), F.array_join(F.array_sort(F.collect_list(F.concat(quoted(F.col("slot")), wrapped))), ",")).alias("_parts")

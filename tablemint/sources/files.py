@@ -56,11 +56,12 @@ def opening_signature(df: DataFrame, content: str) -> DataFrame:
     a character cut in half reads as a replacement.
     """
     head = F.make_valid_utf8(F.substring(F.col(content).cast("binary"), 1, SIGNATURE_BYTES).cast("string"))
-    lines = F.filter(F.transform(F.split("head", r"\r?\n"), trimmed), lambda line: line != "")
+    # Trimmed, the opening starts with its first line that is not blank.
+    first_line = trimmed(F.substring_index(trimmed("head"), "\n", 1))
     body = F.regexp_replace("head", r"<\?xml[^?]*\?>", "")
     return (
         df.withColumn("head", head)
-        .withColumn("first_line", F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")))
+        .withColumn("first_line", F.coalesce(first_line, F.lit("")))
         .withColumn("xml_root", F.nullif(F.regexp_extract(body, r"<([A-Za-z_][\w.-]*)[\s>]", 1), F.lit("")))
     )
 

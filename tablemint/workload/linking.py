@@ -297,8 +297,8 @@ def golden_diff_orders(t: Tables) -> DataFrame:
 
 @query(
     "run_difference",
-    """select o_orderkey, o_orderstatus, 'first' as only_in from orders where o_orderkey % 300 = 5
-    union all select o_orderkey, 'X', 'second' from orders where o_orderkey % 300 = 5""",
+    """select o_orderkey, o_orderstatus, 'first' as only_in, cast(1 as bigint) as copies from orders where o_orderkey % 300 = 5
+    union all select o_orderkey, 'X', 'second', 1 from orders where o_orderkey % 300 = 5""",
 )
 def run_difference_orders(t: Tables) -> DataFrame:
     first = t.orders.select("o_orderkey", "o_orderstatus")

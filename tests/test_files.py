@@ -129,7 +129,7 @@ def test_witnesses(spark, tmp_path, delivery, rows):
     assert rows(r.only_right()) == [("9|A|1",)]
     b = read_witness_b(spark, put(tmp_path / "b.csv", WITNESS_B))
     assert rows(b, "slate", "wildTrackNumber", "take", "Circled")[:1] == [("3A", None, "1", "Y")]
-    assert malformed_rows(b).select("slate", "_malformed").count() == 1
+    assert malformed_rows(b).select("slate", "_malformed").count() == 2
     keyed = with_take_key(b)
     assert len([f for f in compare_witness(primary, keyed, "b").fields if f.right]) == 19
     assert rows(circled_against_select(primary, keyed)) == [("(blank)", "(blank)", 1), ("N", "(blank)", 1), ("Y", "Hold", 2)]
