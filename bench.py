@@ -25,7 +25,7 @@ HEADLINE = [
     "check_manifest", "page_completeness",
     "eav_columns", "eav_long", "field_inventory", "threads_flatten", "tree_paths", "tree_files", "page_lines",
     "name_domains", "upgrade_edges", "malformed_edges", "fn_text", "fn_numbers", "fn_labels", "report_counts",
-    "bundle_records", "csv_rows", "delivery_takes",
+    "bundle_records", "csv_rows", "xml_rows", "delivery_takes",
 ]
 
 

@@ -47,6 +47,19 @@ def keyed_rows(mapping: Mapping, table: DataFrame) -> DataFrame:
     return table.withColumn("key", F.when(is_present(value), value.cast("string")).otherwise(failed))
 
 
+def _order(mapping: Mapping, rows: DataFrame) -> Column:
+    """The recorded source order, else the tuple of the columns this mapping reads.
+
+    Without a recorded order any fixed order will do; this one carries no column through the
+    shuffle that the mapping does not need anyway.
+    """
+    if ORDER in rows.columns:
+        return F.col(ORDER)
+    read = {s.column for s in mapping.sources().values() if s.column}
+    read |= {t.column for texts in mapping.texts.values() for t in texts}
+    return order_of(rows.select(*[_quoted(c) for c in sorted(read | {mapping.identity()})]))
+
+
 # --- properties -----------------------------------------------------------------------
 
 
@@ -114,7 +127,7 @@ def _finish(df: DataFrame, sources: dict[str, Source], tables: dict[str, DataFra
 def _group_entities(mapping: Mapping, rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """One entity per key, its rows resolved together in one aggregation."""
     sources = _scalar_sources(mapping)
-    order = order_of(rows.drop("key"))
+    order = _order(mapping, rows)
     aggregates = [F.lit(True).alias("_group")]
     for path, s in sources.items():
         if s.const is not None:
@@ -138,11 +151,16 @@ def _row_entities(mapping: Mapping, rows: DataFrame, tables: dict[str, DataFrame
     Splits and casts happen per row, before the fold, as each row is an entity of its own.
     """
     sources = _scalar_sources(mapping)
-    order = order_of(rows.drop("key"))
+    order = _order(mapping, rows)
     cells = rows.select("key", order.alias(ORDER), *[_raw(s).alias(p) for p, s in sources.items()])
     finished = _finish(cells, sources, tables)
+    # Rows of one key agree on what only reads the key, so that needs no order.
+    by_key = {p for p, s in sources.items() if s.const is not None or (s.column == mapping.identity() and not s.lookup)}
     folds = [
-        F.min_by(present(_quoted(p)), F.when(is_present(_quoted(p)), F.col(ORDER))).alias(p) for p in sources
+        F.min(_quoted(p)).alias(p)
+        if p in by_key
+        else F.min_by(present(_quoted(p)), F.when(is_present(_quoted(p)), F.col(ORDER))).alias(p)
+        for p in sources
     ]
     return finished.groupBy("key").agg(*folds) if folds else finished.select("key").distinct()
 
@@ -170,7 +188,7 @@ def _texts(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     if not entries and not groups:
         return None
     if mapping.grain == "group":
-        order = order_of(rows.drop("key"))
+        order = _order(mapping, rows)
         row = F.struct(*[_quoted(c) for c in sorted(declared)])
         rows = rows.groupBy("key").agg(F.min_by(row, order).alias("_r")).select("key", "_r.*")
 
@@ -307,7 +325,7 @@ def _withheld_single(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     if not single:
         return None
     if mapping.grain == "group":
-        order = order_of(rows.drop("key"))
+        order = _order(mapping, rows)
         firsts = [
             F.min_by(_raw(s), F.when(_raw(s).isNotNull(), order)).alias(p) for p, s in single.items()
         ]

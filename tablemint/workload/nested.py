@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.eav import (
@@ -135,49 +135,54 @@ def unclassified_media_pages(t: Tables) -> DataFrame:
 
 
 def _threads(t: Tables) -> DataFrame:
-    """Conversations as threads: turn 0 opens, the other turns of that conversation reply.
-
-    A conversation's turns are its replies, so the list is as long as the thread itself.
-    """
+    """Every turn as a comment on its conversation; a user's turn has two replies."""
+    none = F.lit(None).cast("string")
+    nobody = F.lit(None).cast("struct<name:string,email:string>")
     person = F.when(F.col("role") != "system", F.struct(F.col("role").alias("name"), F.concat("role", F.lit("@x")).alias("email")))
-    turn = F.struct(
-        F.concat("conv_id", F.lit("-"), "turn").alias("id"),
-        F.when(F.col("turn") % 5 != 4, F.col("text")).alias("text"),
-        person.alias("owner"),
-        F.col("turn").alias("timestamp"),
-        F.lit("2026-01-23").alias("created_at"),
-        F.lit(None).cast("string").alias("updated_at"),
-    )
-    grouped = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", turn.alias("t")))).alias("_turns"))
-    first = F.col("_turns")[0]["t"]
-    replies = F.transform(F.slice("_turns", 2, 1_000_000), lambda r: r["t"])
-    return grouped.select(
-        (F.col("conv_id") % 20).alias("file_id"),
-        *[first[f].alias(f) for f in ("id", "text", "owner", "timestamp", "created_at", "updated_at")],
-        F.when(F.size("_turns") > 1, replies).alias("replies"),
+    own = F.concat("conv_id", F.lit("-"), "turn")
+
+    def reply(number: int, text: Column) -> Column:
+        return F.struct(
+            F.concat(own, F.lit(f"/{number}")).alias("id"), text.alias("text"), nobody.alias("owner"),
+            F.lit(None).cast("bigint").alias("timestamp"), F.lit("2026-01-24").alias("created_at"), none.alias("updated_at"),
+        )
+
+    return t.conversations.select(
+        F.col("conv_id").alias("file_id"), own.alias("id"),
+        F.when(F.col("turn") % 5 != 4, F.col("text")).alias("text"), person.alias("owner"),
+        F.col("turn").alias("timestamp"), F.lit("2026-01-23").alias("created_at"), none.alias("updated_at"),
+        F.when(F.col("role") == "user", F.array(reply(1, F.concat(F.lit("Re: "), "text")), reply(2, F.lit("")))).alias("replies"),
     )
 
 
 @query(
     "threads_flatten",
-    """with c as (select *, row_number() over (partition by conv_id order by turn) as n,
-            first_value(turn) over (partition by conv_id order by turn) as opening from conversations)
-    select conv_id % 20 as file_id, concat(conv_id, '-', turn) as comment_id, case when turn % 5 <> 4 then text end as text,
+    """select conv_id as file_id, concat(conv_id, '-', turn) as comment_id, case when turn % 5 <> 4 then text end as text,
         nullif(role, 'system') as author, case when role <> 'system' then concat(role, '@x') end as author_email, turn as frame,
-        '2026-01-23' as created_at, null as updated_at, case when n > 1 then concat(conv_id, '-', opening) end as reply_to
-    from c""",
+        '2026-01-23' as created_at, null as updated_at, null as reply_to
+    from conversations
+    union all
+    select conv_id, concat(conv_id, '-', turn, '/', i), case when i = 1 then concat('Re: ', text) else '' end, null, null, null,
+        '2026-01-24', null, concat(conv_id, '-', turn)
+    from conversations, (values (1), (2)) r(i) where role = 'user'""",
 )
 def threads_flatten(t: Tables) -> DataFrame:
     return flatten_threads(_threads(t))
 
 
-@query("threads_textless", "select count(*) as n from conversations where turn % 5 = 4 or text = ''")
+@query(
+    "threads_textless",
+    """select count(*) filter (turn % 5 = 4 or text = '') + count(*) filter (role = 'user') as n
+    from conversations""",
+)
 def threads_textless(t: Tables) -> DataFrame:
     return textless(flatten_threads(_threads(t)))
 
 
 def _counted_files(t: Tables) -> DataFrame:
-    counts = t.conversations.groupBy((F.col("conv_id") % 20).alias("file_id")).agg(F.count("*").alias("c"))
+    """Conversations with the comment count they declare: too high, right, or no count at all."""
+    replies = F.when(F.col("role") == "user", 2).otherwise(0)
+    counts = t.conversations.groupBy(F.col("conv_id").alias("file_id")).agg(F.sum(1 + replies).alias("c"))
     count = (
         F.when(F.col("file_id") % 4 == 0, (F.col("c") + 3).cast("string"))
         .when(F.col("file_id") % 4 == 1, F.col("c").cast("string"))
@@ -189,17 +194,15 @@ def _counted_files(t: Tables) -> DataFrame:
 
 @query(
     "child_shortfall",
-    """select conv_id % 20 as file_id, count(*) + 3 as expected, count(distinct conv_id) as comments, count(*) as got
-    from conversations where (conv_id % 20) % 4 = 0 group by 1""",
+    """select conv_id as file_id, count(*) + 2 * count(*) filter (role = 'user') + 3 as expected, count(*) as comments,
+        count(*) + 2 * count(*) filter (role = 'user') as got
+    from conversations where conv_id % 4 = 0 group by 1""",
 )
 def child_shortfall_files(t: Tables) -> DataFrame:
     return child_shortfall(_counted_files(t), _threads(t), "Comment Count")
 
 
-@query(
-    "wanted_children",
-    "select distinct conv_id % 20 as file_id from conversations where (conv_id % 20) % 4 < 2",
-)
+@query("wanted_children", "select distinct conv_id as file_id from conversations where conv_id % 4 < 2")
 def wanted_children_files(t: Tables) -> DataFrame:
     return wanted_children(_counted_files(t), "Comment Count").select("file_id")
 
