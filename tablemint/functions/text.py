@@ -95,17 +95,6 @@ def number_text(number: Column) -> Column:
     ).otherwise(number.cast("string"))
 
 
-def plain_number_text(text: Column) -> Column:
-    """Canonical spelling of an unsigned decimal text: no idle zeros.
-
-    Up to fifteen digits a decimal and its double have the same shortest spelling, so the text is
-    edited; longer ones go through the double.
-    """
-    return F.when(F.length(text) > 15, number_text(text.try_cast("double"))).otherwise(
-        F.regexp_replace(text, IDLE_ZEROS, "")
-    )
-
-
 def as_number(value: Column | str) -> Column:
     """``23.976`` and ``23.9760`` become one spelling; other text is left as it is."""
     value = _col(value)

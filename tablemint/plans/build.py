@@ -388,7 +388,7 @@ class Built:
 
     def __init__(self, tables: dict[str, DataFrame], mappings: list[Mapping], namespace: str, scope: str, edge_rules: EdgeRules | None):
         self._tables = tables
-        self._namespace = namespace
+        self.namespace = namespace
         self._scope = scope
         self._edge_rules = edge_rules
         self._rows = [(m, keyed_rows(m, tables[m.table])) for m in mappings]
@@ -415,7 +415,7 @@ class Built:
     def entities(self) -> dict[str, DataFrame]:
         return {
             t: df.select(
-                "key", entity_id(t, "key", self._namespace).alias("entity_id"),
+                "key", entity_id(t, "key", self.namespace).alias("entity_id"),
                 *[_quoted(c) for c in df.columns if c != "key"],
             )
             for t, df in self._folded.items()
@@ -425,9 +425,9 @@ class Built:
     def identifiers(self) -> DataFrame:
         return _union(
             df.select(
-                F.lit(t).alias("entity_type"), entity_id(t, "key", self._namespace).alias("entity_id"),
+                F.lit(t).alias("entity_type"), entity_id(t, "key", self.namespace).alias("entity_id"),
                 F.lit(0).alias("ordinal"), F.lit(self._scope).alias("scope"),
-                entity_id(t, "key", self._namespace).alias("value"),
+                entity_id(t, "key", self.namespace).alias("value"),
             )
             for t, df in self._keys.items()
         )
@@ -462,7 +462,7 @@ class Built:
         frames = []
         for m, e, pairs, (forward, backward) in self._declared_edges():
             found = pairs if e.external else resolved(pairs, self._keys[e.to])
-            rows = edge_rows(found, m.entity_type, e.to, self._namespace, e.edge_key or forward, e.external)
+            rows = edge_rows(found, m.entity_type, e.to, self.namespace, e.edge_key or forward, e.external)
             frames.append(rows)
             if e.inverse and not e.external:
                 frames.append(inverse_edges(rows, backward))

@@ -4,120 +4,145 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import entity_id
+from ..operators.quality import EntityRule
 from ..plans.build import Built
 from ..plans.bundle import Seal, require_valid, seal_bundle
 from ..plans.nest import nest
-from ..operators.quality import EntityRule
+from ..session import stage
 from .tables import publish
 
 REFS_PER_RECORD = 100_000
+NO_SUB = "named_struct('edge_key', cast(null as string), 'to_type', cast(null as string))"
+
+
+def _reference(scope: Column, value: Column) -> Column:
+    return F.struct(scope.alias("identifierScope"), value.alias("identifierValue"))
 
 
-def _facts(built: Built, scope: str) -> DataFrame | None:
-    """Everything an entity has many of, as ``(entity_type, key, slot, sub, json)`` rows."""
+def _facts(built: Built, scope: str, extra_identifiers: DataFrame | None) -> DataFrame:
+    """All there is to say about every entity, as ``(entity_type, key, slot, sub, json)`` rows.
+
+    The empty slot holds an entity's own properties, so every entity has at least one row.
+    """
     frames = []
-    if built.edges is not None:
-        reference = F.struct(
-            F.array(F.struct(F.lit(scope).alias("identifierScope"), F.col("to_id").alias("identifierValue"))).alias("identifier")
+    for entity_type, df in built.entities.items():
+        paths = [c for c in df.columns if c not in ("key", "entity_id")]
+        body = F.regexp_replace(F.to_json(F.struct(*nest(paths))), r"^\{|\}$", "") if paths else F.lit("")
+        frames.append(
+            df.select(
+                F.lit(entity_type).alias("entity_type"), "key", F.lit("").alias("slot"), F.expr(NO_SUB).alias("sub"),
+                body.alias("json"),
+            )
         )
+    if built.edges is not None:
+        reference = F.to_json(F.struct(F.array(_reference(F.lit(scope), F.col("to_id"))).alias("identifier")))
         frames.append(
             built.edges.select(
-                F.col("from_type").alias("entity_type"), F.col("from_key").alias("key"),
-                F.lit("edges").alias("slot"), F.struct("edge_key", "to_type").alias("sub"),
-                F.to_json(reference).alias("json"),
+                F.col("from_type").alias("entity_type"), F.col("from_key").alias("key"), F.lit("edges").alias("slot"),
+                F.struct("edge_key", "to_type").alias("sub"), reference.alias("json"),
             )
         )
-    none = F.struct(F.lit(None).cast("string").alias("edge_key"), F.lit(None).cast("string").alias("to_type"))
     if built.texts is not None:
         frames.append(
             built.texts.select(
-                "entity_type", "key", F.col("path").alias("slot"), none.alias("sub"),
+                "entity_type", "key", F.col("path").alias("slot"), F.expr(NO_SUB).alias("sub"),
                 F.to_json(F.struct("author", "title", "text")).alias("json"),
             )
         )
     if built.custom is not None:
         frames.append(
             built.custom.select(
-                "entity_type", "key", F.lit("customData").alias("slot"), none.alias("sub"),
+                "entity_type", "key", F.lit("customData").alias("slot"), F.expr(NO_SUB).alias("sub"),
                 F.to_json(F.struct("domain", "namespace", "schema", "value")).alias("json"),
             )
         )
-    return reduce(DataFrame.unionByName, frames) if frames else None
+    if extra_identifiers is not None:
+        frames.append(
+            extra_identifiers.select(
+                "entity_type", "key", F.lit("identifier").alias("slot"), F.expr(NO_SUB).alias("sub"),
+                F.to_json(_reference(F.col("scope"), F.col("value"))).alias("json"),
+            )
+        )
+    return reduce(DataFrame.unionByName, frames)
 
 
-def nested_records(built: Built, schema_version: str, scope: str = "local", per_record: int = REFS_PER_RECORD) -> DataFrame:
+def nested_records(
+    built: Built, schema_version: str, scope: str = "local", per_record: int = REFS_PER_RECORD,
+    extra_identifiers: DataFrame | None = None, staged: bool = False,
+) -> DataFrame:
     """Nested JSON as ``(entityType, record)``.
 
     An entity is one record unless it has more than ``per_record`` texts, customData entries and
     references together.  It is then several records of the same identifier, which a reader folds
     by the ordinary rule that arrays unite by value; no list grows with the data, and none is cut.
+
+    ``extra_identifiers(entity_type, key, scope, value)`` follow an entity's own identifier.
+    ``staged`` stores the facts once, as sizing and assembling them both read them.
     """
-    entities = []
-    for entity_type, df in built.entities.items():
-        paths = [c for c in df.columns if c not in ("key", "entity_id")]
-        base = F.to_json(F.struct(*nest(paths))) if paths else F.lit("{}")
-        entities.append(df.select(F.lit(entity_type).alias("entity_type"), "key", "entity_id", base.alias("_base")))
-    base = reduce(DataFrame.unionByName, entities)
+    facts = _facts(built, scope, extra_identifiers)
+    facts = stage(facts, "facts") if staged else facts
+    entity = ["entity_type", "key"]
+    record = [*entity, "_chunk"]
+    sizes = facts.groupBy(*entity).agg(F.ceil(F.count("*") / per_record).cast("int").alias("_chunks"))
+    # Equal facts hash to one chunk, where collecting a set drops the repeats.  All groupings
+    # below refine entity and chunk, so this one exchange serves them all.
+    spread = (
+        facts.join(sizes, entity)
+        .withColumn("_chunk", F.pmod(F.xxhash64("json", "sub"), F.col("_chunks")).cast("int"))
+        .repartition(*record)
+    )
 
-    ids = built.identifiers.groupBy("entity_type", "entity_id").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", "scope", "value"))).alias("_ids")
+    def named(name: Column, body: Column) -> Column:
+        return F.concat(F.lit('"'), name, F.lit('":'), body)
+
+    def joined(members: Column) -> Column:
+        return F.array_join(F.array_sort(members), ",")
+
+    listed = spread.groupBy(*record, "slot", "sub").agg(joined(F.collect_set("json")).alias("_members"))
+    # Predicates, types and slots of an entity come from the mappings, so these lists are short.
+    types = listed.groupBy(*record, "slot", F.col("sub.edge_key").alias("edge_key")).agg(
+        joined(
+            F.collect_list(
+                F.when(
+                    F.col("sub.to_type").isNotNull(), named(F.col("sub.to_type"), F.concat(F.lit("["), "_members", F.lit("]")))
+                ).otherwise(F.col("_members"))
+            )
+        ).alias("_members")
     )
-    identifier = F.to_json(
-        F.transform("_ids", lambda i: F.struct(i["scope"].alias("identifierScope"), i["value"].alias("identifierValue")))
+    slots = types.groupBy(*record, "slot").agg(
+        joined(
+            F.collect_list(
+                F.when(
+                    F.col("edge_key").isNotNull(), named(F.col("edge_key"), F.concat(F.lit("{"), "_members", F.lit("}")))
+                ).otherwise(F.col("_members"))
+            )
+        ).alias("_members")
     )
-    base = base.join(ids, ["entity_type", "entity_id"]).select("entity_type", "key", "_base", identifier.alias("_identifier"))
-
-    facts = _facts(built, scope)
-    if facts is None:
-        body = base.withColumn("_chunk", F.lit(0)).withColumn("_parts", F.lit(""))
-    else:
-        sizes = facts.groupBy("entity_type", "key").agg(F.ceil(F.count("*") / per_record).cast("int").alias("_chunks"))
-        # Equal facts hash to one chunk, where collecting a set drops the repeats.  All groupings
-        # below refine entity and chunk, so this one exchange serves them all.
-        spread = (
-            facts.join(sizes, ["entity_type", "key"])
-            .withColumn("_chunk", F.pmod(F.xxhash64("json", "sub"), F.col("_chunks")).cast("int"))
-            .repartition("entity_type", "key", "_chunk")
-        )
-        quoted = lambda name: F.concat(F.lit('"'), name, F.lit('":'))
-        joined = lambda members: F.array_join(F.array_sort(members), ",")
-        listed = spread.groupBy("entity_type", "key", "_chunk", "slot", "sub").agg(
-            F.concat(F.lit("["), joined(F.collect_set("json")), F.lit("]")).alias("_list")
-        )
-        # Predicates and types of an entity come from the mappings, so these lists are short.
-        node = F.when(F.col("sub.to_type").isNotNull(), F.concat(quoted(F.col("sub.to_type")), "_list")).otherwise(F.col("_list"))
-        nodes = listed.groupBy("entity_type", "key", "_chunk", "slot", F.col("sub.edge_key").alias("edge_key")).agg(
-            joined(F.collect_list(node)).alias("_node")
-        )
-        predicate = F.when(
-            F.col("edge_key").isNotNull(), F.concat(quoted(F.col("edge_key")), F.lit("{"), "_node", F.lit("}"))
-        ).otherwise(F.col("_node"))
-        slots = nodes.groupBy("entity_type", "key", "_chunk", "slot").agg(joined(F.collect_list(predicate)).alias("_slot"))
-        wrapped = F.when(F.col("slot") == "edges", F.concat(F.lit("{"), "_slot", F.lit("}"))).otherwise(F.col("_slot"))
-        parts = slots.groupBy("entity_type", "key", "_chunk").agg(
-            F.concat(F.lit(","), F.array_join(F.array_sort(F.collect_list(F.concat(quoted(F.col("slot")), wrapped))), ",")).alias("_parts")
-        )
-        # The record that carries the properties is the one of the lowest chunk an entity has.
-        first = parts.groupBy("entity_type", "key").agg(F.min("_chunk").alias("_first"))
-        body = base.join(first, ["entity_type", "key"], "left").join(parts, ["entity_type", "key"], "left")
-        body = body.withColumn(
-            "_base", F.when(F.col("_chunk").isNull() | (F.col("_chunk") == F.col("_first")), F.col("_base")).otherwise("{}")
-        ).withColumn("_parts", F.coalesce("_parts", F.lit("")))
-
-    properties = F.regexp_replace("_base", r"^\{|\}$", "")
-    record = F.concat(
-        F.lit('{"entityType":"'), "entity_type", F.lit(f'","schemaVersion":"{schema_version}","identifier":'), "_identifier",
-        F.when(properties != "", F.concat(F.lit(","), properties)).otherwise(""), "_parts", F.lit("}"),
+    members, slot = F.col("_members"), F.col("slot")
+    part = (
+        F.when(slot == "", F.nullif(members, F.lit("")))
+        .when(slot == "edges", named(slot, F.concat(F.lit("{"), members, F.lit("}"))))
+        .when(slot != "identifier", named(slot, F.concat(F.lit("["), members, F.lit("]"))))
+    )
+    records = slots.groupBy(*record).agg(
+        joined(F.collect_list(part)).alias("_parts"), F.max(F.when(slot == "identifier", members)).alias("_others")
+    )
+    own = F.to_json(_reference(F.lit(scope), entity_id(F.col("entity_type"), "key", built.namespace)))
+    text = F.concat(
+        F.lit('{"entityType":"'), "entity_type", F.lit(f'","schemaVersion":"{schema_version}","identifier":['), own,
+        F.coalesce(F.concat(F.lit(","), "_others"), F.lit("")), F.lit("]"),
+        F.when(F.col("_parts") != "", F.concat(F.lit(","), "_parts")).otherwise(""), F.lit("}"),
     )
-    return body.select(F.col("entity_type").alias("entityType"), record.alias("record"))
+    return records.select(F.col("entity_type").alias("entityType"), text.alias("record"))
 
 
 def write_bundle(
     built: Built, rules: dict[str, list[EntityRule]], out: str, schema_version: str, scope: str = "local",
-    per_record: int = REFS_PER_RECORD,
+    per_record: int = REFS_PER_RECORD, extra_identifiers: DataFrame | None = None,
 ) -> Seal:
     """Validate, stage and publish a bundle, one folder of JSON lines per entity type.
 
@@ -125,7 +150,8 @@ def write_bundle(
     """
     seal = seal_bundle(built, rules)
     require_valid(seal, built)
-    staged = f"{out.rstrip('/')}.staged"
-    nested_records(built, schema_version, scope, per_record).write.mode("overwrite").partitionBy("entityType").text(staged)
-    publish(built.identifiers.sparkSession, staged, out)
+    pending = f"{out.rstrip('/')}.staged"
+    records = nested_records(built, schema_version, scope, per_record, extra_identifiers, staged=True)
+    records.write.mode("overwrite").partitionBy("entityType").text(pending)
+    publish(records.sparkSession, pending, out)
     return seal

@@ -225,6 +225,14 @@ def test_nested_records_split_without_losing_anything(small):
     assert sorted(refs) == sorted(json.dumps(x) for x in ann["edges"]["has"]["Thing"])
 
 
+def test_a_second_identifier_follows_the_first(spark, small):
+    extra = spark.createDataFrame([("Person", "p1", "source", "id-1")], "entity_type string, key string, scope string, value string")
+    records = [json.loads(r.record) for r in nested_records(small, "v3", extra_identifiers=extra).collect()]
+    found = {len(r["identifier"]): r for r in records}
+    assert found[2]["identifier"][1] == {"identifierScope": "source", "identifierValue": "id-1"}
+    assert found[2]["identifier"][0]["identifierScope"] == "local" and found[2]["names"]["full"] == "Ann"
+
+
 def test_nothing_is_written_unless_every_entity_is_valid(spark, small, tmp_path):
     out = str(tmp_path / "bundle")
     with pytest.raises(InvalidBundle, match="1 of 2 entities failed validation. First: Person .*names/full is required"):

@@ -85,11 +85,14 @@ def test_join_list(spark):
 
 def test_take_key_tells_decimal_takes_apart_and_folds_annotations(spark):
     df = spark.createDataFrame(
-        [("3A", None, "A", "6 PU"), ("3A", None, "A", "6.0"), ("3A", None, None, "6.1 PU"), (None, "1001", "A", "PU"), (None, None, "A", None)],
+        [("3A", None, "A", "6 PU"), ("3A", None, "A", "6.0"), ("3A", None, None, "6.1 PU"), (None, "1001", "A", "PU"), (None, None, "A", None),
+         ("1", None, "A", "06.10"), ("1", None, "A", "10"), ("1", None, "A", "0"), ("1", None, "A", "100.00 x"), ("1", None, "A", "6.1.2"),
+         ("1", None, "A", "1.5 with a long annotation"), ("1", None, "A", "6.")],
         "s string, w string, c string, t string",
     )
     keys = [r[0] for r in df.select(fn.take_key("s", "w", "c", "t")).collect()]
-    assert keys == ["3A|A|6", "3A|A|6", "3A||6.1", "1001|A|PU", "null|A|"]
+    assert keys == ["3A|A|6", "3A|A|6", "3A||6.1", "1001|A|PU", "null|A|",
+                    "1|A|6.1", "1|A|10", "1|A|0", "1|A|100", "1|A|6.1", "1|A|1.5", "1|A|6"]
 
 
 def test_slate_names_need_both_parts(spark):
