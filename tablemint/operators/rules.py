@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.text import _col
 from .notes import note_rows
 
-BASES = ("heading", "xml_root", "header_prefix", "text_pattern")
-
 
 @dataclass(frozen=True)
 class SignatureRule:

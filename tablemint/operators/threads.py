@@ -102,3 +102,9 @@ def author_notes(filled: DataFrame) -> DataFrame:
 def textless(comments: DataFrame) -> DataFrame:
     """One row: comments that carry no text."""
     return comments.agg(F.count_if(~is_present("text")).alias("n"))
+
+
+def textless_notes(comments: DataFrame, where: str) -> DataFrame:
+    return note_rows(
+        textless(comments).filter("n > 0"), "commentWithoutText", where, F.concat("n", F.lit(" comment(s) carry no text"))
+    )

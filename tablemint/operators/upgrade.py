@@ -121,3 +121,28 @@ def version_notes(versions: DataFrame, target: str) -> DataFrame:
         versions.filter("migrated"), "migrated", F.col("version"),
         F.concat(F.col("n"), F.lit(f" entities delivered as {target}")),
     )
+
+
+def scope_notes(dropped: DataFrame, where: str) -> DataFrame:
+    """The note of what a scope dropped, if it dropped anything."""
+    return note_rows(
+        dropped.filter("dropped > 0"), "outOfProject", where,
+        F.concat(F.lit("discarded "), "dropped", F.lit(" creative work(s) belonging to other productions")),
+    )
+
+
+def domain_notes(named: DataFrame, identifier: str, where: str) -> DataFrame:
+    """The note of how many entities had their customData domains named by ``name_domains``."""
+    counted = named.filter("changed").agg(F.count_distinct(F.col(identifier)).alias("n")).filter("n > 0")
+    return note_rows(
+        counted, "customDataDomains", where,
+        F.concat(F.lit("named the customData domain on "), "n", F.lit(" entities from the source's own key")),
+    )
+
+
+def identifier_notes(missing: DataFrame, where: str, scope: str) -> DataFrame:
+    """The note of entities that got no second identifier."""
+    return note_rows(
+        missing.filter("missing > 0"), "sourceIdentifierMissing", where,
+        F.concat("missing", F.lit(f" entities did not receive a {scope} identifier")),
+    )

@@ -45,11 +45,6 @@ DERIVED_COLUMNS = [
     "Resolution - Width", "Seen By", "Source Filename", "Start Time", "Transcript", "Uploader",
     "Video Bit Rate", "Video Codec", "Visual Bit Depth",
 ]
-ENTERED_COLUMNS = [
-    "Camera", "Characters", "Circle", "Clip Number", "Comments", "Complete", "Location", "OMC Take ID", "Rating",
-    "Scene", "Scene Description", "Select Rating", "Setup", "Slate", "Slate Description", "Slugline", "Status",
-    "Take", "VFX Reqiured",
-]
 
 
 def structure_for(media_type: Column | str) -> Column:

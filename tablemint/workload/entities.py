@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.order import first_match, first_present, last_wins, with_order
 from ..operators.quality import table_counts
 from ..plans.build import Built, build_entities
-from ..plans.mapping import Edge, Lookup, Mapping, Rest, Source, Text, mappings_for
+from ..plans.mapping import Lookup, Mapping, Rest, Source, Text, mappings_for
 from ..plans.nest import nest
 from .registry import Tables, query
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import as_number, loose_text, us_datetime_to_iso
 from ..operators.edges import dangling_edges, edge_rows, edge_targets, external_counts
-from ..operators.order import with_order
 from ..operators.reconcile import Field, Reconciliation, cross_tab, golden_diff, run_difference
 from ..plans.build import Built, build_entities
 from ..plans.bundle import seal_bundle

@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 from tablemint.operators.eav import field_inventory, metadata_columns, pairs_to_map, shadowed_notes
 from tablemint.operators.edges import explode_edges, malformed_notes
 from tablemint.operators.lines import page_lines, report_header
-from tablemint.operators.threads import author_notes, child_shortfall, fill_author, flatten_threads, shortfall_notes
+from tablemint.operators.threads import (
+    author_notes, child_shortfall, fill_author, flatten_threads, shortfall_notes, textless_notes,
+)
 from tablemint.operators.tree import folder_paths, walk_tree
-from tablemint.operators.upgrade import name_domains, out_of_project, scope_to_project, upgrade_context
+from tablemint.operators.upgrade import (
+    append_source_identifier, domain_notes, identifier_notes, missing_source_identifier, name_domains, out_of_project,
+    scope_notes, scope_to_project, upgrade_context,
+)
+from tablemint.session import cut_lineage, scratch_path, shared_dir, stage
 
 PAIRS = "id string, metadata array<struct<name:string,mutable:boolean,value:string>>"
 
@@ -56,6 +62,7 @@ def test_threads_and_their_counts(spark, rows):
     assert rows(flat, "file_id", "comment_id", "author", "frame", "reply_to") == [
         ("f", "c1", "Ann", 12, None), ("f", "c2", None, None, None), ("f", "r1", None, None, "c1"),
     ]
+    assert rows(textless_notes(flat, "comments"), "kind", "detail") == [("commentWithoutText", "1 comment(s) carry no text")]
     files = spark.createDataFrame([("f", "3"), ("g", "1"), ("h", "0"), ("i", None)], "file_id string, c string")
     short = child_shortfall(files, threads, "c")
     assert rows(short) == [("g", 1, 0, 0)]
@@ -164,7 +171,10 @@ def test_scope_keeps_episodes_and_tells_prefixes_apart(spark, rows):
     ]
     df = spark.createDataFrame(data, f"n int, entity_type string, identifier {kind}, season array<struct<identifier:{kind}>>")
     assert rows(scope_to_project(df, f"{prefix}129593"), "n") == [(1,), (3,), (6,)]
-    assert rows(out_of_project(df, f"{prefix}129593")) == [(4,)]
+    dropped = out_of_project(df, f"{prefix}129593")
+    assert rows(dropped) == [(4,)]
+    assert rows(scope_notes(dropped, "works"), "kind", "where") == [("outOfProject", "works")]
+    assert scope_notes(out_of_project(df.filter("n = 6"), f"{prefix}129593"), "works").count() == 0
 
 
 def test_domains_are_named_only_where_every_value_is_an_object(spark, rows):
@@ -182,6 +192,31 @@ def test_domains_are_named_only_where_every_value_is_an_object(spark, rows):
     ]
 
 
+def test_named_domains_and_second_identifiers_are_noted(spark, rows):
+    df = spark.createDataFrame([(1, None, '{"a":{},"b":{}}'), (2, "own", "{}")], "n int, domain string, value string")
+    assert rows(domain_notes(name_domains(df), "n", "api"), "kind", "detail") == [
+        ("customDataDomains", "named the customData domain on 1 entities from the source's own key")
+    ]
+    entities = spark.createDataFrame([("e1", "f1"), ("e2", "")], "entity_id string, file_id string")
+    own = spark.createDataFrame([("A", "e1", 0, "local", "e1"), ("A", "e2", 0, "local", "e2")],
+                                "entity_type string, entity_id string, ordinal int, scope string, value string")
+    both = append_source_identifier(own, entities, "A", "source", "file_id")
+    assert rows(both.filter("ordinal = 1")) == [("A", "e1", 1, "source", "f1")]
+    missing = missing_source_identifier(entities, "file_id")
+    assert rows(identifier_notes(missing, "files", "source"), "kind", "detail") == [
+        ("sourceIdentifierMissing", "1 entities did not receive a source identifier")
+    ]
+
+
+def test_stored_frames_live_in_the_shared_folder(spark, rows):
+    df = spark.range(5)
+    folder = shared_dir(spark)
+    assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert all(f.replace("file:", "").startswith(folder.replace("file:", "").rstrip("/")) for f in stage(df, "numbers").inputFiles())
+    cut = cut_lineage(df.filter("id > 2"))
+    assert rows(cut) == [(3,), (4,)] and "Range" not in cut._jdf.queryExecution().toString()
+
+
 def test_upgrading_twice_changes_nothing(spark, rows):
     ref = '[{"identifier":[{"identifierScope":"s","identifierValue":"p1"}]}]'
     df = spark.createDataFrame(
