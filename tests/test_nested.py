@@ -212,7 +212,8 @@ def test_stored_frames_live_in_the_shared_folder(spark, rows):
     df = spark.range(5)
     folder = shared_dir(spark)
     assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert all(f.replace("file:", "").startswith(folder.replace("file:", "").rstrip("/")) for f in stage(df, "numbers").inputFiles())
+    local = lambda path: "/" + path.replace("file:", "").strip("/")
+    assert all(local(f).startswith(local(folder)) for f in stage(df, "numbers").inputFiles())
     cut = cut_lineage(df.filter("id > 2"))
     assert rows(cut) == [(3,), (4,)] and "Range" not in cut._jdf.queryExecution().toString()
 
