@@ -19,6 +19,7 @@ from .text import (
     as_number,
     clean_text,
     ext_name,
+    has_text,
     is_object_description,
     is_present,
     loose_text,

@@ -15,6 +15,7 @@ SPACE = (
     r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
     r"\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 )
+NOT_SPACE = SPACE.replace("[", "[^", 1)
 SENTINEL = "(null)"
 OBJECT_DESCRIPTION = r"^<[A-Za-z]+: 0x[0-9a-f]+>$"
 CURLY_SINGLE = "‘’‛"
@@ -39,6 +40,11 @@ def clean_text(value: Column | str) -> Column:
     return F.nullif(trimmed(value), F.lit(""))
 
 
+def has_text(value: Column | str) -> Column:
+    """Is there anything but white space?"""
+    return _col(value).rlike(NOT_SPACE)
+
+
 def sentinel_null(value: Column | str) -> Column:
     """The literal ``(null)`` means absent."""
     return F.nullif(_col(value), F.lit(SENTINEL))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import iso_date, trimmed
+from ..functions import has_text, iso_date, trimmed
 from ..functions.text import SPACE
 
 # What a report header prints and how many lines it spans.
@@ -21,17 +21,17 @@ def page_lines(runs: DataFrame) -> DataFrame:
     """``runs(doc, page, x, y, text)`` to ``(doc, page, y, line)``.
 
     Runs whose rounded baseline is equal share a line, ordered by x and joined with a space;
-    white space is collapsed and empty lines are dropped.  The group is one visual line, whose
-    text is the result cell itself.
+    white space is collapsed.  Blank runs are left out first, so no line is empty.  The group is
+    one visual line, whose text is the result cell itself.
     """
-    spoken = runs.filter(trimmed("text") != "")
+    spoken = runs.filter(has_text("text"))
     baseline = F.floor(F.col("y") + 0.5).cast("bigint")
     joined = spoken.groupBy("doc", "page", baseline.alias("y")).agg(
         F.array_sort(F.collect_list(F.struct("x", "text"))).alias("_runs")
     )
     text = F.array_join(F.transform("_runs", lambda r: r["text"]), " ")
     line = trimmed(F.regexp_replace(text, f"{SPACE}+", " "))
-    return joined.select("doc", "page", "y", line.alias("line")).filter(F.col("line") != "")
+    return joined.select("doc", "page", "y", line.alias("line"))
 
 
 def report_header(lines: DataFrame, page: int = 1) -> DataFrame:
