@@ -219,6 +219,30 @@ def pack_group(lengths: list[int], capacity: int) -> list[list[int]]:
 PLACED = PIECES + ", sequence_id long, offset long"
 
 
+def _placer(level: int, last: bool, capacity: int, full: float):
+    """Packs one group; below the last level, sequences that are not full enough stay unplaced (-1)."""
+
+    def place(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["doc_id", "row", "piece"], ignore_index=True)
+        lengths = frame["length"].tolist()
+        sequence = np.full(len(lengths), -1, np.int64)
+        offset = np.zeros(len(lengths), np.int64)
+        group = int(frame["grp"].iloc[0])
+        for number, members in enumerate(pack_group(lengths, capacity)):
+            if not last and sum(lengths[i] for i in members) < full * capacity:
+                continue
+            at = 0
+            for i in members:
+                # Levels, groups and the sequences of one group have ranges of their own.
+                sequence[i] = (level << 58) + (group << 24) + number
+                offset[i] = at
+                at += lengths[i]
+        frame["sequence_id"], frame["offset"] = sequence, offset
+        return frame.drop(columns="grp")
+
+    return place
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, full: float = 0.995, fan_in: int = 16) -> DataFrame:
     """Place every piece: ``sequence_id`` and ``offset`` are added.
 
@@ -232,25 +256,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         last = groups == 1
         dealt = todo.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "row", F.lit(level)), F.lit(groups)))
 
-        def place(frame: pd.DataFrame, level=level, last=last, groups=groups) -> pd.DataFrame:
-            frame = frame.sort_values(["doc_id", "row", "piece"], ignore_index=True)
-            lengths = frame["length"].tolist()
-            sequence = np.full(len(lengths), -1, np.int64)
-            offset = np.zeros(len(lengths), np.int64)
-            group = int(frame["grp"].iloc[0])
-            for number, members in enumerate(pack_group(lengths, capacity)):
-                if not last and sum(lengths[i] for i in members) < full * capacity:
-                    continue
-                at = 0
-                for i in members:
-                    # Levels, groups and the sequences of one group have ranges of their own.
-                    sequence[i] = (level << 58) + (group << 24) + number
-                    offset[i] = at
-                    at += lengths[i]
-            frame["sequence_id"], frame["offset"] = sequence, offset
-            return frame.drop(columns="grp")
-
-        result = stage(dealt.groupBy("grp").applyInPandas(place, PLACED), f"packed-{level}")
+        result = stage(dealt.groupBy("grp").applyInPandas(_placer(level, last, capacity, full), PLACED), f"packed-{level}")
         placed.append(result.filter("sequence_id >= 0"))
         if last:
             break
