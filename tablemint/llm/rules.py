@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -27,9 +28,8 @@ from ..session import stage
 from .common import query, table, words
 
 SYMBOLS = "#*$%&|<>"
-_NOT_SYMBOL = {c: None for c in map(ord, SYMBOLS)}
-_SPACE_ONLY = {c: None for c in (0x20, *range(0x09, 0x0E))}
-_LETTER = re.compile(r"[^\W\d_]")
+_SPACES = " \t\n\v\f\r"
+_SPACE, _SYMBOL, _LETTER, _UPPER, _MARK, _DIGIT = (1 << i for i in range(6))
 
 _NAMES = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -57,24 +57,48 @@ def repeated_words(tokens: list[bytes]) -> int:
     return int(covered.sum())
 
 
+@cache
+def _classes() -> np.ndarray:
+    """The classes of every code point, as bits."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for c in map(chr, range(0x110000)):
+        if c.isalpha():
+            kinds[ord(c)] |= _LETTER
+        if c.isupper():
+            kinds[ord(c)] |= _UPPER
+        if c.isdigit():
+            kinds[ord(c)] |= _DIGIT
+    kinds[[0x20, *range(0x09, 0x0E)]] |= _SPACE
+    kinds[[ord(c) for c in SYMBOLS]] |= _SYMBOL
+    kinds[ord("!")] |= _MARK
+    return kinds
+
+
+def character_counts(text: str) -> dict[int, int]:
+    """How many code points of each class a text holds."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found = np.bincount(_classes()[codes], minlength=64)
+    kinds = np.arange(len(found))
+    return {bit: int(found[kinds & bit > 0].sum()) for bit in (_SPACE, _SYMBOL, _LETTER, _UPPER, _MARK, _DIGIT)}
+
+
 def measure_text(text: str | None) -> tuple[int, ...]:
     """The counts of one text, in the order of ``MEASURES``."""
     if not text:
         return (0,) * len(_NAMES)
     tokens = words(text)
-    lines = [line for line in text.split("\n") if line.translate(_SPACE_ONLY)]
-    letters = len(_LETTER.findall(text))
-    upper = sum(1 for c in text if c.isupper())
+    lines = [line for line in text.split("\n") if line.strip(_SPACES)]
+    kinds = character_counts(text)
     return (
         len(tokens),
-        len(text.translate(_SPACE_ONLY)),
-        len(text) - len(text.translate(_NOT_SYMBOL)),
+        len(text) - kinds[_SPACE],
+        kinds[_SYMBOL],
         len(lines) - len(set(lines)),
         repeated_words(tokens),
         len(lines),
-        letters,
-        upper,
-        text.count("!"),
+        kinds[_LETTER],
+        kinds[_UPPER],
+        kinds[_MARK],
     )
 
 
@@ -125,50 +149,59 @@ def votes(measure: str, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.concat(*[one(rule) for rule in rules])
 
 
+VOTES = "+-"
+
+
 @dataclass(frozen=True)
 class VoteModel:
-    """``good[r]`` and ``bad[r]``: how often rule r, when it votes, is right about either class."""
+    """``good[r][v]`` and ``bad[r][v]``: how often rule r, when it votes, casts v on texts of either class."""
 
     prior: float
-    good: tuple[float, ...]
-    bad: tuple[float, ...]
+    good: tuple[tuple[float, ...], ...]
+    bad: tuple[tuple[float, ...], ...]
+
+    def accuracy(self, rule: int) -> tuple[float, float]:
+        """How often the rule, when it votes, is right about good and about bad texts."""
+        g, b = self.good[rule], self.bad[rule]
+        return g[0] / (g[0] + g[1]), b[1] / (b[0] + b[1])
 
     def posterior(self, pattern: str) -> float:
         odds = math.log(self.prior) - math.log1p(-self.prior)
         for vote, g, b in zip(pattern, self.good, self.bad, strict=True):
-            if vote == "+":
-                odds += math.log(g) - math.log1p(-b)
-            elif vote == "-":
-                odds += math.log1p(-g) - math.log(b)
+            if vote not in VOTES:
+                continue
+            at = VOTES.index(vote)
+            odds += math.log(g[at]) - math.log(b[at])
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
 def fit_votes(counts: dict[str, int], n_rules: int, rounds: int = 200) -> VoteModel:
     """Expectation-maximisation over pattern counts.
 
-    Rules start as mostly right, which settles which class is the good one.  One pseudo vote of each
-    kind keeps every rate inside (0, 1).
+    It starts from the count of rejections (none: good, one: probably bad, more: bad), which settles
+    which class is which.  There are several ways to be bad, so a rule that rejects a few bad texts is
+    informative although it lets the others pass.  An abstention says nothing.
     """
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
-    keep = np.array([[c == "+" for c in p] for p in patterns], float).reshape(-1, n_rules)
-    reject = np.array([[c == "-" for c in p] for p in patterns], float).reshape(-1, n_rules)
-    prior, good, bad = 0.9, np.full(n_rules, 0.9), np.full(n_rules, 0.6)
+    cast = np.array([[[c == v for v in VOTES] for c in p] for p in patterns], float).reshape(-1, n_rules, 2)
+    rejections = cast[:, :, 1].sum(axis=1)
+    share = np.where(rejections == 0, 0.98, np.where(rejections == 1, 0.2, 0.02))
+    # Pseudo counts: a hundredth of a text for either vote, so no rate is zero however few texts there are.
+    prior, good, bad = 0.9, np.full((n_rules, 2), 1 / 2), np.full((n_rules, 2), 1 / 2)
     for _ in range(rounds if len(patterns) else 0):
-        odds = (
-            np.log(prior / (1 - prior))
-            + keep @ np.log(good / (1 - bad))
-            + reject @ np.log((1 - good) / bad)
-        )
-        p = n / (1 + np.exp(-np.clip(odds, -700, 700)))
-        q = n - p
-        before = np.concatenate([[prior], good, bad])
+        before = np.concatenate([[prior], good.ravel(), bad.ravel()])
+        p, q = n * share, n * (1 - share)
         prior = (p.sum() + 9) / (n.sum() + 10)
-        good = (p @ keep + 9) / (p @ (keep + reject) + 10)
-        bad = (q @ reject + 6) / (q @ (keep + reject) + 10)
-        if np.abs(np.concatenate([[prior], good, bad]) - before).max() < 1e-10:
+        good = np.einsum("p,prv->rv", p, cast) + 0.01
+        bad = np.einsum("p,prv->rv", q, cast) + 0.01
+        good /= good.sum(axis=1, keepdims=True)
+        bad /= bad.sum(axis=1, keepdims=True)
+        odds = np.log(prior / (1 - prior)) + np.einsum("prv,rv->p", cast, np.log(good) - np.log(bad))
+        share = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+        if np.abs(np.concatenate([[prior], good.ravel(), bad.ravel()]) - before).max() < 1e-10:
             break
-    return VoteModel(float(prior), tuple(map(float, good)), tuple(map(float, bad)))
+    return VoteModel(float(prior), tuple(map(tuple, good.tolist())), tuple(map(tuple, bad.tolist())))
 
 
 def base_failed(measure: str) -> Column:
@@ -176,7 +209,11 @@ def base_failed(measure: str) -> Column:
     return (m.n_words < 50) | (100 * m.n_repeat_words > 50 * m.n_words)
 
 
-def judge(measured: DataFrame, measure: str, threshold: float = 0.5) -> DataFrame:
+#: Posterior probability of being good from which on a text is kept.
+MIN_PROBABILITY = 0.9
+
+
+def judge(measured: DataFrame, measure: str, threshold: float = MIN_PROBABILITY) -> DataFrame:
     """Add ``probability`` and ``kept`` to rows that hold a measure struct.
 
     The pattern table has at most 3 to the number of rules rows, so it is a literal map here.
@@ -194,7 +231,7 @@ def judge(measured: DataFrame, measure: str, threshold: float = 0.5) -> DataFram
     return judged.withColumn("kept", ~base_failed(measure) & (F.col("probability") >= threshold))
 
 
-def filter_quality(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+def filter_quality(docs: DataFrame, text: str = "text", threshold: float = MIN_PROBABILITY) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``."""
     measured = docs.select(F.struct(*docs.columns).alias("_row"), measures(text).alias("_m"))
     return judge(measured, "_m", threshold).filter("kept").select("_row.*")
