@@ -1,6 +1,6 @@
 """All queries of this subpackage and their SQL."""
 
-from . import html, minhash, mixing, packing, pii, rules, topk, urls  # noqa: F401
+from . import classifier, hmm, html, minhash, mixing, packing, pii, rules, topk, urls  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
