@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import fold, query, table
+from .common import fold, query, small_batches, table
 from .rules import measure_text
 
 SAMPLE_ROWS = 20_000
@@ -145,6 +145,7 @@ def score_with(model: Ranking, column: str) -> Column:
 def op3_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
+    small_batches(spark)
     described = stage(
         docs.select(F.col("doc_id").alias("id"), held_out.alias("held_out"), features("text").alias("features")), "features"
     )

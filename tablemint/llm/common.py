@@ -38,3 +38,9 @@ def words(text: str | None) -> list[bytes]:
 def lower_words(text: str | None) -> list[bytes]:
     """Words with A-Z lower-cased; other letters stay."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand Python few rows at once: texts are long, and a worker holds a batch in several forms."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import fold, lower_words, query, table
+from .common import fold, lower_words, query, small_batches, table
 
 SYMBOLS = 16_384
 CLASSES = 64
@@ -41,7 +41,7 @@ SAMPLE_DOCS, SAMPLE_TOKENS = 800, 512
 #: Training takes long texts in parts of so many tokens; scoring never cuts.
 SEGMENT = 512
 #: Tokens that are worked on at once.
-CHUNK = 400_000
+CHUNK = 250_000
 #: A word holds no space, so this is none.
 END = xxhash.xxh3_64_intdigest(b" end")
 _FLUSH = 400_000
@@ -284,6 +284,19 @@ def chunks(ids: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
         yield part
 
 
+def _windows(pairs, size: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Lists of (row, sequence) that hold about ``size`` tokens."""
+    part, held = [], 0
+    for row, ids in pairs:
+        part.append((row, np.frombuffer(ids.as_py(), "<u2")))
+        held += len(part[-1][1])
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def baum_welch(encoded: DataFrame, model: Model, unigram: np.ndarray) -> Model:
     """One pass over all rows of ``encoded``: expected counts by partition, summed by Spark."""
     states = len(model.start)
@@ -332,17 +345,20 @@ def likelihoods(encoded: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            rows = batch.column(0).to_numpy(zero_copy_only=False)
-            sequences = [np.frombuffer(ids.as_py(), "<u2") for ids in batch.column(1)]
-            # Sequences of like length go together, so that few steps have few of them.
-            order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-            found = np.zeros(len(sequences))
+
+        def numbered():
+            for batch in batches:
+                yield from zip(batch.column(0).to_pylist(), batch.column(1))
+
+        # Sequences of like length go together, so that few steps have few of them.
+        for some in _windows(numbered(), 8 * CHUNK):
+            some.sort(key=lambda pair: -len(pair[1]))
             at = 0
-            for part in chunks(sequences[i] for i in order):
-                found[order[at : at + len(part)]] = Packed(part).forward(m)
+            for part in chunks(ids for _, ids in some):
+                found = Packed(part).forward(m)
+                rows = [row for row, _ in some[at : at + len(part)]]
                 at += len(part)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found / np.log(10))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found / np.log(10))], schema=schema)
 
     return encoded.select("row", "ids").mapInArrow(run, "row long, likelihood double")
 
@@ -350,6 +366,7 @@ def likelihoods(encoded: DataFrame, model: Model) -> DataFrame:
 def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", listed: int = LISTED, symbols: int = SYMBOLS) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(key).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
     counts = stage(count_words(source.filter(~F.col("held_out"))), "word-counts")
     known, others = vocabulary(counts, listed, symbols)

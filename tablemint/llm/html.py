@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import query, table
+from .common import query, small_batches, table
 from .urls import url_parts
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -239,6 +239,7 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html", into:
     def read(sources: pd.Series, winners: pd.Series) -> pd.Series:
         return pd.Series([extract(s, w) for s, w in zip(sources, winners)], dtype=object)
 
+    small_batches(pages.sparkSession)
     winners = stage(host_paths(pages, url, html), "host-paths")
     host, _ = url_parts(F.col(url))
     salted = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("host", "_host")

@@ -20,12 +20,12 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .common import query, table, words
+from .common import query, small_batches, table, words
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\v\f\r"
@@ -105,6 +105,8 @@ def measure_text(text: str | None) -> tuple[int, ...]:
 def measures(text: str) -> Column:
     """The counts of a text column, as a struct."""
 
+    small_batches(SparkSession.getActiveSession())
+
     @F.pandas_udf(MEASURES)
     def measure(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([measure_text(t) for t in texts], columns=_NAMES, dtype="int64")
