@@ -15,6 +15,9 @@ an empty table gives no pieces; only the key and text columns are read.
 from __future__ import annotations
 
 import heapq
+import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,49 +28,106 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import query, table
+from .common import query, small_batches, table
 
 CAPACITY = 4096
 END_ID = 1
-#: Pieces a group holds on average, and entries a worker's word memory may have before it is emptied.
+#: Pieces a group holds on average, and words in each of the two generations of a worker's memory.
 GROUP_PIECES = 5_000
-MEMORY = 300_000
+MEMORY = 600_000
+#: Texts that are tokenised together.
+TEXTS = 500
 
 _tokenizers: dict = {}
 
 
+#: Punctuation at the end of a word, which becomes a word of its own.
+_TAIL = re.compile(rb"[.,!?;:](?<=[a-z0-9].)[.,!?;:]*+(?=[\x20\x09-\x0d]|\Z)")
+#: Stands between words that are encoded in one call; no word that is encoded so holds its start.
+_BETWEEN = "<|endoftext|>"
+
+
 class WordTokenizer:
-    """Token ids of whole texts, each distinct word encoded once.
+    """Token ids of whole texts, each distinct word encoded once while it is remembered.
 
-    For a vocabulary whose pre-tokeniser drops white space, no token and no special token spans it,
-    so a text's ids are those of its words in turn.
+    For a vocabulary that lower-cases, drops white space and splits letters from punctuation, no token
+    and no special token spans white space, so a text's ids are those of its words in turn, and white
+    space before closing punctuation changes nothing.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.tokenizer.token_to_id(_BETWEEN)
         self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        chunks = text.encode("utf-8", "surrogatepass").split()
-        known = self.known
-        missing = list({c for c in chunks if c not in known})
-        if missing:
-            if len(known) + len(missing) > MEMORY:
-                known.clear()
-                missing = list(set(chunks))
-            for start in range(0, len(missing), 10_000):
-                part = missing[start : start + 10_000]
-                encoded = self.tokenizer.encode_batch(
-                    [c.decode("utf-8", "replace") for c in part], add_special_tokens=False
-                )
-                for chunk, e in zip(part, encoded):
-                    known[chunk] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+        self.older: dict[bytes, bytes] = {}
+        # The byte-level alphabet: printable Latin-1 bytes are themselves, the others follow from 256 on.
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in plain]
+        self.names = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.direct = self._is_direct()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def __call__(self, texts: list[str | bytes | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.known) > MEMORY:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        chunked, missing = [], set()
+        for text in texts:
+            raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+            # The strings of special tokens are met as they are written, so such texts keep their case.
+            chunks = (raw if b"<|" in raw else _TAIL.sub(rb" \g<0>", raw.lower())).split()
+            ids = list(map(known.get, chunks))
+            if None in ids:
+                missing.update(c for c, found in zip(chunks, ids) if found is None)
+                chunked.append(chunks)
+            else:
+                chunked.append(b"".join(ids))
+        unseen = []
+        for chunk in missing:
+            if chunk in older:
+                known[chunk] = older[chunk]
+            elif b"<|" in chunk:
+                ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
+                known[chunk] = np.array(ids, "<u4").tobytes()
+            else:
+                unseen.append(chunk)
+        for start in range(0, len(unseen), 2_000):
+            self._learn(unseen[start : start + 2_000])
+        return [c if isinstance(c, bytes) else b"".join(map(known.__getitem__, c)) for c in chunked]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Words of lower-case letters go to the model itself; all others through the whole tokeniser."""
+        rest, model, packed = [], self.tokenizer.model, self.packed
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if self.direct and text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+                name = text if text.isascii() else "".join(map(self.names.__getitem__, word))
+                self.known[word] = b"".join([packed[t.id] for t in model.tokenize(name)])
+            else:
+                rest.append(word)
+        if rest:
+            self._learn_whole(rest)
+
+    def _is_direct(self) -> bool:
+        """Whether words of letters are one unit of the model, written by the byte-level alphabet."""
+        words = "a the sentence tokenised überaus élève straße mañana ñandú ß œuvre łódź привет 日本".split()
+        for word in words:
+            name = "".join(map(self.names.__getitem__, word.encode()))
+            want = self.tokenizer.encode(f"{word} {word}", add_special_tokens=False).ids
+            if 2 * [t.id for t in self.tokenizer.model.tokenize(name)] != want:
+                return False
+        return True
+
+    def _learn_whole(self, words: list[bytes]) -> None:
+        joined = _BETWEEN.join(w.decode("utf-8", "replace") for w in words)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        cuts = 4 * np.flatnonzero(ids == self.between)
+        packed = ids.tobytes()
+        for word, start, stop in zip(words, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(packed)], strict=True):
+            self.known[word] = packed[start:stop]
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -83,13 +143,17 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     """One row per piece of every document.  ``row`` tells rows with equal keys apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         encode = _tokenizer(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
             out: list[tuple] = []
-            for doc, body, row in zip(batch.column(0), batch.column(1), batch.column(2)):
-                ids = encode(body.as_py()) + end
+            found = []
+            for start in range(0, batch.num_rows, TEXTS):
+                found += encode(batch.column(1).cast(pa.binary()).slice(start, TEXTS).to_pylist())
+            for doc, ids, row in zip(batch.column(0), found, batch.column(2)):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     out.append((doc.as_py(), piece, at // 4, len(part) // 4, zlib.crc32(part), row.as_py()))
@@ -101,6 +165,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 ),
             )
 
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return picked.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, PIECES)
 
@@ -135,9 +200,13 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, round
     becomes fuller still.  Fills are integers and their squares are bounded, so this ends; ``rounds``
     bounds the passes, and a stopped search still leaves a valid packing.
     """
+    # With as few bins as the tokens need, none can be emptied any more.
+    fewest = -(-sum(lengths[i] for b in bins for i in b) // capacity)
     done = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     open_bins = [b for b in bins if sum(lengths[i] for i in b) < capacity]
     for _ in range(rounds):
+        if len(done) + len(open_bins) <= fewest:
+            break
         open_bins.sort(key=lambda b: -sum(lengths[i] for i in b))
         changed = False
         # The emptiest bins give to the fullest, so that they run empty.
