@@ -289,7 +289,8 @@ def near_duplicates(
         "digest", F.coalesce("component", "id").alias("component")
     )
     joined = rows.select("id", "n", "digest").join(stage(roots, "roots"), "digest", "left")
-    return joined.select("id", "n", F.coalesce("component", "id").alias("component"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return joined.select("id", "n", component.alias("component"))
 
 
 @query("op2_minhash")

@@ -48,6 +48,8 @@ def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 def choose_pivots(data: DataFrame, pivots: int = PIVOTS, rows: int = PIVOT_ROWS) -> np.ndarray:
     """Centres of a few k-means rounds over a bounded sample."""
     sample = data.orderBy(F.xxhash64("id"), "id").limit(rows).collect()
+    if not sample:
+        return np.zeros((0, 0))
     vectors = [r["v"] for r in sample if len(r["v"]) == len(sample[0]["v"])]
     points = np.unique(np.array(vectors, float).reshape(len(vectors), -1), axis=0)
     if len(points) <= pivots:
