@@ -8,7 +8,6 @@ children then join their folder once.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,8 +18,6 @@ from ..session import cut_lineage
 from .notes import all_notes, note_rows
 from .order import head_of_stack
 
-DEFAULT_MAX_DEPTH = 25
-
 
 @dataclass(frozen=True)
 class Walk:
@@ -45,8 +42,8 @@ class Walk:
         )
 
 
-def folder_paths(folders: DataFrame, roots: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
-    """``(id, root_id, path, depth)`` of every folder within ``max_depth + 1`` of a root.
+def folder_paths(folders: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``(id, root_id, path, depth)`` of every folder below a root, or within ``max_depth + 1`` of one.
 
     ``folders(id, parent_id, name)`` and ``roots(id)``; a root's own path is ``/``.  Folders that
     reach no root, cycles included, do not appear, as a walk from the root never meets them.
@@ -63,7 +60,7 @@ def folder_paths(folders: DataFrame, roots: DataFrame, max_depth: int = DEFAULT_
         "id", F.col("id").alias("at"), F.lit("/").alias("path"), F.lit(0).alias("depth"), F.lit(True).alias("done")
     )
     state = cut_lineage(steps.unionByName(top))
-    for _ in range(max(1, math.ceil(math.log2(max_depth + 2)))):
+    while True:
         waiting = state.filter(~F.col("done"))
         if waiting.isEmpty():
             break
@@ -83,21 +80,27 @@ def folder_paths(folders: DataFrame, roots: DataFrame, max_depth: int = DEFAULT_
                 (F.col("_depth") + F.col("depth")).alias("depth"),
                 F.col("_done").alias("done"),
             )
-            .filter(F.col("depth") <= max_depth + 1)
         )
+        if max_depth is not None:
+            moved = moved.filter(F.col("depth") <= max_depth + 1)
+        moved = cut_lineage(moved)
+        # Every round reaches folders twice as deep; one that reaches none leaves only cycles.
+        if moved.filter("done").isEmpty():
+            break
         state = cut_lineage(state.filter("done").unionByName(moved))
     return state.filter("done").select("id", F.col("at").alias("root_id"), "path", "depth")
 
 
-def walk_tree(nodes: DataFrame, roots: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> Walk:
+def walk_tree(nodes: DataFrame, roots: DataFrame, max_depth: int | None = None) -> Walk:
     """Walk ``nodes(parent_id, id, type, name, position, head_version?)`` from ``roots(id)``.
 
-    A folder at ``max_depth + 1`` is reported and not descended into; what lies below it is not
-    part of the walk.  A version stack contributes its one head file.
+    Without ``max_depth`` the whole tree is walked.  With it, a folder at ``max_depth + 1`` is reported
+    and not descended into; what lies below it is not part of the walk.  A version stack contributes its one head file.
     """
     folders = nodes.filter(F.col("type") == "folder").select("id", "parent_id", "name")
     reached = folder_paths(folders, roots, max_depth)
-    inside = reached.filter(F.col("depth") <= max_depth)
+    deep = F.lit(False) if max_depth is None else F.col("depth") > max_depth
+    inside = reached.filter(~deep)
     # A child is placed by its folder's id, which is unique, so a folder that holds a third of
     # all files is split by the skew join and never multiplied.
     placed = nodes.filter(F.col("type") != "folder").join(
@@ -122,7 +125,7 @@ def walk_tree(nodes: DataFrame, roots: DataFrame, max_depth: int = DEFAULT_MAX_D
     return Walk(
         folders=inside,
         files=plain.unionByName(found),
-        too_deep=reached.filter(F.col("depth") > max_depth),
+        too_deep=reached.filter(deep),
         empty_stacks=heads.filter(F.col("head_id").isNull()).select("id", label.alias("path")),
         unknown=placed.filter(~F.col("type").isin("file", "version_stack")).select("id", "type", label.alias("path")),
     )

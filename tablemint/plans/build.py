@@ -40,6 +40,9 @@ def _union(frames: Iterable[DataFrame | None]) -> DataFrame | None:
 def keyed_rows(mapping: Mapping, table: DataFrame) -> DataFrame:
     """The mapping's rows with a text ``key``; rows without one are skipped or fail the run."""
     column = mapping.identity()
+    taken = [c for c in table.columns if c.lower() == "key" and c != column]
+    if taken:
+        raise ValueError(f'column "{taken[0]}" of "{mapping.table}" has the name of the entity key: rename it')
     value = _quoted(column)
     if mapping.skip_empty_key:
         return table.filter(is_present(value)).withColumn("key", value.cast("string"))

@@ -56,21 +56,21 @@ TAKE_CHARACTER_COLUMNS = [
 ]
 SCENE_CHARACTER_COLUMNS = ["narrativeScene", "characterNumber", "characterName"]
 
-# Content signatures in matching order, as
-#   basis | compared value | type | description | structure | expected per day
-SIGNATURE_TABLE = r"""
-heading       | DAILY EDITOR'S LOG                    | dailyEditorLog       | Daily Editor's Log                 | digital.document | 2
-heading       | DETAILED EDITOR'S LOG                 | detailedEditorLog    | Detailed Editor's Log              | digital.document | -
-heading       | DAILY TIMECODE LOG                    | dailyTimecodeLog     | Daily Timecode Log                 | digital.document | -
-heading       | DAILY COVERAGE                        | dailyCoverage        | Daily Coverage                     | digital.document | -
-heading       | DAILY PROGRESS REPORT                 | dailyProgressReport  | Daily Progress Report              | digital.document | -
-heading       | EDITOR REPORT                         | editorReport         | Editor Report                      | digital.document | -
-heading       | SCRIPT FACING PAGE                    | facingAndLinedScript | Script Facing Page and Lined Script | digital.document | -
-xml_root      | ScriptESIMMetabanq                    | simMetabanqExport    | SIM Metabanq Export                | digital.data     | -
-xml_root      | ScriptEMetaData                       | editorLogExport      | Editor Log Metadata Export         | digital.data     | -
-header_prefix | Slate,Scene,Camera,Roll,Take,Circled  | silverStackLog       | SilverStack Camera Log             | digital.data     | -
-text_pattern  | ^Heading\s*[\r\n]+FIELD_DELIM\b       | avidClipBin          | Avid Clip Bin                      | digital.data     | -
-"""
+# Content signatures in matching order: basis, compared value, type, description,
+# structure, number expected per day.
+SIGNATURE_RULES = (
+    SignatureRule("heading", "DAILY EDITOR'S LOG", "dailyEditorLog", "Daily Editor's Log", "digital.document", 2),
+    SignatureRule("heading", "DETAILED EDITOR'S LOG", "detailedEditorLog", "Detailed Editor's Log", "digital.document", None),
+    SignatureRule("heading", "DAILY TIMECODE LOG", "dailyTimecodeLog", "Daily Timecode Log", "digital.document", None),
+    SignatureRule("heading", "DAILY COVERAGE", "dailyCoverage", "Daily Coverage", "digital.document", None),
+    SignatureRule("heading", "DAILY PROGRESS REPORT", "dailyProgressReport", "Daily Progress Report", "digital.document", None),
+    SignatureRule("heading", "EDITOR REPORT", "editorReport", "Editor Report", "digital.document", None),
+    SignatureRule("heading", "SCRIPT FACING PAGE", "facingAndLinedScript", "Script Facing Page and Lined Script", "digital.document", None),
+    SignatureRule("xml_root", "ScriptESIMMetabanq", "simMetabanqExport", "SIM Metabanq Export", "digital.data", None),
+    SignatureRule("xml_root", "ScriptEMetaData", "editorLogExport", "Editor Log Metadata Export", "digital.data", None),
+    SignatureRule("header_prefix", "Slate,Scene,Camera,Roll,Take,Circled", "silverStackLog", "SilverStack Camera Log", "digital.data", None),
+    SignatureRule("text_pattern", r"^Heading\s*[\r\n]+FIELD_DELIM\b", "avidClipBin", "Avid Clip Bin", "digital.data", None),
+)
 ASSET_FUNCTION = "technicalReferenceMaterial"
 DOMAIN = "Script-E"
 NO_INFORMATION = ("distance", "productionName")
@@ -78,11 +78,7 @@ PROVENANCE_REASON = "Generated by Script-E as a production day deliverable"
 
 
 def signature_rules() -> list[SignatureRule]:
-    rules = []
-    for line in SIGNATURE_TABLE.strip().splitlines():
-        basis, value, kind, description, structure, expected = (c.strip() for c in line.split("|"))
-        rules.append(SignatureRule(basis, value, kind, description, structure, None if expected == "-" else int(expected)))
-    return rules
+    return list(SIGNATURE_RULES)
 
 
 # --- projections --------------------------------------------------------------------------

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +20,37 @@ CORRUPT = "_malformed"
 UNESCAPED = r'(?s)^".*".*"'
 
 
+def headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below a path by their own header, the first line that is not blank."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    first = lines.filter((F.col("block") == 0) & (F.trim("value") != "")).groupBy("file").agg(
+        F.min_by("value", "n").alias("header")
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():  # one short row per file, as in a listing
+        names = tuple(next(csv.reader([r["header"].lstrip("\ufeff").rstrip("\r")])))
+        found.setdefault(names, []).append(unquote(r["file"]))
+    return found
+
+
 def csv_rows(spark: SparkSession, path: str | list[str], columns: list[str] | None = None, multiline: bool = True) -> DataFrame:
     """Rows keyed by header name, all text, with ``_malformed`` set on rows that do not parse.
 
     A malformed row stays in the data with what could be read of it: a row with too few or too
     many cells, or with quotes inside a quoted cell that are not escaped.  ``multiline`` keeps line
-    breaks inside quoted cells; without such cells turn it off, and large files are split.
+    breaks inside quoted cells; without such cells turn it off, and large files are split.  Each file
+    is read by its own header, so columns may come in another order or be missing in some files.
     """
+    if columns is None:
+        found = headers(spark, path)
+        if len(found) > 1:
+            parts = [csv_rows(spark, files, list(names), multiline) for names, files in found.items()]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            last = [CORRUPT, "file_path", ORDER]
+            return rows.select(*[f"`{c}`" for c in rows.columns if c not in last], *last)
     reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multiline).lower())
     names = columns or reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])

@@ -10,8 +10,6 @@ from ..functions.text import _col
 from ..operators.notes import note_rows
 from ..operators.rules import first_rule
 
-SIGNATURE_BYTES = 4096
-
 # Media type per file extension.
 MEDIA_TYPES = {
     ".pdf": "application/pdf",
@@ -52,10 +50,9 @@ def empty_directories(directories: DataFrame, manifest: DataFrame) -> DataFrame:
 def opening_signature(df: DataFrame, content: str) -> DataFrame:
     """Add ``head``, ``first_line`` and ``xml_root`` of a text or binary content column.
 
-    Only the first 4096 bytes are looked at, which is what a signature is.  The cut is in bytes;
-    a character cut in half reads as a replacement.
+    The whole content is looked at, so a marker after a long comment is found.
     """
-    head = F.make_valid_utf8(F.substring(F.col(content).cast("binary"), 1, SIGNATURE_BYTES).cast("string"))
+    head = F.make_valid_utf8(F.col(content).cast("binary").cast("string"))
     # Trimmed, the opening starts with its first line that is not blank.
     first_line = trimmed(F.substring_index(trimmed("head"), "\n", 1))
     body = F.regexp_replace("head", r"<\?xml[^?]*\?>", "")

@@ -166,7 +166,7 @@ TEXT_RULES = [
 _SIGNED = rf"""texts as (
         select concat('d', doc_id) as name, lang as day, case when doc_id % 10 = 0 then concat('<?xml version="1.0"?>', chr(10), '<article>', text) when doc_id % 10 = 1 then concat('The ', text) else text end as body from documents
         union all select concat('p', page_id), 'web', html from pages),
-    heads as (select name, day, substr(body, 1, 4096) as head from texts),
+    heads as (select name, day, body as head from texts),
     signed as (
         select name, day, head,
             coalesce(list_filter(list_transform(string_split_regex(head, '\r?\n'), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '')[1], '') as first_line,

@@ -17,7 +17,7 @@ from tablemint.plans.delivery import (
 from tablemint.plans.mapping import Edge, Mapping, Rest, Text
 from tablemint.sinks import nested_records, write_bundle, write_table_set
 from tablemint.sources.csv import csv_rows, malformed_rows
-from tablemint.sources.files import empty_directories, file_manifest, file_signatures, wrong_documents
+from tablemint.sources.files import empty_directories, file_manifest, file_signatures, opening_signature, wrong_documents
 from tablemint.sources.pages import json_bundle, page_items, read_pages
 
 
@@ -285,3 +285,18 @@ def test_structures_are_checked_before_any_read(spark, rows):
         check_structures({"digital"})
     df = spark.createDataFrame([("TEXT/csv",), ("text/plain",), (None,)], "m string")
     assert rows(df.select("m", structure_for("m").alias("s")), "s") == [("digital",), ("digital.data",), ("digital.document",)]
+
+
+def test_csv_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Slate,Take,Notes\n4A,1,x\n")
+    (tmp_path / "b.csv").write_text("Take,Slate,Notes,Extra\n2,4B,y,z\n")
+    rows = {r["Slate"]: r for r in csv_rows(spark, str(tmp_path)).collect()}
+    assert (rows["4A"]["Take"], rows["4A"]["Notes"], rows["4A"]["Extra"]) == ("1", "x", None)
+    assert (rows["4B"]["Take"], rows["4B"]["Notes"], rows["4B"]["Extra"]) == ("2", "y", "z")
+    assert all(r["_malformed"] is None for r in rows.values())
+
+
+def test_signature_after_a_long_comment(spark):
+    text = "<!-- " + "licence " * 1000 + "-->\n<Root >"
+    df = opening_signature(spark.createDataFrame([(text,)], "content string"), "content")
+    assert df.first()["xml_root"] == "Root"

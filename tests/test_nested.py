@@ -232,3 +232,15 @@ def test_upgrading_twice_changes_nothing(spark, rows):
     again = entities.withColumn("context_type", F.lit("shootDay")).withColumn("has", F.lit(None).cast("string")).withColumn("for_", F.lit(None).cast("string"))
     twice, more = upgrade_context(again, "v3.0")
     assert rows(twice) == rows(entities) and more.count() == 0
+
+
+def test_deep_chains_and_cycles_end(spark):
+    chain = [(f"d{i - 1}" if i else "root", f"d{i}", "folder", f"d{i}", 0) for i in range(40)]
+    files = [(f"d{i}", f"f{i}", "file", f"f{i}", 0) for i in range(40)]
+    cycle = [("c1", "c2", "folder", "c2", 0), ("c2", "c1", "folder", "c1", 0), ("c1", "cf", "file", "cf", 0)]
+    nodes = spark.createDataFrame(
+        [("", "root", "folder", "root", 0), *chain, *files, *cycle],
+        "parent_id string, id string, type string, name string, position int",
+    ).withColumn("head_version", F.lit(None).cast("string"))
+    walk = walk_tree(nodes, spark.createDataFrame([("root",)], "id string"))
+    assert walk.files.count() == 40 and walk.too_deep.count() == 0
