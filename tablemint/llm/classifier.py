@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import fold, query, small_batches, table
+from .common import bounded_sample, fold, query, small_batches, table
 from .rules import measure_text
 
 SAMPLE_ROWS = 20_000
@@ -126,7 +126,7 @@ def train(described: DataFrame, labels: DataFrame, label: str, rows: int = SAMPL
     labelled = described.join(
         labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("id"), F.col(label).alias("_label")), "id"
     )
-    sample = labelled.orderBy(F.xxhash64("id"), "id").limit(rows).select("features", "_label").collect()
+    sample = bounded_sample(labelled, "id", rows).select("features", "_label").collect()
     x = np.array([r["features"] for r in sample], float).reshape(len(sample), -1)
     return fit_ranking(x, np.array([r["_label"] == 1 for r in sample], bool))
 

@@ -44,3 +44,15 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Hand Python few rows at once: texts are long, and a worker holds a batch in several forms."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, picked by a hash of the key.
+
+    The hash thins all rows before the exact cut, so tasks send what is taken, however many they are.
+    """
+    total = df.count()
+    order = F.xxhash64(F.col(key), F.lit("sample"))
+    if total > rows:
+        df = df.filter(F.pmod(order, F.lit(total)) < rows)
+    return df.orderBy(order, key).limit(rows)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import fold, lower_words, query, small_batches, table
+from .common import bounded_sample, fold, lower_words, query, small_batches, table
 
 SYMBOLS = 16_384
 CLASSES = 64
@@ -374,7 +374,7 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     numbered = source.withColumn("row", F.monotonically_increasing_id())
     encoded = stage(encode(numbered, shared), "encoded")
     training = encoded.filter(~F.col("held_out"))
-    sample = training.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_DOCS).select(
+    sample = bounded_sample(training, "row", SAMPLE_DOCS).select(
         F.substring("ids", 1, 2 * SAMPLE_TOKENS).alias("ids")
     ).collect()
     model = first_model([np.frombuffer(r["ids"], "<u2") for r in sample], known.unigram)

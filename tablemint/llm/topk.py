@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import query, table
+from .common import bounded_sample, query, table
 
 SCALE = 256
 PIVOTS = 64
@@ -47,7 +47,7 @@ def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 def choose_pivots(data: DataFrame, pivots: int = PIVOTS, rows: int = PIVOT_ROWS) -> np.ndarray:
     """Centres of a few k-means rounds over a bounded sample."""
-    sample = data.orderBy(F.xxhash64("id"), "id").limit(rows).collect()
+    sample = bounded_sample(data, "id", rows).collect()
     if not sample:
         return np.zeros((0, 0))
     vectors = [r["v"] for r in sample if len(r["v"]) == len(sample[0]["v"])]
