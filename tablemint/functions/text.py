@@ -91,25 +91,40 @@ def number_or_null(value: Column | str) -> Column:
 
 
 def number_text(number: Column) -> Column:
-    """Shortest plain spelling of a double: ``90`` rather than ``90.0``."""
-    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(1e18))
-    plain = F.regexp_replace(
-        number.try_cast("decimal(38,17)").cast("string"), r"\.?0+$", ""
+    """Shortest spelling of a double: ``90`` rather than ``90.0``.
+
+    Digits are written out from a millionth up to 1e21; beyond, as ``1.5e-7`` and ``1e+21``.
+    """
+    size = F.abs(number)
+    whole = (number == F.floor(number)) & (size < F.lit(1e18))
+    plain = lambda scale: F.regexp_replace(
+        number.try_cast(f"decimal(38,{scale})").cast("string"), r"\.?0+$", ""
+    )
+    power = F.regexp_replace(F.regexp_replace(number.cast("string"), r"(?:\.0)?E", "e"), r"e(?=\d)", "e+")
+    return (
+        F.when(whole, number.try_cast("bigint").cast("string"))
+        .when((size >= F.lit(1e-6)) & (size < F.lit(1.0)), plain(30))
+        .when((size >= F.lit(1.0)) & (size < F.lit(1e21)), plain(17))
+        .otherwise(power)
+    )
+
+
+def _hexadecimal(digits: Column) -> Column:
+    """The double that hexadecimal digits spell, however many they are."""
+    return F.aggregate(
+        F.split(F.lower(digits), "(?!^)"), F.lit(0.0),
+        lambda total, c: F.when(c == "", total).otherwise(total * 16 + F.conv(c, 16, 10).cast("double")),
     )
-    return F.when(whole, number.try_cast("bigint").cast("string")).when(
-        (F.abs(number) < F.lit(1e18)) & (F.abs(number) >= F.lit(1e-6)), plain
-    ).otherwise(number.cast("string"))
 
 
 def as_number(value: Column | str) -> Column:
     """``23.976`` and ``23.9760`` become one spelling; other text is left as it is."""
     value = _col(value)
     text = trimmed(value)
-    hexadecimal = F.conv(F.substr(text, F.lit(3)), 16, 10)
     return (
         F.when(text.rlike(r"^\d{1,12}(\.\d{1,2})?$|^\d{1,8}\.\d{1,6}$"), F.regexp_replace(text, IDLE_ZEROS, ""))
         .when(text.rlike(PLAIN_NUMBER), number_text(text.try_cast("double")))
-        .when(text.rlike(r"^0[xX][0-9a-fA-F]{1,13}$"), hexadecimal)
+        .when(text.rlike(r"^0[xX][0-9a-fA-F]+$"), number_text(_hexadecimal(F.substr(text, F.lit(3)))))
         .otherwise(value)
     )
 

@@ -52,14 +52,17 @@ def unresolved(pairs: DataFrame, targets: DataFrame) -> DataFrame:
     return pairs.join(targets.select(F.col("key").alias("to_key")), "to_key", "left_anti").select("from_key", "to_key")
 
 
-def inverse_edges(edges: DataFrame, edge_key: str = "for") -> DataFrame:
-    """The mirror row on the target of each edge; external targets have none."""
-    return edges.filter(~F.col("external")).select(
-        F.col("to_type").alias("from_type"), F.col("to_key").alias("from_key"), F.col("to_id").alias("from_id"),
-        F.lit(edge_key).alias("edge_key"),
-        F.col("from_type").alias("to_type"), F.col("from_key").alias("to_key"), F.col("from_id").alias("to_id"),
-        F.lit(False).alias("external"), F.lit(True).alias("inverse"),
-    )
+def with_inverse(edges: DataFrame, edge_key: str = "for") -> DataFrame:
+    """Each edge and its mirror row, from one reading of the edges; external targets have no mirror."""
+    mirror = {
+        "from_type": F.col("to_type"), "from_key": F.col("to_key"), "from_id": F.col("to_id"), "edge_key": F.lit(edge_key),
+        "to_type": F.col("from_type"), "to_key": F.col("from_key"), "to_id": F.col("from_id"),
+        "external": F.lit(False), "inverse": F.lit(True),
+    }
+    row = F.struct(*[F.col(c) for c in EDGE_COLUMNS])
+    mirrored = F.struct(*[mirror[c].alias(c) for c in EDGE_COLUMNS])
+    both = F.when(F.col("external"), F.array(row)).otherwise(F.array(row, mirrored))
+    return edges.select(F.inline(both))
 
 
 def unknown_targets(edges: DataFrame, identifiers: DataFrame, built_types: list[str]) -> DataFrame:

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import has_text, iso_date, trimmed
 from ..functions.text import SPACE
 
-# What a report header prints and how many lines it spans.
-HEADER_LINES = 6
+# What a report header prints.
 HEADER_SEPARATOR = " ‖ "
 DAY_AND_UNIT = r"(?i)Day:\s*Day\s*(\d+)\s*-\s*([^‖]+)"
 SHOOT_DATE = r"(?i)Date:\s*(\d{1,2}/\d{1,2}/\d{2,4})"
@@ -34,19 +32,20 @@ def page_lines(runs: DataFrame) -> DataFrame:
     return joined.select("doc", "page", "y", line.alias("line"))
 
 
-def report_header(lines: DataFrame, page: int = 1) -> DataFrame:
-    """Print date, shoot day, unit and shoot date from the top lines of the first page.
+def report_header(lines: DataFrame, page: int = 1, top: int | None = None) -> DataFrame:
+    """Print date, shoot day, unit and shoot date from the lines of the first page.
 
-    The per-document top-n is limited before the shuffle; only six lines of a document travel.
+    A field is the first match from the top of the page, however many lines its header has; the
+    print date stands on the first line.  ``headings`` are the lines in page order; ``top`` keeps
+    the first so many, where a layout is known to have a header of that height.
     """
-    rank = F.row_number().over(W.partitionBy("doc").orderBy(F.desc("y")))
-    top = (
-        lines.filter(F.col("page") == page)
-        .select("doc", "line", rank.alias("n"))
-        .filter(F.col("n") <= HEADER_LINES)
+    first_page = lines.filter(F.col("page") == page)
+    header = first_page.groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("y")).alias("n"), "line"))).alias("_lines")
     )
-    header = top.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("_lines"))
     headings = F.transform("_lines", lambda r: r["line"])
+    if top is not None:
+        headings = F.slice(headings, 1, top)
     text = F.array_join("headings", HEADER_SEPARATOR)
     found = lambda value: F.nullif(value, F.lit(""))
     first = F.element_at("headings", 1)

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cast_as, entity_id, is_present, present, split_list
-from ..operators.edges import edge_rows, edge_targets, inverse_edges, resolved, unresolved
+from ..operators.edges import edge_rows, edge_targets, resolved, unresolved, with_inverse
 from ..operators.notes import note_rows
 from ..operators.quality import report_rows
 from ..operators.order import ORDER, data_columns, first_match, order_of
+from ..session import stage
 from .mapping import Lookup, Mapping, MappingError, Source, check_mappings
 
 TEXT_PATH = re.compile(r"^(\w+)\[\d+\]\.(author|title|text)$")
@@ -466,9 +467,7 @@ class Built:
         for m, e, pairs, (forward, backward) in self._declared_edges():
             found = pairs if e.external else resolved(pairs, self._keys[e.to])
             rows = edge_rows(found, m.entity_type, e.to, self.namespace, e.edge_key or forward, e.external)
-            frames.append(rows)
-            if e.inverse and not e.external:
-                frames.append(inverse_edges(rows, backward))
+            frames.append(with_inverse(rows, backward) if e.inverse and not e.external else rows)
         return _union(frames)
 
     @cached_property
@@ -481,6 +480,28 @@ class Built:
             if not e.external
         )
 
+    def stored(self, *frames: str) -> Built:
+        """The same build with frames written once to the shared folder: those named, or all.
+
+        For what reads a build many times.  Sealing reads ``keys`` and ``edges`` for each figure and
+        every entity once; writing a bundle reads everything twice.
+        """
+        wanted = frames or ("keys", "edges", "entities", "texts", "custom")
+        held = object.__new__(Built)
+        held.__dict__.update(self.__dict__)
+        if "keys" in wanted:
+            held.__dict__["_keys"] = {t: stage(df, f"keys-{t}") for t, df in self._keys.items()}
+            # What was planned from the sources is planned anew from the stored keys.
+            for name in ("identifiers", "edges", "unresolved"):
+                held.__dict__.pop(name, None)
+        if "entities" in wanted:
+            held.__dict__["entities"] = {t: stage(df, f"entities-{t}") for t, df in self.entities.items()}
+        for name in ("edges", "texts", "custom"):
+            frame = getattr(held, name) if name in wanted else None
+            if frame is not None:
+                held.__dict__[name] = stage(frame, name)
+        return held
+
     @property
     def types(self) -> list[str]:
         return list(self._keys)

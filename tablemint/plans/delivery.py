@@ -205,7 +205,7 @@ class Delivery:
             earlier.withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))),
             "duplicateCharacter",
             F.concat(F.lit("scene "), F.coalesce("narrativeScene", F.lit("null"))),
-            F.concat(F.col("_who.characterName"), F.lit(" (#"), F.col("_who.characterNumber"), F.lit(") listed more than once")),
+            F.concat(F.col("_who.characterName"), F.lit(" (#"), F.col("_who.characterNumber"), F.lit(") repeats in the cast list")),
         )
         tables = [self.takes, self.scenes, self.shoot_days]
         leaked = reduce(
@@ -213,17 +213,20 @@ class Delivery:
         ).distinct()
         tallies = reduce(DataFrame.unionByName, [sentinel_tally(df, names) for df, names in self.raw])
         sentinels = tallies.groupBy("field").agg(F.sum("n").alias("n"))
-        duplicates = duplicate_keys(self.takes, [F.col("file_path"), self.take_key().alias("_key")])
+        # A key is repeated within its production and day, in however many files they are delivered.
+        context = self.context().select("file_path", "productionName", F.col("shootDay").alias("_day"))
+        dated = self.takes.join(context, "file_path", "left").withColumn("_day", F.coalesce("shootDay", "_day"))
+        duplicates = duplicate_keys(dated, [F.col("productionName"), F.col("_day"), self.take_key().alias("_key")])
         copied = is_copied(self.takes, "distance", "lensHeight").filter("copied")
         field = F.concat(F.lit("field "), F.col("field"))
         return all_notes(
             [
                 repeated,
                 characters,
-                note_rows(leaked, "objectDescription", field, "value is a leaked internal object description, not data"),
+                note_rows(leaked, "objectDescription", field, "holds the printed form of a program object instead of a value"),
                 note_rows(
                     duplicates, "duplicateTakeKey", F.col("_key"),
-                    F.concat("n", F.lit(" takes share slate|camera|take and cannot be told apart across sources")),
+                    F.concat("n", F.lit(" takes of one day have this key; sources compare only the last")),
                 ),
                 note_rows(copied, "duplicatedField", "shot_properties", "distance is identical to lensHeight for every take"),
                 note_rows(

@@ -1,6 +1,6 @@
 """Writers: table sets, entity bundles and nested JSON."""
 
-from .bundle import nested_records, write_bundle
+from .bundle import bundle_parts, nested_records, write_bundle
 from .tables import prune_stale, write_json, write_table_set
 
-__all__ = ["nested_records", "prune_stale", "write_bundle", "write_json", "write_table_set"]
+__all__ = ["bundle_parts", "nested_records", "prune_stale", "write_bundle", "write_json", "write_table_set"]

@@ -13,9 +13,10 @@ from ..plans.build import Built
 from ..plans.bundle import Seal, require_valid, seal_bundle
 from ..plans.nest import nest
 from ..session import stage
-from .tables import publish
+from .tables import publish, staging_path
 
-REFS_PER_RECORD = 100_000
+#: What a bundle holds: one record per entity, and beside them what an entity may have many of.
+PARTS = ("entities", "edges", "texts", "customData", "identifiers")
 NO_SUB = "named_struct('edge_key', cast(null as string), 'to_type', cast(null as string))"
 
 
@@ -70,15 +71,61 @@ def _facts(built: Built, scope: str, extra_identifiers: DataFrame | None) -> Dat
     return reduce(DataFrame.unionByName, frames)
 
 
+def bundle_parts(
+    built: Built, schema_version: str, scope: str = "local", extra_identifiers: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The folders of a bundle, the same at every size: no row grows with what an entity has.
+
+    ``entities(entityType, key, record)``: one JSON record per entity with its identifier and its
+    own properties.  The others name the entity by ``entityType`` and ``key``: ``edges(edgeKey, toType,
+    toKey, toId, external, inverse)``, ``texts(path, author, title, text)``, ``customData(domain,
+    namespace, schema, value)``, ``identifiers(identifierScope, identifierValue)``.
+    """
+    records = []
+    for entity_type, df in built.entities.items():
+        paths = [c for c in df.columns if c not in ("key", "entity_id")]
+        head = [
+            F.lit(entity_type).alias("entityType"), F.lit(schema_version).alias("schemaVersion"),
+            F.array(_reference(F.lit(scope), F.col("entity_id"))).alias("identifier"),
+        ]
+        record = F.to_json(F.struct(*head, *(nest(paths) if paths else [])))
+        records.append(df.select(F.lit(entity_type).alias("entityType"), "key", record.alias("record")))
+    of_entity = [F.col("entity_type").alias("entityType"), F.col("key")]
+    own = reduce(DataFrame.unionByName, [
+        df.select(
+            F.lit(t).alias("entityType"), "key", F.lit(scope).alias("identifierScope"), F.col("entity_id").alias("identifierValue")
+        )
+        for t, df in built.entities.items()
+    ])
+    parts = {"entities": reduce(DataFrame.unionByName, records), "identifiers": own}
+    if extra_identifiers is not None:
+        more = extra_identifiers.select(
+            *of_entity, F.col("scope").alias("identifierScope"), F.col("value").alias("identifierValue")
+        )
+        parts["identifiers"] = own.unionByName(more)
+    if built.edges is not None:
+        parts["edges"] = built.edges.select(
+            F.col("from_type").alias("entityType"), F.col("from_key").alias("key"), F.col("edge_key").alias("edgeKey"),
+            F.col("to_type").alias("toType"), F.col("to_key").alias("toKey"), F.col("to_id").alias("toId"),
+            "external", "inverse",
+        )
+    if built.texts is not None:
+        parts["texts"] = built.texts.select(*of_entity, "path", "author", "title", "text")
+    if built.custom is not None:
+        parts["customData"] = built.custom.select(*of_entity, "domain", "namespace", "schema", "value")
+    return parts
+
+
 def nested_records(
-    built: Built, schema_version: str, scope: str = "local", per_record: int = REFS_PER_RECORD,
+    built: Built, schema_version: str, per_record: int, scope: str = "local",
     extra_identifiers: DataFrame | None = None, staged: bool = False,
 ) -> DataFrame:
-    """Nested JSON as ``(entityType, record)``.
+    """A nested view for readers that ask for one: JSON as ``(entityType, record)``.
 
-    An entity is one record unless it has more than ``per_record`` texts, customData entries and
-    references together.  It is then several records of the same identifier, which a reader folds
-    by the ordinary rule that arrays unite by value; no list grows with the data, and none is cut.
+    The reader says how many facts a record of its may hold (texts, customData entries and references
+    together); an entity with more has several records of the same identifier, which fold by the
+    ordinary rule that arrays unite by value.  No list grows with the data, and none is cut.  What
+    ``write_bundle`` writes does not depend on it.
 
     ``extra_identifiers(entity_type, key, scope, value)`` follow an entity's own identifier.
     ``staged`` stores the facts once, as sizing and assembling them both read them.
@@ -142,16 +189,23 @@ def nested_records(
 
 def write_bundle(
     built: Built, rules: dict[str, list[EntityRule]], out: str, schema_version: str, scope: str = "local",
-    per_record: int = REFS_PER_RECORD, extra_identifiers: DataFrame | None = None,
+    extra_identifiers: DataFrame | None = None,
 ) -> Seal:
-    """Validate, stage and publish a bundle, one folder of JSON lines per entity type.
+    """Validate, stage and publish a bundle: one folder of JSON lines per part of ``PARTS``.
 
-    Nothing is written unless every entity is valid, and readers never see a half-written bundle.
+    Everything is built once: validation, figures and the bundle are taken from the stored frames.
+    Nothing is written to ``out`` unless every entity is valid, and readers never see a half-written
+    bundle; parts that the mappings give no reason for are absent.
     """
+    built = built.stored()
     seal = seal_bundle(built, rules)
     require_valid(seal, built)
-    pending = f"{out.rstrip('/')}.staged"
-    records = nested_records(built, schema_version, scope, per_record, extra_identifiers, staged=True)
-    records.write.mode("overwrite").partitionBy("entityType").text(pending)
-    publish(records.sparkSession, pending, out)
+    pending = staging_path(out)
+    for part, df in bundle_parts(built, schema_version, scope, extra_identifiers).items():
+        target = f"{pending}/{part}"
+        if part == "entities":
+            df.drop("key").write.partitionBy("entityType").text(target)
+        else:
+            df.write.partitionBy("entityType").json(target)
+    publish(built.identifiers.sparkSession, pending, out)
     return seal

@@ -332,4 +332,4 @@ def idempotent(t: Tables) -> DataFrame:
 def report_counts(t: Tables) -> DataFrame:
     """The figures of a sealed bundle."""
     rules = {"Order": [EntityRule("status", required=True, allowed=("O", "F"))], "Customer": [EntityRule("name", required=True)]}
-    return seal_bundle(_linked(t), rules).report()
+    return seal_bundle(_linked(t).stored("keys", "edges"), rules).report()

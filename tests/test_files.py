@@ -16,6 +16,7 @@ from tablemint.plans.delivery import (
 )
 from tablemint.plans.mapping import Edge, Mapping, Rest, Text
 from tablemint.sinks import nested_records, write_bundle, write_table_set
+from tablemint.sinks.tables import publish, written_tables
 from tablemint.sources.csv import csv_rows, malformed_rows
 from tablemint.sources.files import empty_directories, file_manifest, file_signatures, opening_signature, wrong_documents
 from tablemint.sources.pages import json_bundle, page_items, read_pages
@@ -195,9 +196,12 @@ def test_pages_and_bundles(spark, tmp_path, rows):
 def test_table_sets_replace_and_prune(spark, tmp_path, rows):
     out = str(tmp_path / "tables")
     df = spark.createDataFrame([("a", None), ('say "x", y', "b")], "x string, y string")
+    put(tmp_path / "tables" / "foreign" / "kept.txt", "not a table of a run")
     write_table_set({"one": df, "stale": df}, out)
+    assert written_tables(spark, out) == {"one", "stale"}
     write_table_set({"one": df}, out)
-    assert os.listdir(out) == ["one"]
+    assert sorted(os.listdir(out)) == ["_tables", "foreign", "one"]
+    assert os.listdir(f"{out}/foreign") == ["kept.txt"]
     assert rows(csv_rows(spark, f"{out}/one"), "x", "y") == rows(df)
 
 
@@ -212,8 +216,24 @@ def small(spark):
     return build_entities({"people": people, "links": links}, mappings, "demo")
 
 
+def test_a_publish_that_fails_keeps_the_last_output(spark, tmp_path):
+    out = str(tmp_path / "out")
+    put(tmp_path / "out" / "part", "first")
+    with pytest.raises(FileNotFoundError):
+        publish(spark, str(tmp_path / "never-staged"), out)
+    assert (tmp_path / "out" / "part").read_text() == "first"
+    # A run that died after it moved the output aside.
+    os.rename(out, str(tmp_path / ".out.previous"))
+    with pytest.raises(FileNotFoundError):
+        publish(spark, str(tmp_path / "never-staged"), out)
+    assert (tmp_path / "out" / "part").read_text() == "first"
+    put(tmp_path / "staged" / "part", "second")
+    publish(spark, str(tmp_path / "staged"), out)
+    assert (tmp_path / "out" / "part").read_text() == "second" and sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+
+
 def test_nested_records_split_without_losing_anything(small):
-    whole = [json.loads(r.record) for r in nested_records(small, "v3").collect()]
+    whole = [json.loads(r.record) for r in nested_records(small, "v3", per_record=100).collect()]
     assert len(whole) == 2
     ann = next(r for r in whole if r.get("names"))
     assert ann["names"] == {"full": "Ann"} and ann["annotation"] == [{"title": "Note", "text": "n1"}]
@@ -227,7 +247,7 @@ def test_nested_records_split_without_losing_anything(small):
 
 def test_a_second_identifier_follows_the_first(spark, small):
     extra = spark.createDataFrame([("Person", "p1", "source", "id-1")], "entity_type string, key string, scope string, value string")
-    records = [json.loads(r.record) for r in nested_records(small, "v3", extra_identifiers=extra).collect()]
+    records = [json.loads(r.record) for r in nested_records(small, "v3", per_record=100, extra_identifiers=extra).collect()]
     found = {len(r["identifier"]): r for r in records}
     assert found[2]["identifier"][1] == {"identifierScope": "source", "identifierValue": "id-1"}
     assert found[2]["identifier"][0]["identifierScope"] == "local" and found[2]["names"]["full"] == "Ann"
@@ -237,10 +257,15 @@ def test_nothing_is_written_unless_every_entity_is_valid(spark, small, tmp_path)
     out = str(tmp_path / "bundle")
     with pytest.raises(InvalidBundle, match="1 of 2 entities failed validation. First: Person .*names/full is required"):
         write_bundle(small, {"Person": [EntityRule("names.full", required=True)]}, out, "v3")
-    assert not os.path.exists(out) and not os.path.exists(out + ".staged")
+    assert not os.path.exists(out)
     write_bundle(small, {"Person": [EntityRule("names.full", allowed=("Ann",))]}, out, "v3")
     write_bundle(small, {}, out, "v3")
-    assert spark.read.json(out).count() == 2 and os.listdir(out).count("entityType=Person") == 1
+    assert sorted(d for d in os.listdir(out) if d[0] not in "._") == ["customData", "edges", "entities", "identifiers", "texts"]
+    records = [r.asDict(True) for r in spark.read.json(f"{out}/entities").collect()]
+    assert len(records) == 2 and all(len(r["identifier"]) == 1 and r["schemaVersion"] == "v3" for r in records)
+    assert {(r.key, r.toKey) for r in spark.read.json(f"{out}/edges").collect()} == {("p1", f"t{i:03d}") for i in range(25)} | {("p2", "t000")}
+    assert [r.text for r in spark.read.json(f"{out}/texts").collect()] == ["n1"]
+    assert [p.name for p in tmp_path.iterdir()] == ["bundle"]
 
 
 def test_catalogue_from_tree_to_entities(spark, rows):

@@ -22,6 +22,8 @@ def apply(spark, function, values, kind="string"):
         (fn.loose_text, {" It’s  A\nTest ": "it's a test", f"A{NBSP}B": "a b"}),
         (fn.is_object_description, {"<Unit: 0x60000aeaec30>": True, "<Unit: 0x>": False, "<Unit 1: 0xab>": False}),
         (fn.shoot_day_number, {"Day 1": "1", "day3": "3", " 12 ": "12", "1A": "1A", "Day": "Day", None: None}),
+        (fn.as_number, {"0x1f": "31", "0x123456789abcdef": "81985529216486896", "1e20": "100000000000000000000", "1e21": "1e+21",
+                        "0.0000012345678901234": "0.0000012345678901234", "2.5e-8": "2.5e-8"}),
         (fn.as_number, {"23.976": "23.976", "23.9760": "23.976", "90.0": "90", "007": "7", "1e3": "1000", "-0": "0",
                         "1d": "1d", "na": "na", "0x10": "16", ".5": "0.5", "+4": "4", None: None}),
         (fn.us_datetime_to_iso, {"01/23/2026 15:41:51": "2026-01-23T15:41:51", "99/99/2026 15:41:51": "2026-99-99T15:41:51",

@@ -140,7 +140,15 @@ def test_lines_and_header(spark, rows):
     assert rows(lines.filter("page = 1 and y = 700"), "line") == [("DAILY EDITOR'S LOG",)]
     header = report_header(lines).first()
     assert (header.print_date, header.shoot_day, header.unit, header.shoot_date) == ("2026-01-23", "3", "Main Unit", "2026-01-22")
-    assert header.headings[1] == "DAILY EDITOR'S LOG" and len(header.headings) == 6
+    assert header.headings[1] == "DAILY EDITOR'S LOG" and len(header.headings) == 7
+    assert len(report_header(lines, top=6).first().headings) == 6
+
+
+def test_a_header_of_any_height(spark):
+    texts = ["Printed 1/23/26", *[f"note {i}" for i in range(8)], "Day: Day 3 - Main Unit"]
+    runs = spark.createDataFrame([("d", 1, 0.0, 700.0 - 12 * i, text) for i, text in enumerate(texts)], "doc string, page int, x double, y double, text string")
+    header = report_header(page_lines(runs)).first()
+    assert (header.print_date, header.shoot_day, header.unit) == ("2026-01-23", "3", "Main Unit")
 
 
 def test_edges_of_any_shape_are_reported_not_thrown(spark, rows):
