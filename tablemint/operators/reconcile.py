@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import compare_value
+from ..session import stage
 from .order import ORDER, last_wins, top_sample
 
 
@@ -58,13 +60,23 @@ class Reconciliation:
         joined = side(self.left, "left").join(
             side(self.right, "right"), self.keys, "full_outer"
         )
-        object.__setattr__(self, "_joined", joined)
+        both = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+        # A column of its own, so that what reads it more than once compares the fields once.
+        object.__setattr__(self, "_joined", joined.withColumn("_unequal", F.when(both, self._compare())))
+
+    def stored(self) -> Reconciliation:
+        """The same comparison with its outcome per key written to the shared folder, for several outputs."""
+        present = lambda side: F.when(F.col(side).isNotNull(), True).alias(side)
+        outcome = self._joined.select(*self.keys, present("_left"), present("_right"), "_unequal")
+        held = copy(self)
+        object.__setattr__(held, "_joined", stage(outcome, "reconciled"))
+        return held
 
     @property
     def _both(self) -> Column:
         return F.col("_left").isNotNull() & F.col("_right").isNotNull()
 
-    def _unequal(self) -> Column:
+    def _compare(self) -> Column:
         pairs = []
         for f in shared_fields(self.fields):
             left, right = F.col("_left")[f.left], F.col("_right")[f.right]
@@ -87,7 +99,7 @@ class Reconciliation:
         """One row per key and field the sides disagree on."""
         return (
             self._joined.filter(self._both)
-            .select(*self.keys, F.explode(self._unequal()).alias("_d"))
+            .select(*self.keys, F.explode("_unequal").alias("_d"))
             .select(*self.keys, "_d.*")
         )
 
@@ -105,7 +117,7 @@ class Reconciliation:
 
         A value missing on one side is reported but does not fail the comparison.
         """
-        unequal = F.when(self._both, self._unequal())
+        unequal = F.col("_unequal")
         count = lambda kind: F.coalesce(
             F.sum(F.size(F.filter(unequal, lambda d: d["difference"] == kind))), F.lit(0)
         ).cast("bigint")

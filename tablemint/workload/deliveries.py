@@ -500,7 +500,7 @@ def witness_a_fields(t: Tables) -> DataFrame:
     still differ as labels.
     """
     out = _write_xml(_perturbed(t).drop("o", "n"), _folder(t, "witness_a"), WITNESS_A_ROOT, WITNESS_A_ROW)
-    r = compare_witness(with_take_key(_delivery(t).takes), with_take_key(read_witness_a(t.spark, out)), "a")
+    r = compare_witness(with_take_key(_delivery(t).takes), with_take_key(read_witness_a(t.spark, out)), "a").stored()
     only = r.only_left().agg(F.count("*").alias("n")).select(
         F.lit("keys").alias("field"), F.lit("only_left").alias("difference"), "n", F.lit(None).cast("string").alias("note")
     )
