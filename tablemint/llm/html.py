@@ -1,11 +1,14 @@
 """Main text of web pages by consensus of their host.
 
-Each page's containers are scored by the text they hold, less their link text.  The page's best
-container casts a vote for its generalised path (tags with their classes, digits left out) at its
-host.  Spark counts the votes; the path with most of them wins at that host, and every page of the
-host is extracted again from the containers on that path, without the parts that are no article:
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.  A page that
-has no container on its host's path is extracted from its own best container.
+Each page's containers are scored by the text they hold, less their link text.  From the best one the
+page's content root is found: the nearest article or main element, and from there each element around
+it that adds text with few links, such as a title or lead.  The root casts a vote for its generalised
+path (tags with their classes, digits left out) at its host.  Spark counts the votes; the path with
+most of them wins at that host, and every page of the host is extracted again from the containers on
+that path, without the parts that are no article: menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and comments.  A page that has no text on its host's path is extracted from its
+own root, and so is one whose root is an article or main element, or stands around what is on the
+path, and holds over five times the text found there.
 
 Defined cases: a null or empty page has an empty text; pages with a null URL share the empty host;
 equal rows vote and are extracted one by one; an empty table gives an empty result.
@@ -34,6 +37,7 @@ _BLOCK = set(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption address hr br details summary center".split()
 ) | _DROP
+_PROSE = set("h1 h2 h3 h4 h5 h6 p".split())
 _CONTAINER = set("body main article section div td blockquote center".split())
 #: Opening one of these closes an open element of the set, up to the nearest container or list.
 _CLOSES = {
@@ -70,10 +74,14 @@ class Container:
 
 @dataclass
 class Page:
-    """Containers in page order, and blocks as (container number, text, link characters)."""
+    """Containers in page order, and blocks as (container number, text, link characters).
+
+    ``titled`` holds the containers with a heading or paragraph of their own.
+    """
 
     containers: list[Container] = field(default_factory=lambda: [Container("", -1)])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    titled: set[int] = field(default_factory=set)
 
 
 @dataclass
@@ -114,6 +122,8 @@ def parse_page(source: str | None) -> Page:
             text = " ".join("".join(pieces).split())
             if text:
                 page.blocks.append((stack[-1].container, text, linked))
+                if any(s.tag in _PROSE for s in reversed(stack) if s.container == stack[-1].container):
+                    page.titled.add(stack[-1].container)
             pieces.clear()
         linked = 0
 
@@ -188,19 +198,69 @@ def best_container(page: Page) -> int:
     return max(range(len(page.containers)), key=lambda i: (page.containers[i].score, i))
 
 
-def text_of(page: Page, wanted: set[int]) -> str:
-    """Blocks inside the wanted containers, in page order."""
+def _tag(container: Container) -> str:
+    return container.path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
+#: The share of link characters up to which added text counts as part of the article.
+LINK_SHARE = 0.25
+
+
+def content_root(page: Page) -> int:
+    """The element that holds the whole article around the best container.
+
+    The body, which holds all else too, is taken only for a heading or paragraph of its own, and not
+    around an article or main element.
+    """
+    containers = page.containers
+    best = at = best_container(page)
+    while at >= 0 and _tag(containers[at]) not in ("article", "main"):
+        at = containers[at].parent
+    root = at = at if at >= 0 else best
+    while containers[at].parent >= 0:
+        at = containers[at].parent
+        if _tag(containers[at]) in ("", "body") and (at not in page.titled or _tag(containers[root]) in ("article", "main")):
+            break
+        held, around = _inside(page, {root}), _inside(page, {at})
+        added = [(len(text), link) for number, text, link in page.blocks if around[number] and not held[number]]
+        if sum(link for _, link in added) > LINK_SHARE * sum(n for n, _ in added):
+            break
+        if added:
+            root = at
+    return root
+
+
+def _inside(page: Page, wanted: set[int]) -> list[bool]:
     inside = [False] * len(page.containers)
     for i, c in enumerate(page.containers):
         inside[i] = i in wanted or (c.parent >= 0 and inside[c.parent])
+    return inside
+
+
+def text_of(page: Page, wanted: set[int]) -> str:
+    """Blocks inside the wanted containers, in page order."""
+    inside = _inside(page, wanted)
     return "\n".join(text for number, text, _ in page.blocks if inside[number])
 
 
+#: The share of the root's text below which what is on the host's path is not the page's article.
+LEAST_SHARE = 0.2
+
+
 def extract(source: str | None, winner: str | None) -> str:
     page = parse_page(source)
     on_path = {i for i, c in enumerate(page.containers) if c.path == winner}
     text = text_of(page, on_path) if on_path else ""
-    return text or text_of(page, {best_container(page)})
+    root = content_root(page)
+    if not text:
+        return text_of(page, {root})
+    if root not in on_path:
+        inside = _inside(page, {root})
+        if _tag(page.containers[root]) in ("article", "main") or any(inside[i] for i in on_path):
+            own = text_of(page, {root})
+            if len(text) < LEAST_SHARE * len(own):
+                return own
+    return text
 
 
 def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -211,8 +271,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         out = []
         for source in sources:
             page = parse_page(source)
-            best = page.containers[best_container(page)]
-            out.append((best.path, best.score))
+            root = page.containers[content_root(page)]
+            out.append((root.path, root.score))
         return pd.DataFrame(out, columns=["path", "score"])
 
     host, _ = url_parts(F.col(url))

@@ -225,6 +225,37 @@ def test_hosts_vote(spark):
     assert html.extract_pages(df.limit(0)).count() == 0
 
 
+PROSE = "<p>" + "some plain words of a story " * 20 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><h1>Title</h1><div class=lead><p>Lead</div><div class=body>%s</div><p>End</article>",
+        "<main><h1>Title</h1><p>Lead<article><div>%s</div></article><p>End</main>",
+        "<div class=page><h1>Title</h1><div><p>Lead<div class=body>%s</div></div><p>End</div><div class=x><p>short</div>",
+        "<h1>Title</h1><p>Lead<div class=body>%s</div><p>End",
+    ],
+)
+def test_title_and_lead_around_an_inner_container(page):
+    menu = "<nav><a href=/>Menu</a></nav>"
+    source = f"<body>{menu}{page % (PROSE * 3)}<ul class=related><li><a href=/>More</a></ul>"
+    path = html.parse_page(source).containers[html.content_root(html.parse_page(source))].path
+    for winner in (None, path):
+        got = html.extract(source, winner).split("\n")
+        assert got[:2] == ["Title", "Lead"] and got[-1] == "End" and len(got) == 6
+
+
+def test_links_around_the_article_stay_out():
+    source = f"<body><div class=page><div class=story>{PROSE * 3}</div><ul><li><a href=/>Another page to read</a></ul></div>"
+    assert "Another" not in html.extract(source, None)
+
+
+def test_teaser_on_the_path_of_the_host():
+    source = f"<body><div class=story><p>Teaser</div><article><h1>Title</h1>{PROSE * 3}</article>"
+    assert html.extract(source, "/body/div.story").startswith("Title\n")
+
+
 # --- packing ---------------------------------------------------------------------------------------
 
 
