@@ -4,9 +4,12 @@ Documents are tokenised, closed by an end id, and cut only when longer than a se
 are dealt to groups by a hash of their key.  Inside a group, best fit places them longest first; then
 a local search works on the sequences that are not full: it moves one piece, exchanges one for one or
 two for one, whenever that increases the sum of squared fills, so that the emptiest sequences run
-empty.  Sequences that are full enough are final.  The pieces of the others go on to a next level with
-fewer groups, until one group remains, so that groups share what they could not fill.  Every group is
-small whatever the input, and what a level hands on shrinks with each level.
+empty.  Sequences that are full enough are final.  The pieces of the others are dealt anew at a next
+level, so that groups share what they could not fill, until one group remains.  The number of groups
+follows the pieces that are left, so every group has about ``group_pieces`` of all lengths, whatever
+the input.  When a level leaves over half of its pieces, as where lengths do not combine, its rest is
+packed once more in as many groups, and all their sequences are final: a group then closes at most
+about one sequence more than the lengths in it ask for.
 
 Defined cases: a null or empty text is a document of one end id; equal rows are separate documents;
 an empty table gives no pieces; only the key and text columns are read.
@@ -312,17 +315,17 @@ def _placer(level: int, last: bool, capacity: int, full: float):
     return place
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, full: float = 0.995, fan_in: int = 16) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, full: float = 0.995) -> DataFrame:
     """Place every piece: ``sequence_id`` and ``offset`` are added.
 
     ``full``: the share of a sequence from which on it is final at a level below the last.
     """
-    level, placed = 0, []
+    level, placed, stalled = 0, [], False
     todo = stage(pieces, "pieces")
     total = todo.count()
-    groups = max(1, -(-total // group_pieces))
     while True:
-        last = groups == 1
+        groups = max(1, -(-total // group_pieces))
+        last = groups == 1 or stalled
         dealt = todo.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "row", F.lit(level)), F.lit(groups)))
 
         result = stage(dealt.groupBy("grp").applyInPandas(_placer(level, last, capacity, full), PLACED), f"packed-{level}")
@@ -332,9 +335,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         todo = result.filter("sequence_id < 0").select(*pieces.columns)
         level += 1
         rest = todo.count()
-        groups = max(1, min(-(-groups // fan_in), -(-rest // group_pieces)))
-        if groups > 1 and rest > 0.5 * total:
-            groups = max(1, groups // 2)
+        stalled = rest > 0.5 * total
         total = rest
     out = placed[0]
     for more in placed[1:]:

@@ -292,6 +292,17 @@ def test_pieces_fill_sequences_without_gaps(spark):
     assert packing.pack(packing.cut_pieces(docs.limit(0), packing.default_tokenizer())).count() == 0
 
 
+def test_groups_stay_small_when_lengths_do_not_combine(spark):
+    rows = [(i, 0, 0, 2100 + i % 1900, 0, i) for i in range(600)]
+    placed = packing.pack(spark.createDataFrame(rows, packing.PIECES), group_pieces=50).collect()
+    assert sorted(r.doc_id for r in placed) == list(range(600))
+    assert len({r.sequence_id for r in placed}) == 600
+    groups = {}
+    for r in placed:
+        groups[r.sequence_id >> 24] = groups.get(r.sequence_id >> 24, 0) + 1
+    assert len(groups) >= 12 and max(groups.values()) <= 100
+
+
 def test_local_search_empties_a_bin():
     lengths = [6, 4, 7, 3, 5, 5]
     loose = [[0, 3], [1, 4], [2], [5]]
