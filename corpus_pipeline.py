@@ -44,7 +44,10 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose words have the raked shares of source, language and topic."""
+    """A sample of the stated share of words, by the raked shares of source, language and topic.
+
+    A document stays once or goes: one that is wanted more than once is not repeated.
+    """
     return mix(docs).filter("_kept").select(*docs.columns)
 
 

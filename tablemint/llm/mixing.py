@@ -3,9 +3,12 @@
 Each document stands for its number of words.  The words of every (source, language, topic) cell are
 summed, and the cell weights are raked: scaled in turn so that the sums by source, by language and by
 topic meet their targets.  A target is a share given by name, or a tempered share: the power ``temper``
-of the share found, which lifts what is rare.  A document is kept with the probability that is
-proportional to its cell's factor and reaches one in the most wanted cell, so the expected words of
-the sample have the raked shares.  The draw is a hash of the id: the same for every run and order.
+of the share found, which lifts what is rare.  A document is wanted c times its cell's factor.  c is
+solved over the cells so that the expected words of the kept documents are ``share`` of all words, each
+document taken once: a wanted number under one is the probability to be kept, one of one or more keeps
+the document, and ``_repeats`` says how often to take it so that the words have the raked shares.  So
+a rare cell takes nothing from the others.  Without a share, c makes the most wanted cell's number
+one.  The draw is a hash of the id: the same for every run and order.
 
 Defined cases: a null source or language is a value of its own, written as an empty string; a null or
 empty text has no words, weighs nothing and gets its cell's probability (0 in a cell without words);
@@ -24,6 +27,8 @@ from .common import query, table
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 8
 TEMPER = 0.9
+#: Expected words of the kept documents, as a share of all words.
+SHARE = 0.7
 
 
 def topic_of(text: str = "text") -> Column:
@@ -69,14 +74,36 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     return state.withColumn("factor", F.when(F.col("words") > 0, F.col("w") / F.col("words")).otherwise(0.0))
 
 
+def scale_of(factors: DataFrame, share: float) -> float:
+    """c for which the words of all cells, each times min(1, c * factor), sum to ``share`` of all words.
+
+    Cells that reach one are taken whole and c rises for the others, until no more cells reach one.
+    Where the cells of factor zero hold more than the rest of the words, all other cells are whole.
+    """
+    words = F.col("words").cast("double")
+    total = factors.agg(F.coalesce(F.sum(words), F.lit(0.0))).first()[0]
+    c = share
+    while True:
+        whole = F.col("factor") * F.lit(c) >= 1
+        taken, rest = factors.agg(
+            F.coalesce(F.sum(F.when(whole, words)), F.lit(0.0)),
+            F.coalesce(F.sum(F.when(~whole, words * F.col("factor"))), F.lit(0.0)),
+        ).first()
+        if rest <= 0 or (share * total - taken) / rest <= c * (1 + 1e-9):
+            return c
+        c = (share * total - taken) / rest
+
+
 def draw(key: str) -> Column:
     """A number in [0, 1) from the id."""
     digits = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 13)
     return F.conv(digits, 16, 10).cast("double") / float(1 << 52)
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", targets=None, temper: float = TEMPER) -> DataFrame:
-    """``docs`` with ``_topic``, ``_words``, ``_weight`` (the factor), ``_probability`` and ``_kept``."""
+def mix(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", targets=None, temper: float = TEMPER, share: float | None = SHARE
+) -> DataFrame:
+    """``docs`` with ``_topic``, ``_words``, ``_weight`` (the factor), ``_probability``, ``_kept`` and ``_repeats``."""
     described = docs.withColumns({"_topic": topic_of(text), "_words": word_count(text)})
     name = {"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit(""))}
     described = described.withColumns(name)
@@ -84,13 +111,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", targets=None,
         F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")
     ).agg(F.sum("_words").alias("words"))
     factors = stage(rake(cells, targets, temper), "rake-factors")
-    most = factors.agg(F.max("factor")).first()[0] or 1.0
+    if share is None:
+        wanted = F.col("factor") / F.lit(factors.agg(F.max("factor")).first()[0] or 1.0)
+    else:
+        wanted = F.col("factor") * F.lit(scale_of(factors, share))
     lookup = factors.select(
         F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"),
-        F.col("factor").alias("_weight"), (F.col("factor") / F.lit(most)).alias("_probability"),
+        F.col("factor").alias("_weight"), F.least(wanted, F.lit(1.0)).alias("_probability"), wanted.alias("_wanted"),
     )
     joined = described.join(lookup, ["_source", "_lang", "_topic"], "left")
-    return joined.withColumn("_kept", draw(key) < F.col("_probability"))
+    more = draw(key) < F.col("_wanted") - F.floor("_wanted")
+    repeats = F.floor("_wanted") + more.cast("long")
+    return joined.withColumns({"_kept": draw(key) < F.col("_probability"), "_repeats": repeats}).drop("_wanted")
 
 
 def _sql(rounds: int = ROUNDS, temper: float = TEMPER) -> str:
@@ -139,7 +171,7 @@ OP10_SQL = _sql()
 
 @query("op10_mixing", OP10_SQL)
 def op10_mixing(spark, sf_dir):
-    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), share=None)
     return mixed.select(
         "doc_id",
         F.col("_source").alias("source"),

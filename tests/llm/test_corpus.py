@@ -202,6 +202,20 @@ def test_mix_of_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_one_rare_cell_does_not_thin_the_others(spark):
+    base = [(i, "a b c " * 20, "xyz"[min(i % 7, 2)], "de"[i % 2]) for i in range(3000)]
+    rare = [(9000, "a b c " * 20, None, None)]
+    kept = []
+    for rows in (base, base + rare):
+        got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+        kept.append({r.doc_id for r in got if r._kept})
+        words = sum(r._words for r in got)
+        assert sum(r._words * r._probability for r in got) / words == pytest.approx(mixing.SHARE)
+        assert all(r._kept == (r._repeats > 0) for r in got)
+    assert len(kept[0] - kept[1]) < 60 and 9000 in kept[1]
+    assert next(r for r in got if r.doc_id == 9000)._repeats >= 1
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 
