@@ -1,6 +1,20 @@
 """All queries of this subpackage and their SQL."""
 
-from . import classifier, hmm, html, minhash, mixing, packing, pii, rules, topk, urls  # noqa: F401
+from . import (  # noqa: F401
+    classifier,
+    conversations,
+    hmm,
+    html,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    rules,
+    spelling,
+    topk,
+    urls,
+    warc,
+)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
