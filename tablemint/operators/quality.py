@@ -211,7 +211,7 @@ def check_manifest(
                 ~is_present("ref"),
                 F.struct(
                     F.lit("inputWithoutRef").alias("kind"),
-                    F.concat(F.lit('"'), shown, F.lit('" has no ref, so it cannot be read')).alias("detail"),
+                    F.concat(F.lit('"'), shown, F.lit('" names no place to read from')).alias("detail"),
                 ),
             ),
             F.when(
@@ -220,7 +220,7 @@ def check_manifest(
                     F.lit("unknownRole").alias("kind"),
                     F.concat(
                         F.lit('"'), F.coalesce("file_name", "ref", F.lit("(unnamed)")),
-                        F.lit('" is assigned the unknown role "'), F.coalesce("role", F.lit("")), F.lit('"'),
+                        F.lit('": role "'), F.coalesce("role", F.lit("")), F.lit('" is not declared'),
                     ).alias("detail"),
                 ),
             ),
@@ -240,16 +240,16 @@ def check_manifest(
         return F.when(condition, F.struct(F.lit(kind).alias("kind"), F.concat(*parts).alias("detail")))
 
     files = F.col("_files")
-    checks = [problem(files < min_files, "tooFewFiles", files, f" file(s) supplied, at least {min_files} required")]
+    checks = [problem(files < min_files, "tooFewFiles", "files: ", files, f", wanted {min_files} or more")]
     if max_files is not None:
-        checks.append(problem(files > max_files, "tooManyFiles", files, f" file(s) supplied, at most {max_files} accepted"))
+        checks.append(problem(files > max_files, "tooManyFiles", "files: ", files, f", wanted {max_files} or fewer"))
     for i, r in enumerate(roles):
         n = F.col(f"_n{i}")
         if r.required:
-            checks.append(problem(n == 0, "missingRequiredRole", f'No file assigned the required role "{r.role}" ({r.label})'))
+            checks.append(problem(n == 0, "missingRequiredRole", f'role "{r.role}" ({r.label}) has no file'))
         if r.max_files is not None:
             checks.append(
-                problem(n > r.max_files, "tooManyForRole", n, f' files assigned role "{r.role}", which accepts at most {r.max_files}')
+                problem(n > r.max_files, "tooManyForRole", f'files of role "{r.role}": ', n, f", wanted {r.max_files} or fewer")
             )
     run_problems = state.select("run_id", F.explode(F.array_compact(F.array(*checks))).alias("_p")).select("run_id", "_p.*")
     return file_problems.unionByName(run_problems)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import compare_value
 from ..session import stage
+from .fingerprints import BUCKETS, differing_buckets, rows_of_buckets
+from .nested import Path, canonical_text, is_nested, path_steps, record_of
 from .order import ORDER, last_wins, top_sample
 
 
@@ -166,14 +168,21 @@ def cross_tab(reference: DataFrame, witness: DataFrame, keys: list[str], flag: s
     )
 
 
-def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], ignore: tuple[str, ...] = ()) -> DataFrame:
+def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], ignore: tuple[Path, ...] = ()) -> DataFrame:
     """Entities missing, extra or differing, compared in canonical form.
 
-    ``ignore`` names run-specific columns.  The canonical form is JSON over columns in name
-    order, so column order does not count as a difference.
+    ``ignore`` names run-specific columns, or paths inside nested ones such as
+    ``customData[].value.shootDay``.  The canonical form is JSON over columns in name order; where a
+    column is nested, its members are in name order at every depth too, so neither order is a difference.
     """
+    paths = [path_steps(p) for p in ignore]
+    dropped = {p[0] for p in paths if len(p) == 1}
+    inside = [p for p in paths if len(p) > 1]
+
     def canonical(df: DataFrame, name: str) -> DataFrame:
-        columns = sorted(c for c in df.columns if c not in keys and c not in ignore)
+        columns = sorted(c for c in df.columns if c not in keys and c not in dropped)
+        if inside or any(is_nested(df.schema[c].dataType) for c in columns):
+            return df.select(*keys, canonical_text(record_of(columns), inside).alias(name))
         return df.select(*keys, F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias(name))
 
     joined = canonical(expected, "_e").join(canonical(actual, "_a"), keys, "full_outer")
@@ -185,13 +194,20 @@ def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], ignore:
     return joined.withColumn("state", state).filter(F.col("state").isNotNull()).select(*keys, "state")
 
 
-def run_difference(first: DataFrame, second: DataFrame) -> DataFrame:
+def run_difference(
+    first: DataFrame, second: DataFrame, prints: tuple[DataFrame, DataFrame] | None = None, buckets: int = BUCKETS
+) -> DataFrame:
     """Rows two runs do not share, as multisets; empty when a re-run changed nothing.
 
     One aggregation over both runs, which counts equal rows before the shuffle.  ``copies`` says
-    how many more of a row the run named in ``only_in`` has.
+    how many more of a row the run named in ``only_in`` has.  Given the runs' fingerprints (of these
+    columns, in as many buckets), only rows of buckets that differ are shuffled.
     """
-    signed = first.withColumn("_n", F.lit(1)).unionAll(second.select(*first.columns).withColumn("_n", F.lit(-1)))
+    second = second.select(*[f"`{c}`" for c in first.columns])
+    if prints is not None:
+        wanted = differing_buckets(*prints)
+        first, second = (rows_of_buckets(df, wanted, buckets) for df in (first, second))
+    signed = first.withColumn("_n", F.lit(1)).unionAll(second.withColumn("_n", F.lit(-1)))
     counted = signed.groupBy(*[f"`{c}`" for c in first.columns]).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
     return (
         counted.withColumn("only_in", F.when(F.col("_n") > 0, "first").otherwise("second"))

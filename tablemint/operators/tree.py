@@ -32,11 +32,11 @@ class Walk:
     def notes(self) -> DataFrame:
         return all_notes(
             [
-                note_rows(self.too_deep, "tooDeep", F.col("path"), "not descended into: deeper than the maximum depth"),
-                note_rows(self.empty_stacks, "emptyVersionStack", F.col("path"), "version stack contains no file"),
+                note_rows(self.too_deep, "tooDeep", F.col("path"), "left unread: below the depth limit"),
+                note_rows(self.empty_stacks, "emptyVersionStack", F.col("path"), "stack without files"),
                 note_rows(
                     self.unknown, "unknownChildType", F.col("path"),
-                    F.concat(F.lit('child type "'), "type", F.lit('" is not handled')),
+                    F.concat(F.lit('children of type "'), "type", F.lit('" are skipped')),
                 ),
             ]
         )

@@ -27,6 +27,8 @@ from .mapping import Lookup, Mapping, MappingError, Source, check_mappings
 TEXT_PATH = re.compile(r"^(\w+)\[\d+\]\.(author|title|text)$")
 TEXT_FIELDS = ("author", "title", "text")
 EdgeRules = dict[tuple[str, str], tuple[str, str]]
+#: The key of a table's rows; a name of its own leaves ``key`` to the tables' columns.
+KEY = "_entity_key"
 
 
 def _quoted(name: str) -> Column:
@@ -39,16 +41,22 @@ def _union(frames: Iterable[DataFrame | None]) -> DataFrame | None:
 
 
 def keyed_rows(mapping: Mapping, table: DataFrame) -> DataFrame:
-    """The mapping's rows with a text ``key``; rows without one are skipped or fail the run."""
+    """The mapping's rows with their key as text in ``KEY``; rows without one are skipped or fail the run."""
     column = mapping.identity()
-    taken = [c for c in table.columns if c.lower() == "key" and c != column]
-    if taken:
-        raise ValueError(f'column "{taken[0]}" of "{mapping.table}" has the name of the entity key: rename it')
     value = _quoted(column)
     if mapping.skip_empty_key:
-        return table.filter(is_present(value)).withColumn("key", value.cast("string"))
+        return table.filter(is_present(value)).withColumn(KEY, value.cast("string"))
     failed = F.raise_error(F.lit(f'Row has no value for key column "{column}"'))
-    return table.withColumn("key", F.when(is_present(value), value.cast("string")).otherwise(failed))
+    return table.withColumn(KEY, F.when(is_present(value), value.cast("string")).otherwise(failed))
+
+
+def _as_key() -> Column:
+    """The rows' key under the name it has in results."""
+    return F.col(KEY).alias("key")
+
+
+def _row_columns(table: DataFrame) -> list[str]:
+    return [c for c in data_columns(table) if c != KEY]
 
 
 def _order(mapping: Mapping, rows: DataFrame) -> Column:
@@ -145,7 +153,7 @@ def _group_entities(mapping: Mapping, rows: DataFrame, tables: dict[str, DataFra
             aggregates.append(F.min(value).alias(path))
         else:
             aggregates.append(F.min_by(value, F.when(value.isNotNull(), order)).alias(path))
-    grouped = rows.groupBy("key").agg(*aggregates).drop("_group")
+    grouped = rows.groupBy(_as_key()).agg(*aggregates).drop("_group")
     return _finish(grouped, sources, tables)
 
 
@@ -156,7 +164,7 @@ def _row_entities(mapping: Mapping, rows: DataFrame, tables: dict[str, DataFrame
     """
     sources = _scalar_sources(mapping)
     order = _order(mapping, rows)
-    cells = rows.select("key", order.alias(ORDER), *[_raw(s).alias(p) for p, s in sources.items()])
+    cells = rows.select(_as_key(), order.alias(ORDER), *[_raw(s).alias(p) for p, s in sources.items()])
     finished = _finish(cells, sources, tables)
     # Rows of one key agree on what only reads the key, so that needs no order.
     by_key = {p for p, s in sources.items() if s.const is not None or (s.column == mapping.identity() and not s.lookup)}
@@ -194,7 +202,7 @@ def _texts(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     if mapping.grain == "group":
         order = _order(mapping, rows)
         row = F.struct(*[_quoted(c) for c in sorted(declared)])
-        rows = rows.groupBy("key").agg(F.min_by(row, order).alias("_r")).select("key", "_r.*")
+        rows = rows.groupBy(KEY).agg(F.min_by(row, order).alias("_r")).select(KEY, "_r.*")
 
     structs = [
         F.when(
@@ -221,7 +229,7 @@ def _texts(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
                 F.struct(F.lit(entry.split("[")[0]).alias("path"), *[cell(n).alias(n) for n in TEXT_FIELDS]),
             )
         )
-    found = rows.select("key", F.inline(F.array_compact(F.array(*structs))))
+    found = rows.select(_as_key(), F.inline(F.array_compact(F.array(*structs))))
     return found.distinct().select(F.lit(mapping.entity_type).alias("entity_type"), "key", "path", *TEXT_FIELDS)
 
 
@@ -234,7 +242,7 @@ def _entry_values(columns: list[str], value) -> Column:
 
 def _open_columns(mapping: Mapping, table: DataFrame) -> list[str]:
     """Map columns the mapping carries; only a row by itself says what an open column holds."""
-    carried = mapping.rest_columns([c for c in data_columns(table) if c != "key"])
+    carried = mapping.rest_columns(_row_columns(table))
     maps = [c for c in carried if isinstance(table.schema[c].dataType, T.MapType)]
     if maps and mapping.grain == "group":
         raise MappingError(f"{mapping.entity_type}: open columns {maps} can only be carried at row grain")
@@ -258,6 +266,14 @@ def _open_entries(mapping: Mapping, column: str) -> Column:
     )
 
 
+def _agreed(rows: DataFrame, column: str) -> Column:
+    """Aggregate: the value of a column that every row has and all rows agree on, else null."""
+    value = present(_quoted(column))
+    if not isinstance(rows.schema[column].dataType, T.AtomicType):
+        value = value.cast("string")
+    return F.when((F.count(value) == F.count("*")) & (F.min(value) == F.max(value)), F.max(value))
+
+
 def _custom(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     """``(entity_type, key, domain, namespace, schema, value)``, one entry per agreeing set.
 
@@ -265,23 +281,20 @@ def _custom(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     them.  At row grain each distinct row gives an entry, as array members are kept by value.
     """
     maps = _open_columns(mapping, rows)
-    columns = [c for c in mapping.rest_columns([c for c in data_columns(rows) if c != "key"]) if c not in maps]
+    columns = [c for c in mapping.rest_columns(_row_columns(rows)) if c not in maps]
     if not columns and not maps:
         return None
     text = lambda c: present(_quoted(c)).cast("string")
     if mapping.grain == "group":
-        agreed = [
-            F.when(
-                (F.count(text(c)) == F.count("*")) & (F.min(text(c)) == F.max(text(c))), F.max(text(c))
-            ).alias(c)
-            for c in columns
-        ]
-        grouped = rows.groupBy("key").agg(*agreed)
-        entries = grouped.select("key", _entry_values(columns, _quoted).alias("_v"))
+        # Columns are compared in their own types: without text among them this is a hash aggregate.
+        agreed = [_agreed(rows, c).alias(f"_{i}") for i, c in enumerate(columns)]
+        grouped = rows.groupBy(KEY).agg(*agreed)
+        value = lambda c: F.col(f"_{columns.index(c)}").cast("string")
+        entries = grouped.select(_as_key(), _entry_values(columns, value).alias("_v"))
     else:
         lists = [_entry_values(columns, text)] if columns else []
         lists += [_open_entries(mapping, c) for c in maps]
-        entries = rows.select("key", F.concat(*lists).alias("_v")).distinct()
+        entries = rows.select(_as_key(), F.concat(*lists).alias("_v")).distinct()
     c = mapping.custom
     return entries.filter(F.size("_v") > 0).select(
         F.lit(mapping.entity_type).alias("entity_type"), "key",
@@ -308,15 +321,15 @@ def _withheld_unanimous(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
             for p, s in unanimous.items()
         ]
     )
-    counted = rows.select("key", F.inline(cells)).groupBy("key", "path", "column", "value").agg(F.count("*").alias("n"))
+    counted = rows.select(_as_key(), F.inline(cells)).groupBy("key", "path", "column", "value").agg(F.count("*").alias("n"))
     withheld = (
         counted.groupBy("key", "path", "column")
         .agg(F.count("value").alias("values"), F.sum("n").alias("rows"))
         .filter(F.col("values") > 1)
     )
     detail = F.concat(
-        "path", F.lit(" not set: "), F.col("values").cast("string"), F.lit(' different values of "'), "column",
-        F.lit('" across '), F.col("rows").cast("string"), F.lit(" rows"),
+        "path", F.lit(" left out: rows disagree, "), F.col("rows").cast("string"), F.lit(" of them give "),
+        F.col("values").cast("string"), F.lit(' for "'), "column", F.lit('"'),
     )
     return note_rows(withheld, "propertyWithheld", F.concat(F.lit(f"{mapping.entity_type} "), "key"), detail)
 
@@ -333,9 +346,9 @@ def _withheld_single(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
         firsts = [
             F.min_by(_raw(s), F.when(_raw(s).isNotNull(), order)).alias(p) for p, s in single.items()
         ]
-        rows = rows.groupBy("key").agg(*firsts)
+        rows = rows.groupBy(_as_key()).agg(*firsts)
     else:
-        rows = rows.select("key", *[_raw(s).alias(p) for p, s in single.items()])
+        rows = rows.select(_as_key(), *[_raw(s).alias(p) for p, s in single.items()])
     cells = F.array(
         *[
             F.struct(
@@ -346,8 +359,8 @@ def _withheld_single(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
     )
     bad = rows.select("key", F.inline(cells)).filter(F.col("members").isNotNull() & (F.size("members") != 1))
     detail = F.concat(
-        "path", F.lit(' not set: "'), "column", F.lit('" holds '), F.size("members").cast("string"),
-        F.lit(" values ("), F.array_join("members", ", "), F.lit("); no single value applies"),
+        "path", F.lit(' left out: one member wanted, "'), "column", F.lit('" lists '), F.size("members").cast("string"),
+        F.lit(" ["), F.array_join("members", ", "), F.lit("]"),
     )
     return note_rows(bad, "propertyWithheld", F.concat(F.lit(f"{mapping.entity_type} "), "key"), detail)
 
@@ -375,8 +388,8 @@ def fold_entities(held: DataFrame, added: DataFrame) -> DataFrame:
 
 def _edge_pairs(mapping: Mapping, edge, rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     if edge.source is None:
-        return edge_targets(rows, "key", edge.via, edge.split)
-    own = rows.select(F.col("key").alias("from_key")).distinct()
+        return edge_targets(rows, KEY, edge.via, edge.split)
+    own = rows.select(F.col(KEY).alias("from_key")).distinct()
     pairs = edge_targets(tables[edge.source.table], f"`{edge.source.on}`", edge.via, edge.split)
     return pairs.join(own, "from_key", "left_semi")
 
@@ -412,7 +425,7 @@ class Built:
         """The keys of each type; all that an edge or an identifier needs of an entity."""
         keys: dict[str, list[DataFrame]] = {}
         for m, rows in self._rows:
-            keys.setdefault(m.entity_type, []).append(rows.select("key"))
+            keys.setdefault(m.entity_type, []).append(rows.select(_as_key()))
         return {t: reduce(DataFrame.unionByName, frames).distinct() for t, frames in keys.items()}
 
     @cached_property

@@ -250,14 +250,14 @@ def _manifest(t: Tables) -> tuple[DataFrame, DataFrame]:
     runs as (select distinct source as run_id from documents union select r_name from region),
     c as (select runs.run_id, count(i.run_id) as n, count(*) filter (role = 'en') as en, count(*) filter (role = 'de') as de,
             count(*) filter (role = 'fr') as fr from runs left join i on i.run_id = runs.run_id group by 1)
-    select run_id, 'inputWithoutRef' as kind, concat('"', coalesce(file_name, '(unnamed)'), '" has no ref, so it cannot be read') as detail from i where ref = ''
-    union all select run_id, 'unknownRole', concat('"', coalesce(file_name, ref), '" is assigned the unknown role "', role, '"') from i where role not in ('en', 'de', 'fr')
-    union all select run_id, 'tooFewFiles', concat(n, ' file(s) supplied, at least 2 required') from c where n < 2
-    union all select run_id, 'tooManyFiles', concat(n, ' file(s) supplied, at most 50 accepted') from c where n > 50
-    union all select run_id, 'missingRequiredRole', 'No file assigned the required role "en" (English)' from c where en = 0
-    union all select run_id, 'missingRequiredRole', 'No file assigned the required role "de" (German)' from c where de = 0
-    union all select run_id, 'tooManyForRole', concat(en, ' files assigned role "en", which accepts at most 20') from c where en > 20
-    union all select run_id, 'tooManyForRole', concat(fr, ' files assigned role "fr", which accepts at most 1') from c where fr > 1""",
+    select run_id, 'inputWithoutRef' as kind, concat('"', coalesce(file_name, '(unnamed)'), '" names no place to read from') as detail from i where ref = ''
+    union all select run_id, 'unknownRole', concat('"', coalesce(file_name, ref), '": role "', role, '" is not declared') from i where role not in ('en', 'de', 'fr')
+    union all select run_id, 'tooFewFiles', concat('files: ', n, ', wanted 2 or more') from c where n < 2
+    union all select run_id, 'tooManyFiles', concat('files: ', n, ', wanted 50 or fewer') from c where n > 50
+    union all select run_id, 'missingRequiredRole', 'role "en" (English) has no file' from c where en = 0
+    union all select run_id, 'missingRequiredRole', 'role "de" (German) has no file' from c where de = 0
+    union all select run_id, 'tooManyForRole', concat('files of role "en": ', en, ', wanted 20 or fewer') from c where en > 20
+    union all select run_id, 'tooManyForRole', concat('files of role "fr": ', fr, ', wanted 1 or fewer') from c where fr > 1""",
 )
 def check_manifest_documents(t: Tables) -> DataFrame:
     inputs, runs = _manifest(t)

@@ -458,7 +458,7 @@ def delivery_entities(t: Tables) -> DataFrame:
     built = build_entities(tables, mappings, NAMESPACE).stored("keys", "edges")
     seal = seal_bundle(built, {"Slate": [EntityRule("label", required=True)]})
     edges = report_rows(built.edges, "edges", F.concat_ws(" ", "from_type", "to_type"))
-    withheld = report_rows(built.notes, "withheld", F.regexp_extract("detail", r"^(\S+) not set", 1))
+    withheld = report_rows(built.notes, "withheld", F.regexp_extract("detail", r"^(\S+) left out", 1))
     return seal.report().unionByName(edges).unionByName(withheld)
 
 

@@ -86,8 +86,8 @@ def custom_agreed(t: Tables) -> DataFrame:
 @query(
     "notes_withheld",
     """select 'propertyWithheld' as kind, concat('Order ', l_orderkey) as "where",
-        concat('returnFlag not set: ', count(distinct l_returnflag), ' different values of "l_returnflag" across ',
-            count(*), ' rows') as detail
+        concat('returnFlag left out: rows disagree, ', count(*), ' of them give ', count(distinct l_returnflag),
+            ' for "l_returnflag"') as detail
     from lineitem group by l_orderkey having count(distinct l_returnflag) > 1""",
 )
 def notes_withheld(t: Tables) -> DataFrame:
@@ -128,8 +128,8 @@ def single_member(t: Tables) -> DataFrame:
     "notes_single",
     f"""{_SINGLE_SQL}
     select 'propertyWithheld' as kind, concat('Order ', o_orderkey) as "where",
-        concat('priority not set: "cell" holds ', len(m), ' values (', coalesce(array_to_string(m, ', '), ''),
-            '); no single value applies') as detail
+        concat('priority left out: one member wanted, "cell" lists ', len(m), ' [', coalesce(array_to_string(m, ', '), ''),
+            ']') as detail
     from members where len(m) <> 1""",
 )
 def notes_single(t: Tables) -> DataFrame:

@@ -286,10 +286,10 @@ def tree_files(t: Tables) -> DataFrame:
 @query(
     "tree_notes",
     f"""with {_TREE.format(deep=25)}
-    select 'unknownChildType' as kind, concat(w.path, n.name) as "where", 'child type "link" is not handled' as detail
+    select 'unknownChildType' as kind, concat(w.path, n.name) as "where", 'children of type "link" are skipped' as detail
     from nodes n join walked w on n.parent_id = w.id where n.type = 'link'
     union all
-    select 'emptyVersionStack', concat(w.path, s.name), 'version stack contains no file' from nodes s join walked w on s.parent_id = w.id
+    select 'emptyVersionStack', concat(w.path, s.name), 'stack without files' from nodes s join walked w on s.parent_id = w.id
     where s.type = 'version_stack' and s.id not in (select parent_id from nodes where type = 'file')""",
 )
 def tree_notes(t: Tables) -> DataFrame:
@@ -299,7 +299,7 @@ def tree_notes(t: Tables) -> DataFrame:
 @query(
     "tree_too_deep",
     f"""with {_TREE.format(deep=25)}
-    select 'tooDeep' as kind, path as "where", 'not descended into: deeper than the maximum depth' as detail from walked where depth = 3""",
+    select 'tooDeep' as kind, path as "where", 'left unread: below the depth limit' as detail from walked where depth = 3""",
 )
 def tree_too_deep(t: Tables) -> DataFrame:
     return walk_tree(_nodes(t), _root(t), max_depth=2).notes()

@@ -63,9 +63,9 @@ def test_group_grain_resolves_rows_together(built, rows):
 
 def test_withheld_values_are_noted_with_exact_counts(built, rows):
     assert rows(built.notes, "kind", "where", "detail") == [
-        ("propertyWithheld", "Scene 9", 'header not set: "narrative" holds 0 values (); no single value applies'),
-        ("propertyWithheld", "Scene R13", 'descriptor not set: 2 different values of "description" across 2 rows'),
-        ("propertyWithheld", "Scene R13", 'header not set: "narrative" holds 2 values (13, 15); no single value applies'),
+        ("propertyWithheld", "Scene 9", 'header left out: one member wanted, "narrative" lists 0 []'),
+        ("propertyWithheld", "Scene R13", 'descriptor left out: rows disagree, 2 of them give 2 for "description"'),
+        ("propertyWithheld", "Scene R13", 'header left out: one member wanted, "narrative" lists 2 [13, 15]'),
     ]
 
 
@@ -189,4 +189,4 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     built = build_entities({"t": with_order(df, "n")}, [mapping], "demo")
     plan = built.entities["E"]._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
-    assert [r.detail for r in built.notes.collect()] == ['v not set: 3 different values of "v" across 1000 rows']
+    assert [r.detail for r in built.notes.collect()] == ['v left out: rows disagree, 1000 of them give 3 for "v"']
