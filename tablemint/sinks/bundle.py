@@ -14,6 +14,7 @@ from ..plans.bundle import Seal, require_valid, seal_bundle
 from ..plans.nest import nest
 from ..session import stage
 from .tables import publish, staging_path
+from .versions import new_version, publish_version
 
 #: What a bundle holds: one record per entity, and beside them what an entity may have many of.
 PARTS = ("entities", "edges", "texts", "customData", "identifiers")
@@ -189,23 +190,31 @@ def nested_records(
 
 def write_bundle(
     built: Built, rules: dict[str, list[EntityRule]], out: str, schema_version: str, scope: str = "local",
-    extra_identifiers: DataFrame | None = None,
+    extra_identifiers: DataFrame | None = None, versioned: bool = False,
 ) -> Seal:
     """Validate, stage and publish a bundle: one folder of JSON lines per part of ``PARTS``.
 
     Everything is built once: validation, figures and the bundle are taken from the stored frames.
     Nothing is written to ``out`` unless every entity is valid, and readers never see a half-written
     bundle; parts that the mappings give no reason for are absent.
+
+    A plain output takes the place of the last one by renames, so readers may find nothing between two
+    of them, and an object store, which copies instead of renaming, does so for longer.  A ``versioned``
+    one is a folder that ``current_version(out)`` finds: no moment is without a whole bundle.
     """
     built = built.stored()
     seal = seal_bundle(built, rules)
     require_valid(seal, built)
-    pending = staging_path(out)
+    spark = built.identifiers.sparkSession
+    pending = new_version(out) if versioned else staging_path(out)
     for part, df in bundle_parts(built, schema_version, scope, extra_identifiers).items():
         target = f"{pending}/{part}"
         if part == "entities":
             df.drop("key").write.partitionBy("entityType").text(target)
         else:
             df.write.partitionBy("entityType").json(target)
-    publish(built.identifiers.sparkSession, pending, out)
+    if versioned:
+        publish_version(spark, out, pending)
+    else:
+        publish(spark, pending, out)
     return seal

@@ -1,4 +1,4 @@
-"""Queries over nested records, page chains and fingerprints of runs."""
+"""Queries over nested records, page chains, fingerprints of runs, rule tables and published versions."""
 
 from __future__ import annotations
 
@@ -9,6 +9,12 @@ from ..operators.chains import chain_problems, in_chain_order
 from ..operators.fingerprints import fingerprint, level_differences
 from ..operators.nested import PathRule, validate_records
 from ..operators.reconcile import golden_diff, run_difference
+from ..operators.rule_tables import classify_joined, prefix_classes, roles_from
+from ..plans.build import build_entities
+from ..plans.mapping import Edge, Mapping, Rest, Source
+from ..session import scratch_path
+from ..sinks import clean_up, current_version, new_version, publish_version, versions
+from .entities import NAMESPACE
 from .registry import Tables, query
 
 # --- nested records -------------------------------------------------------------------
@@ -254,3 +260,157 @@ def fingerprint_levels(t: Tables) -> DataFrame:
     same = level_differences(fingerprint(first), fingerprint(shuffled)).select(F.lit("same").alias("compared"), "level", "differing")
     changed = level_differences(fingerprint(first), fingerprint(second)).filter("level = 'run'")
     return same.union(changed.select(F.lit("changed"), "level", "differing"))
+
+
+# --- rules that come as tables --------------------------------------------------------
+
+
+def _signature_rules(t: Tables) -> DataFrame:
+    """Rules derived from the parts: prefixes, roots, headings and some patterns."""
+    key = F.col("p_partkey")
+    basis = (
+        F.when(key % 100 == 3, "text_pattern").when(key % 4 == 0, "header_prefix").when(key % 4 == 1, "xml_root").when(key % 4 == 2, "heading")
+    )
+    value = (
+        F.when(key % 100 == 3, F.concat(F.lit("^"), "p_brand", F.lit(" S")))
+        .when(key % 4 == 0, F.concat("p_name", F.lit(" "), "p_brand"))
+        .when(key % 4 == 1, F.replace("p_name", F.lit(" "), F.lit("_")))
+        .otherwise(F.concat("p_type", "p_size"))
+    )
+    return t.part.select(
+        key.alias("rule_no"), basis.alias("basis"), value.alias("value"), F.concat(F.lit("type"), key).alias("document_type"),
+        F.col("p_name").alias("description"), F.lit("digital").alias("structure"), F.lit(None).cast("int").alias("expected_per_day"),
+    ).filter("basis is not null")
+
+
+_RULES_SQL = """with rules as (
+        select p_partkey as n, case when p_partkey % 100 = 3 then 't' when p_partkey % 4 = 0 then 'p' when p_partkey % 4 = 1 then 'x' when p_partkey % 4 = 2 then 'h' end as b,
+            case when p_partkey % 100 = 3 then concat('^', p_brand, ' S') when p_partkey % 4 = 0 then concat(p_name, ' ', p_brand)
+                when p_partkey % 4 = 1 then replace(p_name, ' ', '_') else concat(p_type, p_size) end as v
+        from part),
+    docs as (
+        select p_partkey as k, concat(p_name, ' ', p_brand, ' ', p_size) as line, case when p_size % 3 = 0 then replace(p_name, ' ', '_') end as root,
+            [concat(p_type, p_size), p_brand] as headings, concat(p_brand, ' ', p_type) as head from part),
+    met as (
+        select k, n from docs join rules on b = 'x' and root = v
+        union all select k, n from docs join rules on b = 'p' and starts_with(line, v)
+        union all select k, n from (select k, unnest(headings) as h from docs) join rules on b = 'h' and h = v
+        union all select k, n from docs join rules on b = 't' and regexp_matches(head, v)),
+    best as (select k, min(n) as n from met group by k)"""
+
+
+@query(
+    "rule_table_joined",
+    f"""{_RULES_SQL} select k as part, coalesce('type' || n, 'unknown') as document_type,
+        coalesce(case b when 'x' then 'xml_root' when 'p' then 'header_prefix' when 'h' then 'heading' when 't' then 'text_pattern' end, 'unmatched') as classified_by
+    from docs left join best using (k) left join rules using (n)""",
+)
+def rule_table_joined(t: Tables) -> DataFrame:
+    """As many rules as parts, joined by index; the first that applies wins."""
+    signatures = t.part.select(
+        F.col("p_partkey").alias("part"),
+        F.concat("p_name", F.lit(" "), "p_brand", F.lit(" "), "p_size").alias("first_line"),
+        F.when(F.col("p_size") % 3 == 0, F.replace("p_name", F.lit(" "), F.lit("_"))).alias("xml_root"),
+        F.array(F.concat("p_type", "p_size"), F.col("p_brand")).alias("headings"),
+        F.concat("p_brand", F.lit(" "), "p_type").alias("head"),
+    )
+    return classify_joined(signatures, _signature_rules(t), ["part"]).select("part", "document_type", "classified_by")
+
+
+@query(
+    "roles_from_table",
+    """with m as (
+        select page_id, min(n_nationkey) as n from pages join nation on n_nationkey % 5 <> 4 and regexp_matches(url, concat('(?i)/', n_nationkey)) group by 1)
+    select page_id, coalesce(n_name, (select n_name from nation where n_nationkey = 4)) as role
+    from pages left join m using (page_id) left join nation on n_nationkey = n""",
+)
+def roles_from_table(t: Tables) -> DataFrame:
+    """Roles by patterns that come as a table; those without a pattern are what is left for the rest."""
+    pattern = F.when(F.col("n_nationkey") % 5 != 4, F.concat(F.lit("/"), "n_nationkey"))
+    roles = t.nation.select(F.col("n_nationkey").alias("role_no"), F.col("n_name").alias("role"), pattern.alias("pattern"))
+    return roles_from(t.pages.select("page_id", "url"), "url", roles).select("page_id", "role")
+
+
+_PREFIX_SQL = """select p_partkey as n, lower(left(p_name, 2 + cast(p_partkey % 8 as int))) as prefix, p_brand as class from part where p_partkey % 3 > 0"""
+
+
+@query(
+    "prefix_tables",
+    f"""with p as ({_PREFIX_SQL}), v as (select distinct lower(p_name) as value from part),
+    m as (select value, min_by(class, n) as first, min_by(class, {{'l': -length(prefix), 'n': n}}) as longest from v join p on starts_with(value, prefix) group by 1)
+    select p_partkey as part, first, longest from part left join m on value = lower(p_name)""",
+)
+def prefix_tables(t: Tables) -> DataFrame:
+    """Classes by prefix: the first prefix of the table that fits, and the longest."""
+    key = F.col("p_partkey")
+    table = t.part.filter(key % 3 > 0).select(
+        key.alias("rule_no"), F.upper(F.left("p_name", (key % 8 + 2).cast("int"))).alias("prefix"), F.col("p_brand").alias("class")
+    )
+    first = prefix_classes(t.part.select(key.alias("part"), "p_name"), "p_name", ["part"], table, "first")
+    return prefix_classes(first, "p_name", ["part"], table, "longest", longest=True).select("part", "first", "longest")
+
+
+# --- published versions ---------------------------------------------------------------
+
+
+@query(
+    "published_versions",
+    """select 'current' as read, o_orderstatus as status, count(*) as n from orders where o_orderkey % 5 > 0 group by 2
+    union all select 'earlier', o_orderstatus, count(*) from orders group by 2""",
+)
+def published_versions(t: Tables) -> DataFrame:
+    """Three versions published one after another: readers follow the pointer, the oldest is cleaned up."""
+    out = scratch_path(t.spark, "versions")
+    for rows in (t.orders.limit(0), t.orders, t.orders.filter("o_orderkey % 5 > 0")):
+        folder = new_version(out)
+        rows.select("o_orderstatus").write.parquet(folder)
+        publish_version(t.spark, out, folder)
+    clean_up(t.spark, out, keep=2)
+    kept = versions(t.spark, out)
+    read = lambda name, folder: t.spark.read.parquet(folder).select(F.lit(name).alias("read"), F.col("o_orderstatus").alias("status"))
+    both = read("current", current_version(t.spark, out)).union(read("earlier", kept[1].folder))
+    return both.groupBy("read", "status").agg(F.count("*").alias("n"))
+
+
+# --- columns called key ---------------------------------------------------------------
+
+KEYED = [
+    Mapping(
+        "Order", "lines", "l_orderkey", grain="group",
+        properties={"flag": Source("Key", when="unanimous"), "first": "Key"},
+        custom=Rest("demo", include=("l_suppkey", "keyed")),
+        edges=(Edge("Flag", "Key", external=True),),
+    ),
+    Mapping("Customer", "customers", "key", properties={"segment": "c_mktsegment"}, custom=Rest("demo", include=("key", "c_name"))),
+]
+
+
+@query(
+    "key_columns",
+    """with l as (select l_orderkey as o, l_returnflag as f, l_suppkey as s from lineitem), g as (
+        select o, case when count(distinct f) = 1 then max(f) end as flag, min(f) as least,
+            case when count(distinct s) = 1 then max(s) end as s from l group by o)
+    select 'flag' as fact, cast(o as varchar) as key, flag as value from g
+    union all select 'custom l_suppkey', cast(o as varchar), cast(s as varchar) from g where s is not null
+    union all select 'edge', cast(o as varchar), f from (select distinct o, f from l)
+    union all select 'segment', cast(c_custkey as varchar), c_mktsegment from customer
+    union all select 'custom key', cast(c_custkey as varchar), cast(c_custkey as varchar) from customer
+    union all select 'custom c_name', cast(c_custkey as varchar), c_name from customer
+    union all select 'withheld', concat('Order ', o), 'propertyWithheld' from g where flag is null""",
+)
+def key_columns(t: Tables) -> DataFrame:
+    """Tables with columns called Key and key: mapped, carried, followed and noted under their own names."""
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", F.col("l_returnflag").alias("Key"))
+    customers = t.customer.select(F.col("c_custkey").alias("key"), "c_name", "c_mktsegment")
+    built = build_entities({"lines": lines, "customers": customers}, KEYED, NAMESPACE)
+    row = lambda df, fact, value: df.select(fact.alias("fact"), F.col("key"), value.cast("string").alias("value"))
+    custom = built.custom.select("key", F.explode("value").alias("name", "value"))
+    edges = built.edges.select(F.col("from_key").alias("key"), "to_key")
+    notes = built.notes.select(F.col("where").alias("key"), "kind")
+    return (
+        row(built.entities["Order"], F.lit("flag"), F.col("flag"))
+        .union(row(custom, F.concat(F.lit("custom "), "name"), F.col("value")))
+        .union(row(edges, F.lit("edge"), F.col("to_key")))
+        .union(row(built.entities["Customer"], F.lit("segment"), F.col("segment")))
+        .union(row(notes, F.lit("withheld"), F.col("kind")))
+    )
