@@ -47,28 +47,39 @@ HELD = 400_000
 WIDTH = 128
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
+_LONG_RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{LEAST_LENGTH},}}")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def runs_of(text: str) -> Counter:
-    """Runs of letters of a whole text with A-Z lower-cased, and how often each occurs."""
+def runs_of(text: str) -> dict[str, int]:
+    """Runs of letters that are long enough, with A-Z lower-cased, and how often each occurs.
+
+    Damage only shortens a run, so shorter ones give no word.
+    """
     found: Counter = Counter()
     start = 0
     while start < len(text):
         end = start + SLICE
         while end < len(text) and _RUN.match(text, end - 1, end + 1) and _RUN.match(text, end, end + 1):
             end += 1  # a run is not cut
-        found.update(_RUN.findall(text[start:end]))
+        found.update(_LONG_RUN.findall(text[start:end]))
         start = end
-    lowered: Counter = Counter()
+    lowered: dict[str, int] = {}
     for run, n in found.items():
-        lowered[run.lower() if run.isascii() else run.translate(_LOWER)] += n
+        if not run.islower():
+            run = run.lower() if run.isascii() else run.translate(_LOWER)
+        lowered[run] = lowered.get(run, 0) + n
     return lowered
 
 
-def damaged(doc_id: str, run: str, damage: int = DAMAGE) -> str:
+def lead_of(doc_id: str) -> int:
+    """Checksum of what stands before each run of a document."""
+    return zlib.crc32(f"{doc_id}:".encode("utf-8", "surrogatepass"))
+
+
+def damaged(lead: int, run: str, damage: int = DAMAGE) -> str:
     """The run, or the run less one code point where the checksum of document and run says so."""
-    h = zlib.crc32(f"{doc_id}:{run}".encode("utf-8", "surrogatepass"))
+    h = zlib.crc32(run.encode("utf-8", "surrogatepass"), lead)
     if h % damage:
         return run
     at = h % len(run)
@@ -80,10 +91,11 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", damage:
     small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[str, int] = {}
 
         def flush() -> pa.RecordBatch:
-            words, counts = list(held.keys()), list(held.values())
+            kept = {word: n for word, n in held.items() if len(word) >= LEAST_LENGTH}
+            words, counts = list(kept.keys()), list(kept.values())
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"]
@@ -91,11 +103,10 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", damage:
 
         for batch in batches:
             for doc_id, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                prefix = "" if doc_id is None else doc_id
+                lead = lead_of("" if doc_id is None else doc_id)
                 for run, n in runs_of(content or "").items():
-                    word = damaged(prefix, run, damage)
-                    if len(word) >= LEAST_LENGTH:
-                        held[word] += n
+                    word = damaged(lead, run, damage)
+                    held[word] = held.get(word, 0) + n
                 if len(held) >= HELD:
                     yield flush()
         yield flush()
@@ -197,16 +208,21 @@ class _Rows:
 
 
 def _matrix(words) -> np.ndarray:
+    """Code points, a word to a column, padded with zeros; in bytes where all are small enough."""
     width = min(max(map(len, words)), WIDTH)
-    return np.array([w[:width].ljust(width, "\0") for w in words], f"U{width}").view(np.uint32).reshape(-1, width)
+    codes = np.array([w[:width] for w in words], f"U{width}").view(np.uint32).reshape(-1, width).T
+    return np.ascontiguousarray(codes.astype(np.uint8) if codes.max() < 256 else codes)
+
 
+def _common(a: np.ndarray, b: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of words of one matrix with words of another, for the pairs marked.
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of every row of one matrix with every row of another."""
-    alive = np.ones((len(a), len(b)), bool)
-    length = np.zeros((len(a), len(b)), np.int32)
-    for j in range(min(a.shape[1], b.shape[1])):
-        alive &= (a[:, j, None] == b[None, :, j]) & (a[:, j, None] != 0)
+    Marked pairs differ, so they stop being alike before both have ended and only padding is left.
+    """
+    alive = among.copy()
+    length = np.zeros(among.shape, np.int32)
+    for one, other in zip(a, b):
+        alive &= one[:, None] == other[None, :]
         if not alive.any():
             break
         length += alive
@@ -237,7 +253,7 @@ def _near(a: _Rows, b: _Rows, together: np.ndarray, found: list[tuple]) -> None:
     together &= (a.block[:, None] != b.block[None, :]) | a.inside[:, None]
     if not together.any():
         return
-    prefix, suffix = _common(a.codes, b.codes), _common(a.back, b.back)
+    prefix, suffix = _common(a.codes, b.codes, together), _common(a.back, b.back, together)
     for i, j in zip(*np.nonzero(together & (longer > WIDTH))):
         first, second = a.words[i], b.words[j]
         prefix[i, j] = len(commonprefix([first, second]))

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from tablemint.llm import spelling
-from tablemint.llm.spelling import damaged, near_pairs, roots, runs_of, spelling_groups, vocabulary
+from tablemint.llm.spelling import damaged, lead_of, near_pairs, roots, runs_of, spelling_groups, vocabulary
 
 
 def one_edit(a, b):
@@ -125,7 +125,7 @@ def test_every_word_damaged(spark):
     want = Counter()
     for doc_id, text in rows:
         for run in text.split():
-            want[damaged(str(doc_id), run, 1)] += 1
+            want[damaged(lead_of(str(doc_id)), run, 1)] += 1
     assert got == {w: n for w, n in want.items() if len(w) >= 5 and n >= 3}
 
 
@@ -141,6 +141,7 @@ def test_roots_follow_long_chains(spark):
 def test_slices_cut_no_run(monkeypatch):
     text = "alpha Beta gämma1delta " * 50 + "z" * 40
     want = runs_of(text)
+    assert want == {"alpha": 50, "gämma": 50, "delta": 50, "z" * 40: 1}
     for size in (1, 2, 3, 7, 64):
         monkeypatch.setattr(spelling, "SLICE", size)
         assert runs_of(text) == want
