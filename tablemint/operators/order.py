@@ -9,6 +9,7 @@ task.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,26 @@ def _orderable(df: DataFrame, name: str) -> Column:
     return column
 
 
+def dense_order(df: DataFrame) -> DataFrame:
+    """The recorded order of a reader as one number, 0 for the first row: short to carry through a shuffle.
+
+    ``df`` has the order of a reader: file, block, and a row number that grows within the block.  Blocks
+    are summed up in order of file and place, which is one row per input split; a row's number is what
+    stands before its block plus its place there.  Rows that were filtered away leave gaps, so a row keeps
+    its number whatever is filtered.  The order is read twice: store a frame first that is dear to read
+    (``session.stage``), also because a reader must then cut its files only once.
+    """
+    place = lambda name: F.col(f"{ORDER}.{name}")
+    blocks = df.groupBy(place("file").alias("_file"), place("block").alias("_block")).agg(
+        F.min(place("row")).alias("_first"), (F.max(place("row")) - F.min(place("row")) + 1).alias("_rows")
+    )
+    # One row per input split goes to one task here.
+    before = F.sum("_rows").over(W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1))
+    starts = blocks.select("_file", "_block", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = (place("file") == F.col("_file")) & (place("block") == F.col("_block"))
+    return df.join(starts, same).withColumn(ORDER, place("row") + F.col("_shift")).select(*df.columns)
+
+
 def data_columns(df: DataFrame) -> list[str]:
     """Columns of the table itself, without the recorded order."""
     return [c for c in df.columns if c != ORDER]

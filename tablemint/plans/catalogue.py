@@ -116,6 +116,7 @@ def file_notes(files: DataFrame) -> DataFrame:
     )
 
 
+# Entity types, property paths and columns that results are compared by.
 def catalogue_mappings() -> dict[str, list[Mapping]]:
     """Mappings per dataset: two entity types from files, comments folded onto one of them."""
     technical = tuple(c for c in DERIVED_COLUMNS if c != "Comment Count")

@@ -194,7 +194,12 @@ class Delivery:
         repeated = note_rows(
             self.scenes.filter("_credited_count > 2"), "unexpectedRepeatedTag",
             F.concat(F.lit("scene "), F.coalesce("narrativeScene", F.lit("null"))),
-            F.concat(F.lit("scene_shoot_day_credited appeared "), "_credited_count", F.lit(" times")),
+            F.concat("_credited_count", F.lit(" elements scene_shoot_day_credited, of which two have a meaning")),
+        )
+        stray = note_rows(
+            self.scenes.filter(F.col("_stray").isNotNull()), "strayText",
+            F.concat(F.lit("scene "), F.coalesce("narrativeScene", F.lit("null"))),
+            F.concat(F.lit('text outside of any element: "'), "_stray", F.lit('"')),
         )
         who = F.struct("characterNumber", "characterName")
         earlier = self.scene_characters.groupBy("file_path", "narrativeScene", f"{ORDER}.scene", who.alias("_who")).agg(
@@ -209,7 +214,7 @@ class Delivery:
         )
         tables = [self.takes, self.scenes, self.shoot_days]
         leaked = reduce(
-            DataFrame.unionByName, [leaked_fields(t.drop("file_path", "_slate")) for t in tables]
+            DataFrame.unionByName, [leaked_fields(t.drop("file_path", "_slate", "_stray")) for t in tables]
         ).distinct()
         tallies = reduce(DataFrame.unionByName, [sentinel_tally(df, names) for df, names in self.raw])
         sentinels = tallies.groupBy("field").agg(F.sum("n").alias("n"))
@@ -222,6 +227,7 @@ class Delivery:
         return all_notes(
             [
                 repeated,
+                stray,
                 characters,
                 note_rows(leaked, "objectDescription", field, "holds the printed form of a program object instead of a value"),
                 note_rows(
@@ -260,18 +266,19 @@ def read_delivery(spark: SparkSession, path: str | list[str], staged: bool = Fal
         "characters_in_scene", text_schema([], {"character_in_scene": character})
     ).add("_VALUE", "string")
     # A take names its scenes in elements of the same tag that hold text only.
-    elements = xml_rows(spark, path, "scene", scene_schema).filter("_VALUE is null")
+    elements = xml_rows(spark, path, "scene", scene_schema)
     filled = [F.col(f"`{f.tag}`") for f in scene_fields()]
     elements = elements.filter(
         F.coalesce(*filled, F.get("scene_shoot_day_credited", F.lit(0)), F.to_json("characters_in_scene")).isNotNull()
     )
-    elements = keep(elements.drop("_VALUE"), "scenes")
+    elements = keep(elements.withColumnRenamed("_VALUE", "_stray"), "scenes")
     credited = F.transform("scene_shoot_day_credited", clean_text)
     scenes = elements.select(
         *pick(scene_fields()),
         shoot_day_number(F.try_element_at(credited, F.lit(1))).alias("shootDayCredited"),
         F.try_element_at(credited, F.lit(2)).alias("eighthsCredited"),
         F.coalesce(F.size("scene_shoot_day_credited"), F.lit(0)).alias("_credited_count"),
+        clean_text("_stray").alias("_stray"),
         "file_path", ORDER,
     )
     cast = elements.select(
@@ -366,13 +373,29 @@ def with_take_key(takes: DataFrame) -> DataFrame:
     return takes.withColumn("take_key", take_key("slate", "wildTrackNumber", "camera", "take"))
 
 
+#: The day a row was delivered for: labels are unique within a day, not over all of them.
+DAY = "delivery_day"
+
+
+def with_delivery_day(df: DataFrame) -> DataFrame:
+    """Rows with the day of their folder in the layout of ``day_path``; blank outside of it."""
+    return df.withColumn(DAY, F.regexp_extract("file_path", "/day=([^/]+)/", 1))
+
+
+def comparison_keys(*sides: DataFrame) -> list[str]:
+    """The take key, within the day where all sides have one."""
+    return [DAY, "take_key"] if all(DAY in df.columns for df in sides) else ["take_key"]
+
+
 def compare_witness(primary: DataFrame, witness: DataFrame, which: str, keys: list[str] | None = None, delivered: bool = True) -> Reconciliation:
-    """Compare takes with witness ``a`` or ``b``; both sides carry ``take_key`` and any day key."""
-    return Reconciliation(primary, witness, keys or ["take_key"], compared_fields(which), delivered)
+    """Compare takes with witness ``a`` or ``b``; both sides carry ``take_key``, and are compared day by
+    day when both have been given their ``with_delivery_day``."""
+    keys = keys or comparison_keys(primary, witness)
+    return Reconciliation(primary, witness, keys, compared_fields(which), delivered)
 
 
 def circled_against_select(primary: DataFrame, witness_b: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    return cross_tab(primary, witness_b, keys or ["take_key"], "Circled", "selectType")
+    return cross_tab(primary, witness_b, keys or comparison_keys(primary, witness_b), "Circled", "selectType")
 
 
 def fidelity_report(
@@ -384,7 +407,7 @@ def fidelity_report(
     the primary export has, the flag of witness ``b`` against the primary's class, and the notes by kind.
     A witness that is None was not delivered.
     """
-    keys = keys or ["take_key"]
+    keys = keys or comparison_keys(primary, *[w for w in witnesses.values() if w is not None])
     parts = [table_counts({"primary": primary}, "rows")]
     row = lambda section, name, value: F.struct(
         F.lit(section).alias("section"), name.alias("name"), value.cast("bigint").alias("value")
@@ -416,6 +439,7 @@ def fidelity_report(
 # --- mappings -----------------------------------------------------------------------------
 
 
+# Entity types, property paths, columns and titles that results are compared by.
 def delivery_mappings() -> list[Mapping]:
     """Six entity types from takes, scenes and delivered files."""
     scene = Mapping(

@@ -389,11 +389,12 @@ def sorted_names(t: Tables) -> DataFrame:
 
 @query(
     "sorted_days",
-    "select day from (select distinct concat(l_linenumber * 5) as day from lineitem union all select 'second unit') order by try_cast(day as int) nulls last, day",
+    "select day from (select concat(l_linenumber * 5) as day from lineitem union select concat(r_name, ' unit') from region) order by try_cast(day as int) nulls last, day",
 )
 def sorted_days(t: Tables) -> DataFrame:
     days = t.lineitem.select((F.col("l_linenumber") * 5).cast("string").alias("day")).distinct()
-    return by_day(days.unionByName(t.region.limit(1).select(F.lit("second unit").alias("day"))), "day")
+    units = t.region.select(F.concat("r_name", F.lit(" unit")).alias("day")).distinct()
+    return by_day(days.unionByName(units), "day")
 
 
 @query("top_sample", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
@@ -403,12 +404,13 @@ def top_sample_orders(t: Tables) -> DataFrame:
 
 @query(
     "note_report",
-    """select 'notes' as section, 'sentinelNull' as name, count(*) as value from part where p_partkey % 7 = 0
+    """select 'notes' as section, 'sentinelNull' as name, count(*) as value from supplier where s_acctbal < 0 having count(*) > 0
     union all select 'notes', 'duplicateTakeKey', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)""",
 )
 def note_report(t: Tables) -> DataFrame:
     """Notes of several operators in one table, counted by kind."""
-    sentinels = note_rows(t.part.filter("p_partkey % 7 = 0"), "sentinelNull", F.col("p_partkey"), "absent")
+    cells = t.supplier.select("s_name", F.when(F.col("s_acctbal") < 0, "(null)").otherwise(F.col("s_acctbal").cast("string")).alias("cell"))
+    sentinels = note_rows(cells.filter("cell = '(null)'"), "sentinelNull", F.col("s_name"), "absent")
     duplicates = note_rows(
         duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"]), "duplicateTakeKey", F.col("l_orderkey"), "shared key"
     )

@@ -94,14 +94,19 @@ def csv_rows_orders(t: Tables) -> DataFrame:
 
 @query(
     "file_manifest",
-    """select distinct concat('lang=', lang) as folder, '.txt' as file_extension, 'text/plain' as media_type, true as filled from documents""",
+    r"""select concat('lang=', lang) as folder, '.txt' as file_extension, 'text/plain' as media_type, true as named,
+        cast(sum(strlen(regexp_replace(text, '[\r\n]+', ' ', 'g')) + 1) as bigint) as bytes
+    from documents group by lang""",
 )
 def file_manifest_documents(t: Tables) -> DataFrame:
     out = _folder(t, "files")
     t.documents.select("lang", F.regexp_replace("text", r"[\r\n]+", " ").alias("text")).write.partitionBy("lang").text(out)
     files = file_manifest(t.spark, out).filter(F.col("file_extension") == ".txt")
     folder = F.element_at(F.split("path", "/"), -2)
-    return files.select(folder.alias("folder"), "file_extension", "media_type", (F.col("file_size") > 0).alias("filled")).distinct()
+    named = (F.col("file_name") == F.element_at(F.split("path", "/"), -1)) & F.col("file_name").startswith("part-")
+    return files.groupBy(folder.alias("folder"), "file_extension", "media_type").agg(
+        F.bool_and(named).alias("named"), F.sum("file_size").cast("bigint").alias("bytes")
+    )
 
 
 @query(

@@ -34,10 +34,9 @@ LINKED = [
 ]
 
 
-def _linked(t: Tables) -> Built:
+def _linked(t: Tables, nations: DataFrame | None = None) -> Built:
     orders = t.orders.withColumn("priorities", F.concat("o_orderpriority", F.lit("; "), "o_orderstatus", F.lit(";"), "o_orderpriority"))
-    nations = t.nation.filter("n_nationkey <> 7")
-    return build_entities({"customer": t.customer, "orders": orders, "nation": nations}, LINKED, NAMESPACE)
+    return build_entities({"customer": t.customer, "orders": orders, "nation": t.nation if nations is None else nations}, LINKED, NAMESPACE)
 
 
 def _edge_counts(df: DataFrame) -> DataFrame:
@@ -54,7 +53,7 @@ def _edge_sql(from_type, from_key, to_type, to_key, source, edge_key="has", exte
     "edges_resolve",
     _edge_sql("Customer", "c_custkey", "Order", "o_orderkey", "orders join customer on c_custkey = o_custkey")
     + " union all "
-    + _edge_sql("Customer", "c_custkey", "Nation", "c_nationkey", "customer where c_nationkey <> 7"),
+    + _edge_sql("Customer", "c_custkey", "Nation", "c_nationkey", "customer join nation on c_nationkey = n_nationkey"),
 )
 def edges_resolve(t: Tables) -> DataFrame:
     """Own-table and other-table edges; targets that were not built are skipped."""
@@ -84,11 +83,13 @@ def edges_external(t: Tables) -> DataFrame:
 
 @query(
     "edges_unresolved",
-    """select 'Customer' as from_type, cast(c_custkey as varchar) as from_key, 'Nation' as to_type, '7' as to_key
-    from customer where c_nationkey = 7""",
+    """select 'Customer' as from_type, cast(c_custkey as varchar) as from_key, 'Nation' as to_type, cast(c_nationkey as varchar) as to_key
+    from customer where c_nationkey in (select n_nationkey from nation anti join supplier on s_nationkey = n_nationkey and s_acctbal > 9000)""",
 )
 def edges_unresolved(t: Tables) -> DataFrame:
-    return _linked(t).unresolved
+    """Only nations with a rich supplier are built, so edges to the others have no target."""
+    rich = t.supplier.filter("s_acctbal > 9000").select(F.col("s_nationkey").alias("n_nationkey"))
+    return _linked(t, t.nation.join(rich, "n_nationkey", "left_semi")).unresolved
 
 
 def _supply_edges(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -324,7 +325,7 @@ def idempotent(t: Tables) -> DataFrame:
     "report_counts",
     """select 'entities' as section, 'Customer' as name, count(*) as value from customer
     union all select 'entities', 'Order', count(*) from orders
-    union all select 'entities', 'Nation', count(*) from nation where n_nationkey <> 7
+    union all select 'entities', 'Nation', count(*) from nation
     union all select 'failures', 'Order', count(*) from orders where o_orderstatus = 'P' having count(*) > 0
     union all select 'external', 'Segment', count(*) from customer
     union all select 'external', 'Priority', 2 * count(*) from orders""",

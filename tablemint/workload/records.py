@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import is_present
 from ..operators.chains import chain_problems, in_chain_order
+from ..operators.eav import field_inventory, inventory_sketches, merged_inventory, open_columns
 from ..operators.fingerprints import fingerprint, level_differences
 from ..operators.nested import PathRule, validate_records
+from ..operators.order import ORDER, dense_order, first_match
 from ..operators.reconcile import golden_diff, run_difference
 from ..operators.rule_tables import classify_joined, prefix_classes, roles_from
 from ..plans.build import build_entities
 from ..plans.mapping import Edge, Mapping, Rest, Source
-from ..session import scratch_path
-from ..sinks import clean_up, current_version, new_version, publish_version, versions
+from ..session import scratch_path, stage
+from ..sinks import clean_up, current_version, new_version, publish_version, versions, write_table_set
+from ..sources.csv import csv_rows
 from .entities import NAMESPACE
 from .registry import Tables, query
 
@@ -414,3 +418,73 @@ def key_columns(t: Tables) -> DataFrame:
         .union(row(built.entities["Customer"], F.lit("segment"), F.col("segment")))
         .union(row(notes, F.lit("withheld"), F.col("kind")))
     )
+
+
+# --- names found in the data ----------------------------------------------------------
+
+
+@query(
+    "open_columns",
+    """with e as (select event_id, user_id, event_type, ts, value from events)
+    select 'Type' as name, count(*) as n, count(distinct event_type) as distinct_values, count(*) * 2 - count(*) filter (event_id % 4 = 0) as others from e
+    union all select 'Often', count(*) filter (event_id % 3 > 0), count(distinct user_id) filter (event_id % 3 > 0), count(*) * 2 - count(*) filter (event_id % 4 = 0) from e""",
+)
+def open_columns_events(t: Tables) -> DataFrame:
+    """Metadata with two frequent names and a tail of names as long as the table: the tail stays a map."""
+    key = F.col("event_id")
+    pair = lambda n, v: F.struct(n.alias("name"), v.cast("string").alias("value"))
+    pairs = F.array_compact(
+        F.array(
+            pair(F.lit("Type"), F.col("event_type")),
+            F.when(key % 3 > 0, pair(F.lit("Often"), F.col("user_id"))),
+            pair(F.concat(F.lit("tail "), key), F.col("value")),
+            F.when(key % 4 > 0, pair(F.concat(F.lit("Tail "), key), F.col("ts"))),
+        )
+    )
+    wide, names = open_columns(t.events.select("event_id", pairs.alias("metadata")), "metadata", 0.5)
+    others = wide.agg(F.sum(F.size("metadata_rest"))).scalar()
+    figures = [F.struct(F.lit(c).alias("name"), F.count(f"`{c}`").alias("n"), F.count_distinct(F.col(f"`{c}`")).alias("distinct_values")) for c in names]
+    return wide.agg(F.array(*figures).alias("f")).select(F.inline("f")).withColumn("others", others)
+
+
+@query(
+    "inventory_sketches",
+    """select event_type as name, count(*) as populated, 'entered' as origin, true as close, true as merged
+    from events where value is not null group by 1""",
+)
+def inventory_sketches_events(t: Tables) -> DataFrame:
+    """Distinct counts from sketches of days, merged: within 3 % of the exact ones, as if taken at once."""
+    long = t.events.select(
+        F.to_date("ts").alias("day"), F.col("event_type").alias("name"), F.col("value").cast("string").alias("value"), F.lit(True).alias("mutable")
+    )
+    days = merged_inventory(stage(inventory_sketches(long, ["day"]), "sketches"))
+    once = field_inventory(long, approximate=True).select("name", F.col("distinct_values").alias("_once"))
+    exact = field_inventory(long, examples=1).select("name", F.col("distinct_values").alias("_exact"))
+    error = F.abs(F.col("distinct_values") - F.col("_exact"))
+    joined = days.join(once, "name").join(exact, "name")
+    return joined.select(
+        "name", "populated", "origin", (error <= F.ceil(F.col("_exact") * 0.03)).alias("close"),
+        (F.abs(F.col("distinct_values") - F.col("_once")) <= F.ceil(F.col("_exact") * 0.03)).alias("merged"),
+    )
+
+
+@query(
+    "dense_order",
+    """select count(*) as rows, count(*) as numbers, cast(0 as bigint) as lowest, count(*) - 1 as highest,
+        count(distinct o_custkey) as customers, cast(0 as bigint) as differing from orders""",
+)
+def dense_order_orders(t: Tables) -> DataFrame:
+    """Rows of several files numbered in source order; the numbers pick the same first rows as the order."""
+    out = scratch_path(t.spark, "ordered")
+    write_table_set({"orders": t.orders.repartition(5).select("o_orderkey", "o_custkey")}, out)
+    read = stage(csv_rows(t.spark, f"{out}/orders").filter(is_present("o_orderkey")), "rows")
+    dense = stage(dense_order(read), "numbered")
+    pick = lambda df, name: first_match(df.select("o_custkey", "o_orderkey", ORDER), ["o_custkey"]).withColumnRenamed("o_orderkey", name)
+    picks = pick(read, "_a").join(pick(dense, "_b"), "o_custkey", "full_outer").agg(
+        F.count("*").alias("customers"), F.count_if(~F.col("_a").eqNullSafe(F.col("_b"))).alias("differing")
+    )
+    number = F.col(ORDER)
+    return dense.agg(
+        F.count("*").alias("rows"), F.count_distinct(number).alias("numbers"), F.min(number).alias("lowest"), F.max(number).alias("highest"),
+        picks.select("customers").scalar().alias("customers"), picks.select("differing").scalar().alias("differing"),
+    )

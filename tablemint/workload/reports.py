@@ -19,9 +19,10 @@ from ..plans.delivery import (
     read_delivery,
     read_witness_a,
     read_witness_b,
+    with_delivery_day,
     with_take_key,
 )
-from ..sources.files import empty_directories, file_manifest, wrong_documents
+from ..sources.files import day_path, empty_directories, file_manifest, wrong_documents
 from ..sources.pages import json_bundle
 from .deliveries import _COMPARED, _delivery, _folder, _perturbed, _write_xml
 from .entities import NAMESPACE
@@ -81,6 +82,48 @@ def fidelity_report_takes(t: Tables) -> DataFrame:
     return fidelity_report(with_take_key(delivery.takes), witnesses, delivery.notes())
 
 
+@query(
+    "fidelity_days",
+    """with c as (select c_custkey as k, c_mktsegment as seg, c_acctbal < 0 as poor from customer), n as (select count(*) as n from c),
+    m as (select count(*) as m from c where seg = 'MACHINERY'), p as (select count(*) as p from c where poor)
+    select 'keys b' as section, 'matched' as name, 2 * n - p as value from n, p
+    union all select 'keys b', 'only_left', p from p
+    union all select 'keys b', 'only_right', cast(0 as bigint)
+    union all select 'keys b', 'mismatches', m from m
+    union all select 'keys b', 'one_sided', cast(0 as bigint)
+    union all select 'verdict b', case when m > 0 or p > 0 then 'DIFFERENCES FOUND' else 'EXACT' end, cast(1 as bigint) from m, p
+    union all select 'fields b', 'comment mismatch', m from m where m > 0
+    union all select 'rows', 'primary', 2 * n from n
+    union all select 'rows', 'witness b', 2 * n - p from n, p""",
+)
+def fidelity_days(t: Tables) -> DataFrame:
+    """Two days that use the same labels: every take is compared with its own day's.
+
+    The days' comments differ, and the witness's differ from the first day's for one segment; on the second
+    day the witness lacks the poor.
+    """
+    out = _folder(t, "days")
+    for day in ("1", "2"):
+        takes = t.customer.select(
+            F.concat(F.col("c_custkey"), F.lit("A")).alias("script_scene"), F.lit("A").alias("script_camera"), F.lit("1").alias("script_take"),
+            F.concat(F.lit(f"day {day} "), "c_name").alias("script_comment"), "c_mktsegment", "c_acctbal",
+        )
+        _write_xml(takes.drop("c_mktsegment", "c_acctbal"), f"{day_path(out, 'demo', 'primary', day)}/takes", PRIMARY_ROOT, "shot_properties")
+        other = (F.col("c_mktsegment") == "MACHINERY") & F.lit(day == "1")
+        rows = takes.filter(f"{day} = 1 or c_acctbal >= 0").select(
+            F.col("script_scene").alias("Slate"), F.col("script_camera").alias("Camera"), F.col("script_take").alias("Take"),
+            F.when(other, "other").otherwise(F.col("script_comment")).alias("Notes"),
+        )
+        rows.write.option("header", "true").csv(day_path(out, "demo", "witness", day))
+    # The folders of the layout are the days; they are read as files, without partition columns.
+    source = lambda name: f"{out}/production=demo/source={name}"
+    primary = read_delivery(t.spark, f"{source('primary')}/day=*/takes").takes
+    witness = read_witness_b(t.spark, f"{source('witness')}/day=*", multiline=False)
+    keyed = [with_delivery_day(with_take_key(df)) for df in (primary, witness)]
+    report = fidelity_report(keyed[0], {"b": keyed[1]})
+    return report.filter("section in ('keys b', 'verdict b', 'fields b', 'rows')")
+
+
 # --- the tree catalogue -------------------------------------------------------------------
 
 _META = "array<struct<name:string,mutable:boolean,value:string>>"
@@ -134,6 +177,31 @@ def catalogue_entities(t: Tables) -> DataFrame:
     return assets.unionByName(structures)
 
 
+@query(
+    "catalogue_comments",
+    """with c as (select distinct concat('f', l_partkey) as key, l_shipdate::date::varchar as text, case when l_returnflag <> 'A' then concat('S', l_suppkey % 3) end as author,
+            cast(l_linenumber as varchar) as title from lineitem)
+    select 'text' as fact, key, text, author, title from c
+    union all select 'asset', concat('f', p_partkey), concat('p', p_partkey, case when p_partkey % 3 = 0 then '.odd' else '.MOV' end), null, null from part
+    union all select distinct 'asset', key, null, null, null from c where key not in (select concat('f', p_partkey) from part)""",
+)
+def catalogue_comments(t: Tables) -> DataFrame:
+    """Comments folded onto the assets of their files: equal ones once, an asset for a file not listed."""
+    files = file_rows(_catalogue(t), ["Slate", "Take"], "proj")
+    comments = t.lineitem.select(
+        F.concat(F.lit("f"), "l_partkey").alias("fileId"), F.to_date("l_shipdate").cast("string").alias("commentText"),
+        F.when(F.col("l_returnflag") != "A", F.concat(F.lit("S"), F.col("l_suppkey") % 3)).alias("commentAuthor"),
+        F.col("l_linenumber").alias("commentFrame"),
+    )
+    mappings = [m for group in catalogue_mappings().values() for m in group]
+    built = build_entities({"files": files, "comments": comments}, mappings, NAMESPACE)
+    none = F.lit(None).cast("string")
+    texts = built.texts.select(F.lit("text").alias("fact"), "key", "text", "author", "title")
+    return texts.unionByName(
+        built.entities["Asset"].select(F.lit("asset").alias("fact"), "key", F.col("label").alias("text"), none.alias("author"), none.alias("title"))
+    )
+
+
 @query(
     "catalogue_notes",
     """select 'metadataMissing' as kind, 'files' as place, count(*) as n from part where p_partkey % 7 = 0
@@ -150,25 +218,25 @@ def catalogue_notes(t: Tables) -> DataFrame:
 
 @query(
     "delivered_documents",
-    """select 'emptyDirectory' as kind, concat('n=', n_nationkey) as place, null as production from nation where n_nationkey % 7 = 0
-    union all select 'wrongDocument', concat('n=', n_nationkey), null from nation where n_nationkey % 7 <> 0 and n_nationkey % 2 = 1
-    union all select 'header', concat('n=', n_nationkey), n_name from nation where n_nationkey % 7 <> 0 and n_nationkey % 2 = 0""",
+    """select 'emptyDirectory' as kind, concat('n=', s_suppkey) as place, null as production from supplier where s_acctbal < 0
+    union all select 'wrongDocument', concat('n=', s_suppkey), null from supplier where s_acctbal >= 0 and s_nationkey % 2 = 1
+    union all select 'header', concat('n=', s_suppkey), s_name from supplier where s_acctbal >= 0 and s_nationkey % 2 = 0""",
 )
 def delivered_documents(t: Tables) -> DataFrame:
-    """A folder per nation: some without a file, some with another document, the others with a header."""
+    """A folder per supplier: some without a file, some with another document, the others with a header."""
     out = _folder(t, "documents")
     uuid, created, source, production, _ = HEADER_TAGS
     element = lambda tag, value: F.concat(F.lit(f"<{tag}>"), value, F.lit(f"</{tag}>"))
-    tags = [element(uuid, F.lit("u")), element(created, F.lit("c")), element(source, F.lit("s")), element(production, F.col("n_name"))]
+    tags = [element(uuid, F.lit("u")), element(created, F.lit("c")), element(source, F.lit("s")), element(production, F.col("s_name"))]
     right = F.concat(F.lit(f'<{PRIMARY_ROOT} Version="1">'), *tags, F.lit(f"</{PRIMARY_ROOT}>"))
-    text = F.when(F.col("n_nationkey") % 2 == 0, right).otherwise("<Other><x>1</x></Other>")
-    written = t.nation.filter("n_nationkey % 7 <> 0").select(F.col("n_nationkey").alias("n"), text.alias("text"))
+    text = F.when(F.col("s_nationkey") % 2 == 0, right).otherwise("<Other><x>1</x></Other>")
+    written = t.supplier.filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("n"), text.alias("text"))
     written.repartition("n").write.partitionBy("n").text(out)
     folder = lambda c: F.element_at(F.split(c, "/"), -2)
     placed = lambda df, c: df.withColumn(c, F.concat(folder(c), F.lit("/"), F.element_at(F.split(c, "/"), -1)))
     manifest = placed(file_manifest(t.spark, out), "path")
     header = placed(read_delivery(t.spark, f"{out}/*/*.txt").header, "file_path")
-    listed = t.nation.select(F.concat(F.lit("n="), "n_nationkey").alias("path"))
+    listed = t.supplier.select(F.concat(F.lit("n="), "s_suppkey").alias("path"))
     wrong = wrong_documents(manifest, header, PRIMARY_ROOT).withColumn("where", folder("where"))
     notes = wrong.unionByName(empty_directories(listed, manifest))
     none = F.lit(None).cast("string")

@@ -190,3 +190,35 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     plan = built.entities["E"]._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
     assert [r.detail for r in built.notes.collect()] == ['v left out: rows disagree, 1000 of them give 3 for "v"']
+
+
+def test_columns_called_key(spark, rows):
+    """A table may have columns called key in any case; results keep their names apart."""
+    table = spark.createDataFrame(
+        [("a", "k1", 1), ("a", "k1", 2), ("b", "k2", 3), ("b", "k3", 3)], "id string, Key string, n int"
+    )
+    group = Mapping(
+        "E", "t", "id", grain="group", properties={"agreed": Source("Key", when="unanimous"), "first": "Key"},
+        texts={"note": (Text("Key", "Key"),)}, custom=Rest("demo", include=("Key", "n", "id")), edges=(Edge("K", "Key", external=True),),
+    )
+    row = Mapping("R", "t", "Key", properties={"n": "n"}, custom=Rest("demo", include=("Key",)))
+    built = build_entities({"t": table}, [group, row], "demo")
+    assert rows(built.entities["E"], "key", "agreed", "first") == [("a", "k1", "k1"), ("b", None, "k2")]
+    assert rows(built.entities["R"], "key", "n") == [("k1", 1), ("k2", 3), ("k3", 3)]
+    custom = {(r.entity_type, r.key): dict(r.value) for r in built.custom.collect()}
+    assert custom == {("E", "a"): {"id": "a"}, ("E", "b"): {"id": "b", "n": "3"}, ("R", "k1"): {"Key": "k1"}, ("R", "k2"): {"Key": "k2"}, ("R", "k3"): {"Key": "k3"}}
+    assert rows(built.edges, "from_key", "to_key") == [("a", "k1"), ("b", "k2"), ("b", "k3")]
+    assert rows(built.texts.filter("entity_type = 'E'"), "key", "text") == [("a", "k1"), ("b", "k2")]
+    assert rows(built.notes, "where") == [("E b",)]
+
+
+def test_agreement_of_plain_types_is_a_hash_aggregate(spark, rows):
+    table = spark.createDataFrame(
+        [("a", 1, 1.5, True, None), ("a", 1, 2.5, True, 4), ("b", 2, float("nan"), None, 5), ("b", 2, float("nan"), None, 5)],
+        "id string, i int, d double, b boolean, n long",
+    )
+    mapping = Mapping("E", "t", "id", grain="group", custom=Rest("demo", include=("i", "d", "b", "n")))
+    custom = build_entities({"t": table}, [mapping], "demo").custom
+    assert {r.key: dict(r.value) for r in custom.collect()} == {"a": {"i": "1", "b": "true"}, "b": {"i": "2", "d": "NaN", "n": "5"}}
+    plan = custom._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -12,7 +12,8 @@ from tablemint.plans.build import build_entities
 from tablemint.plans.bundle import InvalidBundle
 from tablemint.plans.catalogue import catalogue_mappings, check_structures, file_notes, file_rows, structure_for
 from tablemint.plans.delivery import (
-    PRIMARY_ROOT, circled_against_select, compare_witness, delivery_mappings, read_delivery, read_witness_a, read_witness_b, with_take_key,
+    PRIMARY_ROOT, circled_against_select, compare_witness, delivery_mappings, fidelity_report, read_delivery, read_witness_a, read_witness_b,
+    with_delivery_day, with_take_key,
 )
 from tablemint.plans.mapping import Edge, Mapping, Rest, Text
 from tablemint.sinks import nested_records, write_bundle, write_table_set
@@ -136,6 +137,33 @@ def test_witnesses(spark, tmp_path, delivery, rows):
     assert rows(circled_against_select(primary, keyed)) == [("(blank)", "(blank)", 1), ("N", "(blank)", 1), ("Y", "Hold", 2)]
 
 
+def test_a_scene_with_stray_text_is_kept_and_noted(spark, tmp_path, rows):
+    text = PRIMARY.replace("<scene><scene_number>13", "<scene>struck out <scene_number>13").replace("<scene><scene_number>15</scene_number></scene>", "<scene>all text</scene>")
+    stray = read_delivery(spark, put(tmp_path / "sim.xml", text))
+    assert rows(stray.scenes, "narrativeScene", "heading") == [("13", "EXT."), ("3", "INT. ROOM")]
+    assert rows(stray.notes().filter("kind = 'strayText'"), "where", "detail") == [("scene 13", 'text outside of any element: "struck out"')]
+    assert set(stray.tables()["narrativeScenes"].columns) == set(read_delivery(spark, put(tmp_path / "b.xml", PRIMARY)).tables()["narrativeScenes"].columns)
+
+
+def test_days_that_share_labels_are_compared_by_day(spark, tmp_path, rows):
+    header = "Slate,Scene,Camera,Roll,Take,Circled,Notes\n"
+    for day, note in (("1", "one"), ("2", "two")):
+        put(tmp_path / f"day={day}" / "sim.xml", PRIMARY.replace("<script_comment>(null)", f"<script_comment>{note}"))
+        put(tmp_path / f"day={day}" / "b.csv", header + f"3A,3,A,,1,Y,{note}\n")
+    takes = read_delivery(spark, f"{tmp_path}/day=*/*.xml").takes
+    witness = read_witness_b(spark, f"{tmp_path}/day=*/*.csv")
+    left, right = with_delivery_day(with_take_key(takes)), with_delivery_day(with_take_key(witness))
+    by_day = compare_witness(left, right, "b")
+    assert rows(by_day.differences().filter("field = 'comment'")) == []
+    assert rows(by_day.summary(), "matched", "only_left", "only_right") == [(2, 4, 0)]
+    assert rows(circled_against_select(left, right)) == [("Y", "Hold", 2)]
+    section = fidelity_report(left, {"b": right}).filter("section = 'keys b' and name = 'matched'")
+    assert rows(section, "value") == [(2,)]
+    # Without days the two share their keys, and one of each pair is all that is compared.
+    folded = compare_witness(with_take_key(takes), with_take_key(witness), "b")
+    assert rows(folded.summary(), "matched") == [(1,)]
+
+
 def test_delivery_to_entities(delivery, rows):
     mappings = [m for m in delivery_mappings() if m.table != "assets"]
     built = build_entities(delivery.tables(), mappings, "Show")

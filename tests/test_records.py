@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tablemint.operators import fingerprints
 from tablemint.operators.chains import chain_positions, chain_problems, in_chain_order
+from tablemint.operators.eav import field_inventory, frequent_names, inventory_sketches, merged_inventory, open_columns
 from tablemint.operators.fingerprints import added, differing_buckets, fingerprint, level_differences, row_bucket
 from tablemint.operators.nested import PathRule, canonical_text, path_steps, validate_records
+from tablemint.operators.order import ORDER, dense_order, first_match, last_wins
 from tablemint.operators.reconcile import golden_diff, run_difference
+from tablemint.sources.csv import csv_rows
 
 # --- canonical form -------------------------------------------------------------------
 
@@ -305,3 +308,60 @@ def test_empty_runs(spark):
     some = table_of(spark, [(1, "x", 1.0)])
     assert fingerprint(none).count() == 0
     assert run_difference(none, some, (fingerprint(none), fingerprint(some))).count() == 1
+
+
+# --- names, sketches and orders found in the data -------------------------------------
+
+
+def test_frequent_names_are_exact(spark, rows):
+    rng = random.Random(9)
+    names = ["a"] * 400 + ["b"] * 101 + ["c"] * 99 + [None, ""] * 20 + [f"tail {i}" for i in range(360)]
+    rng.shuffle(names)
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(6)
+    assert rows(frequent_names(df, 0.1)) == [("a", 400), ("b", 101)]
+    assert rows(frequent_names(df, 0.001)) == sorted([(n, names.count(n)) for n in set(names) if n], key=repr)
+    assert rows(frequent_names(df.limit(0), 0.1)) == []
+    with pytest.raises(ValueError):
+        frequent_names(df, 0.0)
+
+
+def test_open_columns_keep_the_tail_in_a_map(spark):
+    kind = "array<struct<name:string,value:string>>"
+    records = [(i, [("Often", f"o{i}"), ("often", "other case"), ("id", "shadow"), (f"tail {i}", "t")][: 4 if i % 4 else 2]) for i in range(40)]
+    records += [(40, None), (41, []), (42, [("Often", "first"), ("Often", "last")])]
+    df = spark.createDataFrame(records, f"id int, metadata {kind}")
+    wide, names = open_columns(df, "metadata", 0.5, structural=["kept"])
+    assert names == ["Often"]
+    got = {r["id"]: (r["Often"], r["metadata_rest"]) for r in wide.collect()}
+    assert got[1] == ("o1", {"often": "other case", "id": "shadow", "tail 1": "t"})
+    assert got[40] == (None, None) and got[41] == (None, {}) and got[42] == ("last", {})
+    assert open_columns(df.limit(0), "metadata", 0.5)[1] == []
+
+
+def test_sketches_of_days_add_up(spark):
+    rows = [(i % 5, f"f{i % 3}", str(i % (37 * (1 + i % 3))), i % 7 == 0) for i in range(20_000)] + [(0, "f0", "", True), (0, None, "x", True)]
+    long = spark.createDataFrame(rows, "day int, name string, value string, mutable boolean")
+    exact = {r["name"]: r for r in field_inventory(long).collect()}
+    days = merged_inventory(inventory_sketches(long, ["day"]))
+    for found in (days.collect(), field_inventory(long, approximate=True).collect()):
+        assert {r["name"] for r in found} == set(exact)
+        for r in found:
+            assert r["populated"] == exact[r["name"]]["populated"] and r["origin"] == exact[r["name"]]["origin"]
+            assert abs(r["distinct_values"] - exact[r["name"]]["distinct_values"]) <= 0.03 * exact[r["name"]]["distinct_values"]
+    many = spark.range(200_000).select(F.lit("f").alias("name"), F.col("id").cast("string").alias("value"), F.lit(False).alias("mutable"))
+    assert abs(field_inventory(many, approximate=True).first()["distinct_values"] - 200_000) < 6_000
+
+
+def test_dense_order_numbers_rows_of_files(spark, tmp_path, rows):
+    for name, lines in (("b", range(100)), ("a", range(100, 250)), ("c", [])):
+        (tmp_path / f"{name}.csv").write_text("n,k\n" + "".join(f"{i},{i % 9}\n" for i in lines))
+    read = csv_rows(spark, f"{tmp_path}/*.csv", multiline=False)
+    dense = dense_order(read)
+    got = [int(r["n"]) for r in dense.orderBy(ORDER).collect()]
+    assert got == [*range(100, 250), *range(100)]
+    assert rows(dense, ORDER) == sorted([(i,) for i in range(250)], key=repr)
+    for pick in (first_match, last_wins):
+        assert rows(pick(dense, ["k"]), "k", "n") == rows(pick(read, ["k"]), "k", "n")
+    thinned = dense_order(read.filter("n % 3 = 0"))
+    assert [int(r["n"]) for r in thinned.orderBy(ORDER).collect()] == [i for i in got if i % 3 == 0]
+    assert rows(dense_order(read.limit(0))) == []
