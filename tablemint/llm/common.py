@@ -56,3 +56,25 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     if total > rows:
         df = df.filter(F.pmod(order, F.lit(total)) < rows)
     return df.orderBy(order, key).limit(rows)
+
+
+#: What a document carries besides the columns that an operator reads.
+CARRIED = "carried"
+
+
+def set_apart(docs: DataFrame, *read: str) -> DataFrame:
+    """``docs`` with the columns an operator reads, and all others in one struct, where no name of theirs
+    can meet one of the operator's own."""
+    others = [c for c in docs.columns if c not in read]
+    fields = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)]
+    return docs.select(*read, F.struct(*fields, F.lit(True).alias("there")).alias(CARRIED))
+
+
+def put_back(df: DataFrame, columns: list[str], *read: str, keep: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of the documents again, in their order, after ``set_apart``; then those of ``keep``, which
+    take the place of columns of their names."""
+    others = [c for c in columns if c not in read]
+    own = [F.col(f"`{c}`") if c in read else F.col(CARRIED)[f"_{others.index(c)}"].alias(c) for c in columns]
+    taken = {name.lower() for name in keep or {}}
+    kept = [value.alias(name) for name, value in (keep or {}).items()]
+    return df.select(*[value for c, value in zip(columns, own) if c.lower() not in taken], *kept)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import query, table
+from .common import put_back, query, set_apart, table
 
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 8
@@ -103,8 +103,13 @@ def draw(key: str) -> Column:
 def mix(
     docs: DataFrame, key: str = "doc_id", text: str = "text", targets=None, temper: float = TEMPER, share: float | None = SHARE
 ) -> DataFrame:
-    """``docs`` with ``_topic``, ``_words``, ``_weight`` (the factor), ``_probability``, ``_kept`` and ``_repeats``."""
-    described = docs.withColumns({"_topic": topic_of(text), "_words": word_count(text)})
+    """``docs`` with ``_source``, ``_lang``, ``_topic``, ``_words``, ``_weight`` (the factor), ``_probability``,
+    ``_kept`` and ``_repeats``.
+
+    These take the place of columns of their names; all others pass through, whatever they are called.
+    """
+    read = list(dict.fromkeys([key, text, "source", "lang"]))
+    described = set_apart(docs, *read).withColumns({"_topic": topic_of(text), "_words": word_count(text)})
     name = {"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit(""))}
     described = described.withColumns(name)
     cells = described.groupBy(
@@ -122,7 +127,9 @@ def mix(
     joined = described.join(lookup, ["_source", "_lang", "_topic"], "left")
     more = draw(key) < F.col("_wanted") - F.floor("_wanted")
     repeats = F.floor("_wanted") + more.cast("long")
-    return joined.withColumns({"_kept": draw(key) < F.col("_probability"), "_repeats": repeats}).drop("_wanted")
+    made = {name: F.col(name) for name in ("_source", "_lang", "_topic", "_words", "_weight", "_probability")}
+    made |= {"_kept": draw(key) < F.col("_probability"), "_repeats": repeats}
+    return put_back(joined, docs.columns, *read, keep=made)
 
 
 def _sql(rounds: int = ROUNDS, temper: float = TEMPER) -> str:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import put_back, query, set_apart, table
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: Code points before and after a match that are searched for context words.
@@ -141,7 +141,10 @@ def _spans(number: int, kind: Kind, gaps: Column, hits: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
-    """``docs`` with an array of (start, kind, stop, hit, score), ordered by start, then kind."""
+    """``docs`` with an array of (start, kind, stop, hit, score), ordered by start, then kind.
+
+    The array takes the place of a column called ``into``; all others pass through, whatever their names.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     hits, gaps = {}, {}
     for i, kind in enumerate(KINDS):
@@ -151,13 +154,14 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFr
         hits[f"_hits{i}"] = matches
         gaps[f"_gaps{i}"] = F.when(F.size(F.col(f"_hits{i}")) > 0, F.split(body, kind.pattern, -1))
     # Each step is a projection of its own: its columns are used more than once, so Spark keeps them.
-    df = docs.withColumns(hits).withColumns(gaps)
+    df = set_apart(docs, text).withColumns(hits).withColumns(gaps)
     none = F.array().cast("array<struct<start:int,kind:int,stop:int,hit:string,score:double>>")
     found = [
         F.when(F.size(f"_hits{i}") > 0, _spans(i, kind, F.col(f"_gaps{i}"), F.col(f"_hits{i}"))).otherwise(none)
         for i, kind in enumerate(KINDS)
     ]
-    return df.withColumn(into, F.array_sort(F.concat(*found))).drop(*hits, *gaps)
+    done = df.withColumn("_found", F.array_sort(F.concat(*found)))
+    return put_back(done, docs.columns, text, keep={into: F.col("_found")})
 
 
 def kind_name(number: Column) -> Column:

@@ -245,3 +245,43 @@ def test_pipeline_on_empty_and_odd_tables(spark):
         for _, work in corpus_pipeline.STAGES:
             out = work(spark, frame, SMALL)
             out.collect()
+
+
+#: Names that the stages use for columns of their own.
+HELPERS = [
+    "_pii", "pii", "_hits0", "_gaps0", "_weight", "_wanted", "_probability", "_kept", "_repeats", "_topic", "_words", "_source", "_lang",
+    "id", "component", "carried", "_", "first", "n", "row", "words", "piece", "n_words", "_key",
+]
+
+
+def test_stages_keep_columns_of_any_name_and_do_not_depend_on_order(spark):
+    base = spark.read.parquet(f"{SMALL}/documents.parquet").limit(80)
+    text = F.concat("text", F.lit(" mail a@b.example.com now"))
+    docs = base.withColumn("text", F.when(F.col("doc_id") % 3 == 0, text).otherwise(F.col("text")))
+    # Rows that share an id but not a text.
+    docs = docs.unionByName(docs.filter("doc_id % 5 = 0").withColumn("text", F.concat(F.lit("another text of some words "), "text"))).cache()
+    wide = docs.select("*", *[F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in HELPERS]).cache()
+    for name, work in corpus_pipeline.STAGES:
+        plain, carried, turned = work(spark, docs, SMALL), work(spark, wide, SMALL), work(spark, docs.orderBy(F.desc("text")).repartition(5), SMALL)
+        want = sorted(map(repr, plain.collect()))
+        assert sorted(map(repr, carried.select(plain.columns).collect())) == want, name
+        assert sorted(map(repr, turned.collect())) == want or name == "packing"
+        if name != "packing":
+            assert carried.columns == wide.columns
+            for r in carried.collect():
+                assert all(r[h] == f"{h} {r.doc_id}" for h in HELPERS)
+
+
+def test_operators_keep_columns_of_any_name(spark):
+    from tablemint.llm import pii
+
+    docs = docs_of(spark, [*TEXTS, "mail a@b.example.com"])
+    wide = docs.select("*", *[F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in HELPERS])
+    for work, made in ((pii.with_spans, {"pii"}), (mixing.mix, {"_source", "_lang", "_topic", "_words", "_weight", "_probability", "_kept", "_repeats"})):
+        plain, carried = work(docs), work(wide)
+        # Sums of doubles depend on their order in the last digits.
+        exact = [F.round(c, 9).alias(c) if c in ("_weight", "_probability") else c for c in plain.columns]
+        assert sorted(map(repr, carried.select(exact).collect())) == sorted(map(repr, plain.select(exact).collect()))
+        assert set(carried.columns) == set(wide.columns) | made
+        for r in carried.collect():
+            assert all(r[h] == f"{h} {r.doc_id}" for h in set(HELPERS) - made)
