@@ -6,18 +6,30 @@ it that adds text with few links, such as a title or lead.  The root casts a vot
 path (tags with their classes, digits left out) at its host.  Spark counts the votes; the path with
 most of them wins at that host, and every page of the host is extracted again from the containers on
 that path, without the parts that are no article: menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and comments.  A page that has no text on its host's path is extracted from its
-own root, and so is one whose root is an article or main element, or stands around what is on the
-path, and holds over five times the text found there.
+forms, scripts, styles and comments.
+
+A host's path never hides a page's own article: where a page's own root lies elsewhere, the root is taken
+if it is an article or main element, else both are, in page order.  Only a root that the host knows for
+something else is left: one on a path that stands beside the article on more pages than hold theirs there.
+
+Elements whose name or role says that they are no article are dropped.  So are those with a class or id
+that says nothing else; one that merely contains such a word (``social-history``, ``related``) is dropped
+only when much of its text is links, and counts less when containers are scored.  Of a header inside an
+article the headings stay.
 
 Defined cases: a null or empty page has an empty text; pages with a null URL share the empty host;
-equal rows vote and are extracted one by one; an empty table gives an empty result.
+equal rows vote and are extracted one by one; an empty table gives an empty result; pages of any length
+and depth take time in proportion to their length; other columns pass through, whatever they are called,
+but one with the name of the result, which is replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -25,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import query, small_batches, table
+from .common import put_back, query, set_apart, small_batches, table
 from .urls import url_parts
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,7 +49,8 @@ _BLOCK = set(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption address hr br details summary center".split()
 ) | _DROP
-_PROSE = set("h1 h2 h3 h4 h5 h6 p".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+_PROSE = _HEADINGS | {"p"}
 _CONTAINER = set("body main article section div td blockquote center".split())
 #: Opening one of these closes an open element of the set, up to the nearest container or list.
 _CLOSES = {
@@ -45,14 +58,22 @@ _CLOSES = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 _SCOPE = _CONTAINER - {"td"} | set("ul ol dl table html".split()) | _DROP
-#: Class or id words of parts that are no article.
-_BOILER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|"
-    r"notices?|alert|popup|modal|newsletter|subscribe|subscription|signup|login|sidebar|side|aside|widget|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|header|masthead|topbar|footer|bottom|copyright|"
-    r"comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|toolbar|"
-    r"search|form|hidden|skip|legal|disclaimer)(?:$|[\s_-])",
-    re.I,
+#: Words of class and id names of parts that are no article.
+_BOILER = set(
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies gdpr notice "
+    "notices popup modal newsletter subscribe signup login sidebar aside widget nav navbar navigation menu breadcrumb "
+    "breadcrumbs pagination pager header masthead topbar footer comment comments commentlist disqus replies respond "
+    "toolbar hidden".split()
+)
+#: Words that such parts share with articles.
+_MAYBE = set(
+    "alert bottom consent copyright disclaimer form legal recommended related search share sharing side skip social "
+    "subscription".split()
+)
+#: Words that say nothing about what they are joined to.
+_NEUTRAL = set(
+    "area bar block box button buttons container content entry inline inner item items left links list main outer "
+    "page panel post posts right section site slot small text top unit wrap wrapper".split()
 )
 _ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TOKEN = re.compile(
@@ -69,6 +90,7 @@ _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 class Container:
     path: str
     parent: int
+    weak: bool = False
     score: float = 0.0
 
 
@@ -87,32 +109,97 @@ class Page:
 @dataclass
 class _Open:
     tag: str
-    container: int
-    dropped: bool
-    link: bool
-    path: str
+    container: int = 0
+    dropped: bool = False
+    link: bool = False
+    path: str = ""
+    prose: bool = False  # inside a heading or paragraph of its container
+    article: bool = False
+    lead: bool = False  # inside the header of an article, where only headings count
+    heading: bool = False
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(text)} if text else {}
 
 
-def _is_boiler(tag: str, attrs: dict[str, str]) -> bool:
+def _naming(name: str) -> str:
+    """What a class or id name says of its element: ``drop``, ``weak`` or nothing."""
+    parts = [p.rstrip("0123456789") for p in re.split(r"[-_]+", name.lower())]
+    parts = [p for p in parts if p]
+    if any(p in _BOILER for p in parts):
+        return "drop" if all(p in _BOILER or p in _MAYBE or p in _NEUTRAL for p in parts) else "weak"
+    return "weak" if any(p in _MAYBE for p in parts) else ""
+
+
+def _standing(tag: str, attrs: dict[str, str], article: bool) -> str:
+    """How an element stands to an article: ``drop``, ``lead`` (its header), ``weak`` or nothing."""
     if tag in _DROP:
-        return True
+        return "lead" if tag == "header" and article else "drop"
     if tag in ("html", "body", "article", "main") or not attrs:
-        return False
-    words = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+        return ""
     style = attrs.get("style", "").replace(" ", "").lower()
-    return bool(
-        _BOILER.search(words) or attrs.get("role", "").lower() in _ROLES or "hidden" in attrs or "display:none" in style
-    )
+    if attrs.get("role", "").lower() in _ROLES or "hidden" in attrs or "display:none" in style:
+        return "drop"
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    said = {_naming(name) for name in names} - {""}
+    return "drop" if "drop" in said else "weak" if said else ""
+
+
+#: Length above which the beginning of a path is replaced by its hash, so that deep pages stay small.
+PATH_LENGTH = 400
+
+
+def _path(above: str, tag: str, attrs: dict[str, str]) -> str:
+    names = ".".join(sorted({re.sub(r"\d+", "", c) for c in attrs.get("class", "").split()} - {""}))
+    if len(above) > PATH_LENGTH:
+        above = "#" + hashlib.blake2b(above.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+    return f"{above}/{tag}" + (f".{names}" if names else "")
+
+
+class _Stack:
+    """Open elements, with a count by tag so that what is not open is not looked for."""
+
+    def __init__(self):
+        self.open = [_Open("")]
+        self.count: Counter = Counter()
+
+    def push(self, element: _Open) -> None:
+        self.open.append(element)
+        self.count[element.tag] += 1
+
+    def cut(self, at: int) -> None:
+        for element in self.open[at:]:
+            self.count[element.tag] -= 1
+        del self.open[at:]
+
+    def close(self, tag: str) -> None:
+        """An end tag.  An inline one does not reach past the block it stands in."""
+        if not self.count[tag]:
+            return
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                self.cut(i)
+                return
+            if tag not in _BLOCK and self.open[i].tag in _BLOCK:
+                return
+
+    def close_before(self, tags: set[str]) -> None:
+        """What a start tag closes: the nearest of these elements, up to the next container or list."""
+        if not any(self.count[t] for t in tags):
+            return
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in tags:
+                self.cut(i)
+                return
+            if self.open[i].tag in _SCOPE:
+                return
 
 
 def parse_page(source: str | None) -> Page:
     """Containers and blocks of a page, tolerant of unclosed and stray tags."""
     page = Page()
-    stack = [_Open("", 0, False, False, "")]
+    stack = _Stack()
     pieces: list[str] = []
     linked = 0
 
@@ -121,16 +208,17 @@ def parse_page(source: str | None) -> Page:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                page.blocks.append((stack[-1].container, text, linked))
-                if any(s.tag in _PROSE for s in reversed(stack) if s.container == stack[-1].container):
-                    page.titled.add(stack[-1].container)
+                top = stack.open[-1]
+                page.blocks.append((top.container, text, linked))
+                if top.prose:
+                    page.titled.add(top.container)
             pieces.clear()
         linked = 0
 
     def add_text(raw: str) -> None:
         nonlocal linked
-        top = stack[-1]
-        if raw and not top.dropped:
+        top = stack.open[-1]
+        if raw and not top.dropped and (top.heading or not top.lead):
             text = entities.unescape(raw) if "&" in raw else raw
             pieces.append(text)
             if top.link:
@@ -144,41 +232,32 @@ def parse_page(source: str | None) -> Page:
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
-        if m["close"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if tag in _BLOCK:
-                flush()
-            if depth:
-                # An inline end tag does not reach past the block it stands in.
-                if tag not in _BLOCK and any(s.tag in _BLOCK for s in stack[depth + 1 :]):
-                    continue
-                del stack[depth:]
-            continue
         if tag in _BLOCK:
             flush()
+        if m["close"]:
+            stack.close(tag)
+            continue
         if tag in _VOID:
             continue
-        closes = _CLOSES.get(tag)
-        if tag in _BLOCK and closes is None:
-            closes = {"p"}
+        closes = _CLOSES.get(tag) or ({"p"} if tag in _BLOCK else None)
         if closes:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in closes:
-                    del stack[i:]
-                    break
-                if stack[i].tag in _SCOPE:
-                    break
-        top = stack[-1]
+            stack.close_before(closes)
+        top = stack.open[-1]
         attrs = _attributes(m["attrs"])
-        dropped = top.dropped or _is_boiler(tag, attrs)
-        path, container = top.path, top.container
-        if tag in _CONTAINER:
-            names = ".".join(sorted({re.sub(r"\d+", "", c) for c in attrs.get("class", "").split()} - {""}))
-            path = f"{path}/{tag}" + (f".{names}" if names else "")
+        standing = _standing(tag, attrs, top.article)
+        dropped = top.dropped or standing == "drop"
+        path, container, prose = top.path, top.container, top.prose
+        if tag in _CONTAINER or standing == "weak":
+            path = _path(path, tag, attrs)
             if not dropped:
-                page.containers.append(Container(path, container))
-                container = len(page.containers) - 1
-        stack.append(_Open(tag, container, dropped, top.link or tag == "a", path))
+                page.containers.append(Container(path, container, standing == "weak"))
+                container, prose = len(page.containers) - 1, False
+        stack.push(
+            _Open(
+                tag, container, dropped, top.link or tag == "a", path, prose or tag in _PROSE,
+                top.article or tag in ("article", "main"), top.lead or standing == "lead", top.heading or tag in _HEADINGS,
+            )
+        )
     add_text(source[at:])
     flush()
     return page
@@ -188,10 +267,17 @@ def parse_page(source: str | None) -> Page:
 INHERIT = 0.8
 
 
+#: What the text of an element counts whose class merely contains a word of parts that are no article.
+WEAK = 0.25
+
+
 def best_container(page: Page) -> int:
     """The container with the highest score: own text counts whole, text deeper inside counts less."""
+    weak = [False] * len(page.containers)
+    for i, c in enumerate(page.containers):
+        weak[i] = c.weak or (c.parent >= 0 and weak[c.parent])
     for number, text, link in page.blocks:
-        page.containers[number].score += max(0, len(text) - 2 * link)
+        page.containers[number].score += max(0, len(text) - 2 * link) * (WEAK if weak[number] else 1)
     for c in reversed(page.containers):
         if c.parent >= 0:
             page.containers[c.parent].score += INHERIT * c.score
@@ -206,6 +292,25 @@ def _tag(container: Container) -> str:
 LINK_SHARE = 0.25
 
 
+def _sums(page: Page) -> tuple[list[int], list[int], list[bool]]:
+    """Text and link characters inside every container, and which containers are links for the most part.
+
+    One pass from the last container to the first, as a container stands before those inside it.  What is
+    mostly links and may be no article is left out of the containers around it.
+    """
+    texts, links, gone = [0] * len(page.containers), [0] * len(page.containers), [False] * len(page.containers)
+    for number, text, link in page.blocks:
+        texts[number] += len(text)
+        links[number] += link
+    for i in range(len(page.containers) - 1, 0, -1):
+        c = page.containers[i]
+        gone[i] = c.weak and links[i] > LINK_SHARE * texts[i]
+        if c.parent >= 0 and not gone[i]:
+            texts[c.parent] += texts[i]
+            links[c.parent] += links[i]
+    return texts, links, gone
+
+
 def content_root(page: Page) -> int:
     """The element that holds the whole article around the best container.
 
@@ -213,6 +318,7 @@ def content_root(page: Page) -> int:
     around an article or main element.
     """
     containers = page.containers
+    texts, links, _ = _sums(page)
     best = at = best_container(page)
     while at >= 0 and _tag(containers[at]) not in ("article", "main"):
         at = containers[at].parent
@@ -221,67 +327,81 @@ def content_root(page: Page) -> int:
         at = containers[at].parent
         if _tag(containers[at]) in ("", "body") and (at not in page.titled or _tag(containers[root]) in ("article", "main")):
             break
-        held, around = _inside(page, {root}), _inside(page, {at})
-        added = [(len(text), link) for number, text, link in page.blocks if around[number] and not held[number]]
-        if sum(link for _, link in added) > LINK_SHARE * sum(n for n, _ in added):
+        added, linked = texts[at] - texts[root], links[at] - links[root]
+        if linked > LINK_SHARE * added:
             break
         if added:
             root = at
     return root
 
 
-def _inside(page: Page, wanted: set[int]) -> list[bool]:
+def text_of(page: Page, wanted: set[int]) -> str:
+    """Blocks inside the wanted containers, in page order, less parts that are mostly links."""
+    _, _, gone = _sums(page)
     inside = [False] * len(page.containers)
     for i, c in enumerate(page.containers):
-        inside[i] = i in wanted or (c.parent >= 0 and inside[c.parent])
-    return inside
-
-
-def text_of(page: Page, wanted: set[int]) -> str:
-    """Blocks inside the wanted containers, in page order."""
-    inside = _inside(page, wanted)
+        inside[i] = i in wanted or (c.parent >= 0 and inside[c.parent] and not gone[i])
     return "\n".join(text for number, text, _ in page.blocks if inside[number])
 
 
-#: The share of the root's text below which what is on the host's path is not the page's article.
-LEAST_SHARE = 0.2
+def extract(source: str | None, winner: str | None, beside: Collection[str] = ()) -> str:
+    """The text on the host's path, or of the page's own root where this lies elsewhere, or of both.
 
-
-def extract(source: str | None, winner: str | None) -> str:
+    ``beside`` are paths that stand beside the articles of the host.
+    """
+    page = parse_page(source)
+    wanted = {i for i, c in enumerate(page.containers) if c.path == winner}
+    if not text_of(page, wanted):
+        wanted = set()
+    root = at = content_root(page)
+    while at >= 0 and at not in wanted:
+        at = page.containers[at].parent
+    own = page.containers[root]
+    if at < 0 and not (wanted and own.path in beside):
+        wanted = {root} if _tag(own) in ("article", "main") else wanted | {root}
+    return text_of(page, wanted)
+
+
+def votes_of(source: str | None) -> list[tuple[str, bool, float]]:
+    """Paths of a page with text on them: (path, whether it is the root's, score); those around it are no vote."""
     page = parse_page(source)
-    on_path = {i for i, c in enumerate(page.containers) if c.path == winner}
-    text = text_of(page, on_path) if on_path else ""
     root = content_root(page)
-    if not text:
-        return text_of(page, {root})
-    if root not in on_path:
-        inside = _inside(page, {root})
-        if _tag(page.containers[root]) in ("article", "main") or any(inside[i] for i in on_path):
-            own = text_of(page, {root})
-            if len(text) < LEAST_SHARE * len(own):
-                return own
-    return text
+    texts, _, gone = _sums(page)
+    around, at = set(), page.containers[root].parent
+    while at >= 0:
+        around.add(at)
+        at = page.containers[at].parent
+    own = page.containers[root]
+    inside = [False] * len(page.containers)
+    others = set()
+    for i, c in enumerate(page.containers):
+        inside[i] = i == root or (c.parent >= 0 and inside[c.parent])
+        if texts[i] and not inside[i] and i not in around:
+            others.add(c.path)
+    found = [(own.path, True, own.score)] if own.score > 0 else []
+    return found + [(path, False, 0.0) for path in sorted(others - {own.path})]
 
 
 def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """The winning path of each host: most votes, then the higher score, then the last in order."""
+    """The winning path of each host: most votes, then the higher score, then the last in order.
+
+    ``beside`` lists paths that were some page's root, but stand beside the root on more pages.
+    """
 
-    @F.pandas_udf("path string, score double")
-    def vote(sources: pd.Series) -> pd.DataFrame:
-        out = []
-        for source in sources:
-            page = parse_page(source)
-            root = page.containers[content_root(page)]
-            out.append((root.path, root.score))
-        return pd.DataFrame(out, columns=["path", "score"])
+    @F.pandas_udf("array<struct<path:string,root:boolean,score:double>>")
+    def vote(sources: pd.Series) -> pd.Series:
+        kinds = ("path", "root", "score")
+        return pd.Series([[dict(zip(kinds, v)) for v in votes_of(source)] for source in sources], dtype=object)
 
     host, _ = url_parts(F.col(url))
-    ballots = pages.select(host.alias("host"), vote(html).alias("v")).filter("v.score > 0")
+    ballots = pages.select(host.alias("host"), F.explode(vote(html)).alias("v"))
     counted = ballots.groupBy("host", F.col("v.path").alias("path")).agg(
-        F.count("*").alias("votes"), F.sum("v.score").alias("score")
+        F.count_if("v.root").alias("votes"), F.count_if(~F.col("v.root")).alias("others"), F.sum("v.score").alias("score")
     )
+    voted = counted.filter("votes > 0")
     rank = F.struct(F.col("votes"), F.round("score", 3).alias("score"), F.col("path").alias("tie"))
-    return counted.groupBy("host").agg(F.max_by("path", rank).alias("winner"))
+    lost = F.collect_list(F.when(F.col("others") > F.col("votes"), F.col("path")))
+    return voted.groupBy("host").agg(F.max_by("path", rank).alias("winner"), lost.alias("beside"))
 
 
 #: Parts each host is dealt to when pages and winners are joined by a shuffle.
@@ -296,16 +416,20 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html", into:
     """
 
     @F.pandas_udf("string")
-    def read(sources: pd.Series, winners: pd.Series) -> pd.Series:
-        return pd.Series([extract(s, w) for s, w in zip(sources, winners)], dtype=object)
+    def read(sources: pd.Series, winners: pd.Series, beside: pd.Series) -> pd.Series:
+        found = [extract(s, w, set() if b is None else set(b)) for s, w, b in zip(sources, winners, beside)]
+        return pd.Series(found, dtype=object)
 
     small_batches(pages.sparkSession)
     winners = stage(host_paths(pages, url, html), "host-paths")
     host, _ = url_parts(F.col(url))
     salted = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("host", "_host")
-    rows = pages.withColumn("_host", host).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    joined = rows.join(salted.withColumnRenamed("winner", "_winner"), ["_host", "_salt"], "left")
-    return joined.withColumn(into, read(html, "_winner")).drop("_host", "_salt", "_winner")
+    columns = list(dict.fromkeys([url, html]))
+    rows = set_apart(pages, *columns)
+    rows = rows.withColumn("_host", host).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    named = salted.withColumnsRenamed({"winner": "_winner", "beside": "_beside"})
+    joined = rows.join(named, ["_host", "_salt"], "left")
+    return put_back(joined, pages.columns, *columns, keep={into: read(html, "_winner", "_beside")})
 
 
 @query("op9_html_extraction")

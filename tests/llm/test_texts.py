@@ -256,6 +256,90 @@ def test_teaser_on_the_path_of_the_host():
     assert html.extract(source, "/body/div.story").startswith("Title\n")
 
 
+def test_own_articles_are_not_hidden_by_the_path_of_the_host(spark):
+    teaser = "<div class=story><p>" + "teaser text " * 25 + "</div>"
+    own = f"<article><h1>Own</h1>{PROSE * 3}</article>"
+    pages = [(i, f"http://h.org/{i}", f"<body><div class=story>{PROSE}<p>number {i}</div>") for i in range(5)]
+    pages += [(5, "http://h.org/5", f"<body>{teaser}{own}"), (6, "http://h.org/6", f"<body>{teaser}<div class=essay><h1>Own</h1>{PROSE * 3}</div>")]
+    df = spark.createDataFrame(pages + pages, "page_id long, url string, html string")
+    got = {}
+    for r in html.extract_pages(df).collect():
+        assert got.setdefault(r.page_id, r.text) == r.text
+    text = "some plain words of a story " * 20
+    assert got[5] == "\n".join(["Own"] + [text.strip()] * 3)
+    assert got[6] == "\n".join([("teaser text " * 25).strip(), "Own"] + [text.strip()] * 3)
+    assert got[3] == f"{text.strip()}\nnumber 3"
+
+
+@pytest.mark.parametrize(
+    "part, stays",
+    [
+        ("<div class=social-history><p>Kept words</div>", True),
+        ("<section class='related work'><h2>Kept words</h2></section>", True),
+        ("<ul class=related><li><a href=/>Gone</a><li><a href=/>Gone too</a></ul>", False),
+        ("<div class='share'><a href=/>Gone</a></div>", False),
+        ("<div class=cookie-recipe><p>Kept words</div>", True),
+        ("<div class=cookie-notice>Gone</div>", False),
+        ("<div class='ad2 wide'>Gone</div>", False),
+        ("<div id=comments><p>Gone</div>", False),
+        ("<div class=menu-history><p>Kept words, <a href=/>one</a> linked among many plain ones</div>", True),
+        ("<p class=legal>Kept words</p>", True),
+        ("<aside>Gone</aside>", False), ("<footer>Gone</footer>", False), ("<div role=search>Gone</div>", False),
+        ("<header><h2>Kept words</h2><p>Gone</p></header>", None),
+    ],
+)
+def test_parts_of_an_article(part, stays):
+    got = html.extract(f"<body><header><h1>Site</h1></header><article><h1>Title</h1>{PROSE * 3}{part}<p>End</article>", None)
+    assert got.startswith("Title\n") and got.endswith("\nEnd") and "Site" not in got
+    assert ("Kept words" in got) == (stays is not False)
+    assert "Gone" not in got
+
+
+def test_generated_pages_give_their_own_blocks():
+    """Pages built from parts of known standing; the expected text is what the article parts hold."""
+    rng = random.Random(12)
+    words = lambda n: " ".join(rng.choice(["plain", "words", "&amp;", "r&eacute;al", "<i>small</i>", "1 &lt; 2"]) for _ in range(n))
+    shown = lambda t: " ".join(re.sub("<.*?>", "", t).replace("&amp;", "&").replace("&eacute;", "é").replace("&lt;", "<").split())
+    for _ in range(60):
+        blocks, parts = [], []
+        for _ in range(rng.randint(3, 8)):
+            t = words(rng.randint(5, 60))
+            blocks.append(shown(t))
+            wrap = rng.choice(["<p>{}</p>", "<p>{}", "<div class=x{}>%s</div>", "<ul><li>{}</ul>", "<blockquote><p>{}</p></blockquote>", "<section><h2>{}</h2></section>"])
+            parts.append(wrap % t if "%s" in wrap else wrap.format(t))
+            if rng.random() < 0.4:
+                parts.append(rng.choice(["<script>x</script>", "<!-- c -->", "<div class=ad>buy</div>", "<form>f</form>", "<style>p{}</style>", "<nav>n</nav>"]))
+        page = f"<body><nav>m</nav><div class=top-menu>x</div><article>{''.join(parts)}</article><div class=comments>{words(40)}</div><footer>f</footer>"
+        assert html.extract(page, None) == "\n".join(blocks)
+
+
+def test_deep_and_hostile_pages_take_linear_time():
+    import time
+
+    def seconds(page):
+        start = time.perf_counter()
+        html.votes_of(page), html.extract(page, "/body/div")
+        return time.perf_counter() - start
+
+    n = 20_000
+    for page in (
+        "<div>" * n + "<p>deep text" + "</div>" * n, "<div class=a><p>x" * n, "<b>" * n + "<p>x</b></i>" * n, "<b>" * n + "<h1>x</h1>" * n,
+        "<div>" + "<ul class=related><li>x" * n, "<p>" + "</div>" * n, "<a href=x>" * n + "text " * n,
+    ):
+        assert seconds(page) < 8
+    assert html.extract("<article>" + "<div>" * 50_000 + "deep text", None) == "deep text"
+    assert html.extract("<article><p>" + "long text " * 500_000, None) == ("long text " * 500_000).strip()
+
+
+def test_pages_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame(
+        [(1, f"http://h.org/{i}", f"<article><p>text {i}</article>", "a", "b", "c", "d") for i in range(3)],
+        "page_id long, url string, html string, _host string, _salt string, winner string, text string",
+    )
+    got = html.extract_pages(df).collect()
+    assert sorted((r.page_id, r._host, r._salt, r.winner, r.text) for r in got) == [(1, "a", "b", "c", f"text {i}") for i in range(3)]
+
+
 # --- packing ---------------------------------------------------------------------------------------
 
 
