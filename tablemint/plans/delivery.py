@@ -356,7 +356,7 @@ def read_witness_a(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return split_slate_columns(rows).drop("_slate")
 
 
-def read_witness_b(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+def read_witness_b(spark: SparkSession, path: str | list[str], multiline: bool | None = None) -> DataFrame:
     """Take rows of the camera-log CSV; ``_malformed`` marks rows that do not parse."""
     rows = csv_rows(spark, path, multiline=multiline)
     absent = lambda name: F.col(f"`{name}`") if name in rows.columns else F.lit(None).cast("string")
