@@ -291,11 +291,11 @@ def mapping_override(t: Tables) -> DataFrame:
     """select o_orderstatus as key, count(*) as n from orders where o_orderkey % 2 = 0 and o_orderstatus <> 'P' group by 1""",
 )
 def skip_empty_key(t: Tables) -> DataFrame:
-    from ..plans.build import keyed_rows
+    from ..plans.build import KEY, keyed_rows
 
     key = F.when(F.col("o_orderkey") % 2 == 0, F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus")))
     rows = keyed_rows(Mapping("Order", "orders", "k", skip_empty_key=True), t.orders.withColumn("k", key))
-    return rows.groupBy("key").agg(F.count("*").alias("n"))
+    return rows.groupBy(F.col(KEY).alias("key")).agg(F.count("*").alias("n"))
 
 
 @query(
