@@ -36,7 +36,7 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def _headers(lines: DataFrame) -> DataFrame:
     """``(file, at, header, odd)``: a file's first line that is not blank, and whether any line has an odd
     number of quotes, as one has that ends inside a quoted cell."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     first = F.min(F.when((F.col("block") == 0) & (F.trim("value") != ""), F.struct("at", "value")))
     found = lines.groupBy("file").agg(first.alias("first"), F.bool_or(quotes % 2 == 1).alias("odd"))
     return found.filter("first is not null").select("file", "first.at", F.col("first.value").alias("header"), "odd")
@@ -61,15 +61,15 @@ def csv_rows(
     lines = _lines(spark, path)
     heads = stage(_headers(lines), "csv-headers")
     # One row per layout; the files that have it stay in Spark.
-    layouts = [tuple(r) for r in heads.groupBy("header").agg(F.bool_or("odd")).orderBy("header").collect()]
+    layouts = [tuple(r) for r in heads.groupBy("header").agg(F.bool_or("odd"), F.count("*")).orderBy("header").collect()]
     if multiline is None:
-        multiline = any(odd for _, odd in layouts)
+        multiline = any(odd for _, odd, _ in layouts)
     if multiline:
-        return _multiline_rows(spark, path, columns, heads, [header for header, _ in layouts])
+        return _multiline_rows(spark, path, columns, heads, [header for header, _, _ in layouts])
     if not layouts:
         return _parsed_lines(lines.filter("false"), columns or [])
     marked = heads.select(F.col("file").alias("_file"), F.col("at").alias("_at"))
-    if heads.count() <= BROADCAST_HEADERS:
+    if sum(n for _, _, n in layouts) <= BROADCAST_HEADERS:
         marked = F.broadcast(marked)
     rows = lines.filter(F.trim("value") != "")
     rows = rows.join(marked, (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_at")), "left")
@@ -79,7 +79,7 @@ def csv_rows(
         return _parsed_lines(rows, columns or _names(layouts[0][0]))
     by_file = heads.select(F.col("file").alias("_file"), F.col("header").alias("_header"))
     named = rows.join(by_file, F.col("file") == F.col("_file"))
-    parts = [_parsed_lines(named.filter(F.col("_header") == header), _names(header)) for header, _ in layouts]
+    parts = [_parsed_lines(named.filter(F.col("_header") == header), _names(header)) for header, _, _ in layouts]
     return _together(parts)
 
 
@@ -98,10 +98,12 @@ def _parsed_lines(lines: DataFrame, names: list[str]) -> DataFrame:
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     cells = F.from_csv("value", F.lit(_schema(names).toDDL()), options)
     # Less escaped quotes and quoted cells, a quote that begins a cell has no end, and commas count cells.
-    bare = F.regexp_replace(F.replace("value", F.lit('""'), F.lit("")), '(^|,)"[^"]*"(?=,|$)', "$1")
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    wrong = bare.rlike('(^|,)"') | (commas + 1 != len(names))
-    return lines.withColumn("_cells", cells).select(
+    quoted = F.regexp_replace(F.replace("value", F.lit('""'), F.lit("")), '(^|,)"[^"]*"(?=,|$)', "$1")
+    bare = F.when(F.contains("value", F.lit('"')), quoted).otherwise(F.col("value"))
+    commas = F.octet_length("_bare") - F.octet_length(F.replace("_bare", F.lit(","), F.lit("")))
+    wrong = (commas + 1 != len(names)) | (F.contains("_bare", F.lit('"')) & F.col("_bare").rlike('(^|,)"'))
+    # Both are columns first, as they are used more than once.
+    return lines.withColumns({"_cells": cells, "_bare": bare}).select(
         *[clean_text(F.col("_cells")[c]).alias(c) for c in names],
         F.when(wrong, F.col("value")).alias(CORRUPT),
         F.col("file").alias("file_path"),
