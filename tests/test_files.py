@@ -21,6 +21,8 @@ from tablemint.sinks.tables import publish, written_tables
 from tablemint.sources.csv import csv_rows, malformed_rows
 from tablemint.sources.files import empty_directories, file_manifest, file_signatures, opening_signature, wrong_documents
 from tablemint.sources.pages import json_bundle, page_items, read_pages
+from tablemint.sources.xml import text_schema, xml_rows
+from tablemint.workload import deliveries
 
 
 def put(path, text):
@@ -91,6 +93,17 @@ def test_takes_of_a_document(delivery, rows):
     assert rows(delivery.header, "uuid", "productionName", "schemaVersion") == [("u-1", "Show", "2")]
 
 
+def test_deliveries_are_written_compressed_in_bounded_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(deliveries, "DOCUMENT_ROWS", 200)
+    names = [f"column_with_a_long_name_{i}" for i in range(20)]
+    df = spark.range(1000).repartition(1).select(*[F.col("id").cast("string").alias(n) for n in names])
+    out = deliveries._write_xml(df, str(tmp_path / "out"), "rows", "row")
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*")]
+    assert len(sizes) == 5 and sum(sizes) < 1000 * sum(map(len, names)) / 4
+    read = xml_rows(spark, out, "row", text_schema(names))
+    assert read.count() == 1000 and read.select(names[0]).distinct().count() == 1000
+
+
 def test_scenes_do_not_mix_with_the_scene_tags_of_takes(delivery, rows):
     assert rows(delivery.scenes, "narrativeScene", "heading", "slug", "shootDayCredited", "eighthsCredited") == sorted([
         ("3", "INT. ROOM", None, "1", "4/8"), ("13", "EXT.", None, None, None), ("15", None, None, None, None),
