@@ -3,7 +3,7 @@
 A rule has a number, a basis, a value and an outcome; the smallest number that applies wins.  A table
 of few rules is read and compiled to the CASE form, which shuffles nothing.  A larger one is joined by
 index: equality bases on the value itself, prefixes on the lengths that occur among the rules, and only
-patterns, which no index serves, row against row in blocks of bounded size.  Both give the same rows.
+patterns, which no index serves, every different one against every different text.  Both give the same rows.
 
 ``rules(rule_no, basis, value, document_type, description, structure, expected_per_day)``.
 """
@@ -19,7 +19,7 @@ from .rules import SignatureRule, assign_role, classify, first_rule
 
 #: Rules that are compiled; a longer table is joined.
 COMPILED = 500
-#: Patterns that a block holds, and so what a task holds of them.
+#: Different patterns of a block on average, and so what a task holds of them at once.
 PATTERN_BLOCK = 2_000
 
 BASES = ("heading", "xml_root", "header_prefix", "text_pattern")
@@ -64,7 +64,7 @@ def classify_joined(signatures: DataFrame, rules: DataFrame, keys: list[str], bl
     headings = signatures.select(*own, F.explode(F.array_distinct("headings")).alias("value")).join(indexed("heading"), "value")
     prefixes = matching_prefixes(signatures, "first_line", keys, indexed("header_prefix"))
     found = [df.select(*own, "_rule") for df in (roots, headings, prefixes)]
-    found += _pattern_matches(signatures, rules.filter("basis = 'text_pattern'"), keys, block)
+    found.append(_pattern_matches(signatures, rules.filter("basis = 'text_pattern'"), keys, block).select(*own, "_rule"))
     first = reduce(DataFrame.union, found).groupBy(*own).agg(F.min("_rule").alias("_rule"))
     outcome = rules.groupBy(F.col("rule_no").alias("_rule")).agg(*[F.min(c).alias(c) for c in OUTCOME])
     marked = first.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)], "_rule")
@@ -91,19 +91,21 @@ def matching_prefixes(df: DataFrame, column: str, keys: list[str], prefixes: Dat
     return cut.withColumn("value", F.left("_text", "_size")).join(prefixes, "value").drop("_text", "_size")
 
 
-def _pattern_matches(signatures: DataFrame, patterns: DataFrame, keys: list[str], block: int) -> list[DataFrame]:
-    """Matches of patterns, block by block; each block is compiled into the plan, so no pattern is shuffled."""
-    found = []
-    last = None
-    while True:
-        rest = patterns if last is None else patterns.filter(F.col("rule_no") > last)
-        rows = rest.select("rule_no", "value").orderBy("rule_no").limit(block).collect()
-        if not rows:
-            return found
-        last = rows[-1]["rule_no"]
-        first = first_rule((F.col("head").rlike(r["value"]), F.lit(r["rule_no"])) for r in rows)
-        matched = signatures.select(*[F.col(f"`{k}`") for k in keys], first.alias("_rule"))
-        found.append(matched.filter("_rule is not null"))
+def _pattern_matches(signatures: DataFrame, patterns: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """``(keys, _rule)`` of the first pattern that the head matches.
+
+    Every different head meets every different pattern, in blocks that a hash fills.  All of it stays in
+    Spark, so neither the plan nor the driver grows with the patterns.
+    """
+    one = patterns.filter("value is not null").groupBy("value").agg(F.min("rule_no").alias("_rule"))
+    group = F.pmod(F.xxhash64("value"), F.ceil(one.agg(F.count("*")).scalar() / block))
+    blocks = one.groupBy(group.alias("_group")).agg(F.array_sort(F.collect_list(F.struct("_rule", "value"))).alias("_patterns"))
+    heads = signatures.filter("head is not null").select("head").distinct()
+    met = heads.crossJoin(blocks.select("_patterns"))
+    hit = F.filter("_patterns", lambda p: F.rlike("head", p["value"]))
+    first = met.select("head", F.get(hit, F.lit(0))["_rule"].alias("_rule")).filter("_rule is not null")
+    best = first.groupBy(F.col("head").alias("_head")).agg(F.min("_rule").alias("_rule"))
+    return signatures.join(best, F.col("head") == F.col("_head")).select(*[F.col(f"`{k}`") for k in keys], "_rule")
 
 
 def expected_from(classified: DataFrame, rules: DataFrame, day: str) -> DataFrame:

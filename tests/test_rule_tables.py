@@ -58,6 +58,16 @@ def test_compiled_rules_shuffle_nothing_and_hot_values_do_not_multiply(spark):
     assert joined.count() == 50 and {r["document_type"] for r in joined.collect()} == {"t0"}
 
 
+def test_patterns_stay_in_spark_and_no_plan_grows_with_them(spark, rows):
+    signatures = signatures_of(spark, random.Random(2), 30)
+    table = [(1, "zzz9"), (1, "^ab"), (7, "^ab"), (9, None)] + [(10 + i, f"never{i}") for i in range(40)]
+    rules = spark.createDataFrame([(n, "text_pattern", v, f"t{n}", None, "s", None) for n, v in table], RULES)
+    joined = classify_joined(signatures, rules, ["id"], block=1)
+    assert "never" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted((r["id"], "t1" if r["head"].startswith("ab") else "unknown") for r in signatures.collect())
+    assert sorted(rows(joined, "id", "document_type")) == want and {d for _, d in want} == {"t1", "unknown"}
+
+
 def test_rules_without_a_known_basis(spark, rows):
     rules = spark.createDataFrame([(1, "header", "x", "t", None, None, None), (2, None, "x", "t", None, None, None), (3, "heading", "x", "t", None, None, None)], RULES)
     assert rows(unknown_bases(rules), "rule_no") == [(1,), (2,)]
