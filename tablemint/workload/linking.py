@@ -316,7 +316,7 @@ def idempotent(t: Tables) -> DataFrame:
     mapping = [Mapping("Order", "orders", "o_orderkey", properties={"status": "o_orderstatus", "day": Source("o_orderpriority")})]
     build = lambda df: build_entities({"orders": df}, mapping, NAMESPACE).entities["Order"]
     first = build(t.orders)
-    second = build(t.orders.repartition(5, "o_custkey"))
+    second = build(t.orders.repartition("o_custkey"))
     changed = run_difference(first, second).agg(F.count("*").alias("changed"))
     return first.agg(F.count("*").alias("entities")).select("entities", changed.scalar().alias("changed"))
 

@@ -1,11 +1,14 @@
 """Mappings: grains, withholding, folding, edges and plan-time checks."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tablemint.operators.order import with_order
 from tablemint.plans.build import build_entities
 from tablemint.plans.mapping import Edge, FromTable, Lookup, Mapping, MappingError, Rest, Source, Text, mappings_for
+from tablemint.workload import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -222,3 +225,12 @@ def test_agreement_of_plain_types_is_a_hash_aggregate(spark, rows):
     assert {r.key: dict(r.value) for r in custom.collect()} == {"a": {"i": "1", "b": "true"}, "b": {"i": "2", "d": "NaN", "n": "5"}}
     plan = custom._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rows_in_another_order_are_not_brought_into_a_fixed_number_of_tasks(spark, tmp_path):
+    orders = spark.range(100).selectExpr("id as o_orderkey", "id % 7 as o_custkey", "'O' as o_orderstatus", "'1' as o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["idempotent"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and not re.search(r"RepartitionByExpression \[o_custkey#\d+L?\], \d", plan)
+    assert [tuple(r) for r in found.collect()] == [(100, 0)]
