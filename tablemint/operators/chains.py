@@ -2,9 +2,10 @@
 
 A page answers a cursor (null for the first page of an endpoint) and names the next one, or none.  Which
 pages a reader would have met, and in which order, is a walk of one step a page; here it takes one round
-of joins per doubling of the distance, over all endpoints at once.  Rounds are written to the shared
-folder, so a lost executor costs one round.  Every join is on one page's own cursor, so an endpoint with
-most of the pages is spread like any other.
+of joins per doubling of the distance, over all endpoints at once.  Long chains are first shortened, by
+rounds that each leave three quarters of the steps, so all rounds together move a fixed multiple of the
+pages.  Rounds are written to the shared folder, so a lost executor costs one round.  Every join is on one
+page's own cursor, so an endpoint with most of the pages is spread like any other.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from ..session import stage
 #: The id of a first page; other ids begin with a sign of their own, so no cursor equals it.
 _FIRST = ""
 
+#: Steps that are followed by doubling; more are shortened first.
+DOUBLED_STEPS = 200_000
+
 
 def _page_id(cursor: str):
     return F.coalesce(F.concat(F.lit("="), F.col(cursor)), F.lit(_FIRST))
@@ -46,22 +50,64 @@ def chain_positions(pages: DataFrame) -> DataFrame:
 
 def _positions(answers: DataFrame) -> DataFrame:
     landed = answers.select("endpoint", F.col("id").alias("to"))
-    jumps = stage(answers.select("endpoint", "id", "to").join(landed, ["endpoint", "to"]), "page-jumps")
+    steps = answers.select("endpoint", "id", "to").join(landed, ["endpoint", "to"])
+    steps = stage(steps.select("endpoint", "id", "to", F.lit(1).cast("long").alias("length")), "page-steps")
+    count, bypassed = steps.count(), []
+    while count > DOUBLED_STEPS:
+        steps, passed = _shortened(steps, len(bypassed))
+        bypassed.append(passed)
+        # Steps of one page onto itself are never passed by, so a round may find nothing more.
+        before, count = count, steps.count()
+        if count > before * 0.95:
+            break
+    met = _doubled(answers, steps)
+    for passed in reversed(bypassed):
+        behind = passed.join(met, ["endpoint", "id"]).groupBy("endpoint", F.col("to").alias("id")).agg(F.min(F.col("position") + F.col("length")))
+        met = stage(met.union(behind), "met-pages")
+    return met
+
+
+def _shortened(steps: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+    """Steps past about a quarter of the pages, and the steps that led to those pages.
+
+    A page is passed by when it draws 0 and the page it leads to draws 1, so no two pages in a row are, and
+    the step that leads to one continues to the next page.  First pages draw 1, as no step leads to them.
+    """
+    draw = lambda page: F.when(F.col(page) == _FIRST, 1).otherwise(F.pmod(F.xxhash64("endpoint", page, F.lit(number)), F.lit(2)))
+    drawn = steps.withColumn("_own", draw("id")).withColumn("_next", draw("to"))
+    between = (F.col("_own") == 0) & (F.col("_next") == 1)
+    kept = drawn.filter(~between)
+    passed = drawn.filter(between).select("endpoint", F.col("id").alias("to"), F.col("to").alias("onward"), F.col("length").alias("_further"))
+    # Only a step whose target drew 0 may lead to a page that is passed by.
+    led = stage(kept.filter("_next = 0").select("endpoint", "id", "to", "length").join(passed, ["endpoint", "to"], "left"), "led-steps")
+    column = lambda further, plain: F.when(F.col("onward").isNotNull(), further).otherwise(plain)
+    longer = led.select(
+        "endpoint", "id", column(F.col("onward"), F.col("to")).alias("to"),
+        column(F.col("length") + F.col("_further"), F.col("length")).alias("length"),
+    )
+    rest = kept.filter("_next = 1").select("endpoint", "id", "to", "length")
+    return stage(rest.union(longer), "page-steps"), led.filter("onward is not null").select("endpoint", "id", "to", "length")
+
+
+def _doubled(answers: DataFrame, jumps: DataFrame) -> DataFrame:
     met = stage(
         answers.filter(F.col("id") == _FIRST).select("endpoint", "id", F.lit(0).cast("long").alias("position")), "met-pages"
     )
-    known, step = met.count(), 1
+    known = met.count()
     while True:
-        # Everything within ``step`` of the start is known; a jump of ``step`` from there doubles that.
-        ahead = met.join(jumps, ["endpoint", "id"]).select("endpoint", F.col("to").alias("id"), F.col("position") + step)
+        # Everything within some number of steps of the start is known; a jump of as many doubles that.
+        ahead = met.join(jumps, ["endpoint", "id"]).select("endpoint", F.col("to").alias("id"), F.col("position") + F.col("length"))
         met = stage(met.union(ahead).groupBy("endpoint", "id").agg(F.min("position").alias("position")), "met-pages")
         found = met.count()
         if found == known:
             return met
-        known, step = found, 2 * step
-        onward = jumps.select("endpoint", F.col("id").alias("to"), F.col("to").alias("onward"))
+        known = found
+        onward = jumps.select("endpoint", F.col("id").alias("to"), F.col("to").alias("onward"), F.col("length").alias("_further"))
         jumps = stage(
-            jumps.join(onward, ["endpoint", "to"]).select("endpoint", "id", F.col("onward").alias("to")), "page-jumps"
+            jumps.join(onward, ["endpoint", "to"]).select(
+                "endpoint", "id", F.col("onward").alias("to"), (F.col("length") + F.col("_further")).alias("length")
+            ),
+            "page-jumps",
         )
 
 

@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablemint.operators import fingerprints
+from tablemint.operators import chains as chains_module
 from tablemint.operators.chains import chain_positions, chain_problems, in_chain_order
 from tablemint.operators.eav import field_inventory, frequent_names, inventory_sketches, merged_inventory, open_columns
 from tablemint.operators.fingerprints import added, differing_buckets, fingerprint, level_differences, row_bucket
 from tablemint.operators.nested import PathRule, canonical_text, path_steps, validate_records
 from tablemint.operators.order import ORDER, dense_order, first_match, last_wins
 from tablemint.operators.reconcile import golden_diff, run_difference
+from tablemint.session import stage
 from tablemint.sources.csv import csv_rows
 
 # --- canonical form -------------------------------------------------------------------
@@ -250,6 +252,27 @@ def test_chains_match_a_walk(spark):
         assert r["chain_position"] == positions.get((r["endpoint"], r["cursor"]))
 
 
+def test_long_chains_are_shortened_before_they_are_doubled(spark, monkeypatch):
+    monkeypatch.setattr(chains_module, "DOUBLED_STEPS", 1000)
+    staged = []
+
+    def counted(df, name):
+        held = stage(df, name)
+        staged.append((name, held.count()))
+        return held
+
+    monkeypatch.setattr(chains_module, "stage", counted)
+    pages = chains(random.Random(11))
+    df = spark.createDataFrame(pages, "endpoint string, cursor string, next string, rows long, has_more boolean")
+    positions, _ = walked(pages)
+    got = {(r["endpoint"], r["id"][1:] if r["id"] else None): r["position"] for r in chain_positions(df).collect()}
+    assert got == positions
+    # Every round leaves fewer steps, and only few are doubled; doubling alone held all of them in every round.
+    steps, jumps = ([n for name, n in staged if name == wanted] for wanted in ("page-steps", "page-jumps"))
+    assert len(steps) > 2 and all(b < 0.9 * a for a, b in itertools.pairwise(steps))
+    assert steps[-1] <= 1000 < steps[0] and all(n <= steps[-1] for n in jumps)
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "endpoint string, cursor string, next string, rows long, has_more boolean")
     assert chain_problems(df).collect() == [] and in_chain_order(df).collect() == []
