@@ -11,6 +11,7 @@ from tablemint.operators.tree import walk_tree
 from tablemint.plans.build import build_entities
 from tablemint.plans.bundle import InvalidBundle
 from tablemint.plans.catalogue import catalogue_mappings, check_structures, file_notes, file_rows, structure_for
+from tablemint.plans import delivery as delivery_plans
 from tablemint.plans.delivery import (
     PRIMARY_ROOT, circled_against_select, compare_witness, delivery_mappings, fidelity_report, read_delivery, read_witness_a, read_witness_b,
     with_delivery_day, with_take_key,
@@ -104,6 +105,21 @@ def test_deliveries_are_written_compressed_in_bounded_documents(spark, tmp_path,
     assert read.count() == 1000 and read.select(names[0]).distinct().count() == 1000
 
 
+def test_files_are_listed_only_for_the_elements_that_are_read(spark, tmp_path, rows, monkeypatch):
+    for n in range(3):
+        put(tmp_path / "in" / f"n={n}" / "sim.xml", PRIMARY)
+    scanned = []
+
+    def counted(spark, path, row_tag, *args):
+        scanned.append(row_tag)
+        return xml_rows(spark, path, row_tag, *args)
+
+    monkeypatch.setattr(delivery_plans, "xml_rows", counted)
+    read = read_delivery(spark, str(tmp_path / "in"), staged=True, recursive=True)
+    assert rows(read.header, "productionName") == [("Show",)] * 3 and len({r.file_path for r in read.header.collect()}) == 3
+    assert scanned == [PRIMARY_ROOT]
+
+
 def test_scenes_do_not_mix_with_the_scene_tags_of_takes(delivery, rows):
     assert rows(delivery.scenes, "narrativeScene", "heading", "slug", "shootDayCredited", "eighthsCredited") == sorted([
         ("3", "INT. ROOM", None, "1", "4/8"), ("13", "EXT.", None, None, None), ("15", None, None, None, None),
