@@ -291,12 +291,16 @@ def _custom(mapping: Mapping, rows: DataFrame) -> DataFrame | None:
         grouped = rows.groupBy(KEY).agg(*agreed)
         value = lambda c: F.col(f"_{columns.index(c)}").cast("string")
         entries = grouped.select(_as_key(), _entry_values(columns, value).alias("_v"))
+        filled = F.size("_v") > 0
     else:
         lists = [_entry_values(columns, text)] if columns else []
         lists += [_open_entries(mapping, c) for c in maps]
-        entries = rows.select(_as_key(), F.concat(*lists).alias("_v")).distinct()
+        # The size is an aggregate of its own: a filter on the entries themselves would be pushed below
+        # the grouping and down to the source, and every cell be worked out for it many times over.
+        entries = rows.select(_as_key(), F.concat(*lists).alias("_v")).groupBy("key", "_v").agg(F.max(F.size("_v")).alias("_n"))
+        filled = F.col("_n") > 0
     c = mapping.custom
-    return entries.filter(F.size("_v") > 0).select(
+    return entries.filter(filled).select(
         F.lit(mapping.entity_type).alias("entity_type"), "key",
         F.lit(c.domain).alias("domain"), F.lit(c.namespace).cast("string").alias("namespace"),
         F.lit(c.schema).cast("string").alias("schema"), F.map_from_entries("_v").alias("value"),

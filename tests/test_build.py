@@ -234,3 +234,16 @@ def test_rows_in_another_order_are_not_brought_into_a_fixed_number_of_tasks(spar
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and not re.search(r"RepartitionByExpression \[o_custkey#\d+L?\], \d", plan)
     assert [tuple(r) for r in found.collect()] == [(100, 0)]
+
+
+def test_custom_entries_are_worked_out_once(spark, rows):
+    """The filter for empty entries is no second copy of every cell below the grouping."""
+    mapping = Mapping("T", "t", "k", custom=Rest("demo"))
+    table = spark.sql("select * from values ('1', 'a', map('m', 'x')), ('2', null, map('m', '')), ('3', '', null), ('1', 'a', map('m', 'x')) t(k, c, more)")
+    built = build_entities({"t": table.withColumn("c", F.concat("c", F.lit("!")))}, [mapping], "demo")
+    assert sorted((r.key, sorted(r.value.items())) for r in built.custom.collect()) == [
+        ("1", [("c", "a!"), ("k", "1"), ("m", "x")]), ("2", [("k", "2")]), ("3", [("c", "!"), ("k", "3")]),
+    ]
+    held = built.custom._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in held.splitlines() if "Filter" in line and "map_entries" in line]
+    assert filters == []
