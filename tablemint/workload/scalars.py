@@ -215,16 +215,17 @@ LABELS = """case l_orderkey % 5 when 0 then cast(1000 + l_linenumber as {text})
 def fn_labels(t: Tables) -> DataFrame:
     rows = t.lineitem.selectExpr(*[p for p in _split_top(LABELS.format(text="string"))])
     split = rows.select(
-        "*", scene_slate("slate").alias("scene"), wild_track_number("slate").alias("wild_number"), is_wild_track("slate").alias("wild")
+        "*", scene_slate("slate").alias("scene"), wild_track_number("slate").alias("wild_number"), is_wild_track("slate").alias("wild"),
+        take_number("take").alias("number"),
     )
     named = split.select(
         shoot_day_number("day").alias("shoot_day"),
         slate_full_name("slate", "take").alias("full_name"),
         slate_id("slate", "take").alias("slate_take"),
         "scene", "wild_number", "wild",
-        take_number("take").alias("number"),
+        "number",
         take_annotation("take").alias("annotation"),
-        take_key("scene", "wild_number", "camera", "take").alias("key"),
+        take_key("scene", "wild_number", "camera", "take", "number").alias("key"),
     )
     return named.groupBy(*named.columns).agg(F.count("*").alias("n"))
 

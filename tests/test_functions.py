@@ -117,3 +117,18 @@ def test_scalar_functions_stay_in_the_jvm(spark):
         fn.loose_text("s"), fn.as_number("s"), fn.take_key("s", "s", "t", "t"), fn.iso_datetime("s"), fn.split_list("s", ";")
     )._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_numbers_written_in_full_keep_their_spelling(spark):
+    texts = ["0.001", "0.1", "1.1", "-2.5", "1.10", "9999999.5", "12345678.25", "0.0009", "3.0", "0.30000000000000004", "1e22", "1.5e-7"]
+    df = spark.createDataFrame([(t, float(t)) for t in texts], "t string, n double")
+    wanted = ["0.001", "0.1", "1.1", "-2.5", "1.1", "9999999.5", "12345678.25", "0.0009", "3", "0.30000000000000004", "1e+22", "1.5e-7"]
+    assert [r[0] for r in df.select(fn.number_text(F.col("n"))).collect()] == wanted
+
+
+def test_a_number_held_already_is_not_read_again(spark):
+    df = spark.sql("select * from values ('1', '06.10 PU'), ('2', 'PU'), (null, '3'), ('4', null) t(slate, take)")
+    held = df.withColumn("n", fn.take_number("take"))
+    none = F.lit(None).cast("string")
+    twice = fn.take_key("slate", none, none, "take"), fn.take_key("slate", none, none, "take", "n")
+    assert [r[0] for r in held.select(twice[0]).collect()] == [r[0] for r in held.select(twice[1]).collect()] == ["1||6.1", "2||PU", "null||3", "4||"]
