@@ -24,8 +24,11 @@ def page_lines(runs: DataFrame) -> DataFrame:
     """
     spoken = runs.filter(has_text("text"))
     baseline = F.floor(F.col("y") + 0.5).cast("bigint")
-    joined = spoken.groupBy("doc", "page", baseline.alias("y")).agg(
-        F.array_sort(F.collect_list(F.struct("x", "text"))).alias("_runs")
+    # Runs are moved before they are gathered: gathering in the partitions they are read in would sort
+    # those, however large they are, and spill them to disk; moved, the number of partitions follows the size.
+    placed = spoken.select("doc", "page", baseline.alias("y"), "x", "text").repartition("doc", "page", "y")
+    joined = placed.groupBy("doc", "page", "y").agg(
+        F.sort_array(F.collect_list(F.struct("x", "text"))).alias("_runs")
     )
     text = F.array_join(F.transform("_runs", lambda r: r["text"]), " ")
     line = trimmed(F.regexp_replace(text, f"{SPACE}+", " "))

@@ -252,3 +252,12 @@ def test_deep_chains_and_cycles_end(spark):
     ).withColumn("head_version", F.lit(None).cast("string"))
     walk = walk_tree(nodes, spark.createDataFrame([("root",)], "id string"))
     assert walk.files.count() == 40 and walk.too_deep.count() == 0
+
+
+def test_runs_are_moved_before_they_are_gathered(spark):
+    """No task gathers the partition it reads, whose size nothing bounds."""
+    runs = spark.createDataFrame([("d", 1, 2.0, 10.0, "b"), ("d", 1, 1.0, 10.2, "a"), ("d", 1, None, 10.4, "n")], "doc string, page int, x double, y double, text string")
+    lines = page_lines(runs)
+    assert [r.line for r in lines.collect()] == ["n a b"]
+    plan = page_lines(runs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")
