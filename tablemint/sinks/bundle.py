@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -136,10 +137,10 @@ def nested_records(
     entity = ["entity_type", "key"]
     record = [*entity, "_chunk"]
     sizes = facts.groupBy(*entity).agg(F.ceil(F.count("*") / per_record).cast("int").alias("_chunks"))
-    # Equal facts hash to one chunk, where collecting a set drops the repeats.  All groupings
-    # below refine entity and chunk, so this one exchange serves them all.
+    # Sizes are one narrow row per entity, so hashing them spares a sort of all facts.
+    # Equal facts hash to one chunk, where collecting a set drops the repeats.
     spread = (
-        facts.join(sizes, entity)
+        facts.join(sizes.hint("shuffle_hash"), entity)
         .withColumn("_chunk", F.pmod(F.xxhash64("json", "sub"), F.col("_chunks")).cast("int"))
         .repartition(*record)
     )
@@ -150,34 +151,38 @@ def nested_records(
     def joined(members: Column) -> Column:
         return F.array_join(F.array_sort(members), ",")
 
-    listed = spread.groupBy(*record, "slot", "sub").agg(joined(F.collect_set("json")).alias("_members"))
-    # Predicates, types and slots of an entity come from the mappings, so these lists are short.
-    types = listed.groupBy(*record, "slot", F.col("sub.edge_key").alias("edge_key")).agg(
-        joined(
-            F.collect_list(
-                F.when(
-                    F.col("sub.to_type").isNotNull(), named(F.col("sub.to_type"), F.concat(F.lit("["), "_members", F.lit("]")))
-                ).otherwise(F.col("_members"))
-            )
-        ).alias("_members")
-    )
-    slots = types.groupBy(*record, "slot").agg(
-        joined(
-            F.collect_list(
-                F.when(
-                    F.col("edge_key").isNotNull(), named(F.col("edge_key"), F.concat(F.lit("{"), "_members", F.lit("}")))
-                ).otherwise(F.col("_members"))
-            )
-        ).alias("_members")
-    )
-    members, slot = F.col("_members"), F.col("slot")
-    part = (
-        F.when(slot == "", F.nullif(members, F.lit("")))
-        .when(slot == "edges", named(slot, F.concat(F.lit("{"), members, F.lit("}"))))
-        .when(slot != "identifier", named(slot, F.concat(F.lit("["), members, F.lit("]"))))
-    )
-    records = slots.groupBy(*record).agg(
-        joined(F.collect_list(part)).alias("_parts"), F.max(F.when(slot == "identifier", members)).alias("_others")
+    # A record's facts are few by the reader's own figure, so one grouping holds them; predicates, types
+    # and slots come from the mappings, so the lists that are looked through below are short.
+    fact = F.struct("slot", F.col("sub.edge_key").alias("edge_key"), F.col("sub.to_type").alias("to_type"), "json")
+    collected = spread.groupBy(*record).agg(F.collect_set(fact).alias("_facts"))
+
+    def each(facts: Column, name: str, use: Callable[[Column, Column], Column]) -> Column:
+        """``use`` of every value under a name, with the facts that have it."""
+        values = F.array_distinct(F.transform(facts, lambda f: f[name]))
+        return F.transform(values, lambda v: use(v, F.filter(facts, lambda f: f[name].eqNullSafe(v))))
+
+    def of_type(to_type: Column, facts: Column) -> Column:
+        members = joined(F.transform(facts, lambda f: f["json"]))
+        return F.when(to_type.isNotNull(), named(to_type, F.concat(F.lit("["), members, F.lit("]")))).otherwise(members)
+
+    def of_edge(edge_key: Column, facts: Column) -> Column:
+        members = joined(each(facts, "to_type", of_type))
+        return F.when(edge_key.isNotNull(), named(edge_key, F.concat(F.lit("{"), members, F.lit("}")))).otherwise(members)
+
+    def of_slot(slot: Column, facts: Column) -> Column:
+        return F.struct(slot.alias("slot"), joined(each(facts, "edge_key", of_edge)).alias("members"))
+
+    def part(s: Column) -> Column:
+        return (
+            F.when(s["slot"] == "", F.nullif(s["members"], F.lit("")))
+            .when(s["slot"] == "edges", named(s["slot"], F.concat(F.lit("{"), s["members"], F.lit("}"))))
+            .when(s["slot"] != "identifier", named(s["slot"], F.concat(F.lit("["), s["members"], F.lit("]"))))
+        )
+
+    slots = collected.select(*record, each(F.col("_facts"), "slot", of_slot).alias("_slots"))
+    others = F.filter("_slots", lambda s: s["slot"] == "identifier")
+    records = slots.select(
+        *record, joined(F.transform("_slots", part)).alias("_parts"), F.get(others, F.lit(0))["members"].alias("_others")
     )
     own = F.to_json(_reference(F.lit(scope), entity_id(F.col("entity_type"), "key", built.namespace)))
     text = F.concat(

@@ -382,3 +382,9 @@ def test_signature_after_a_long_comment(spark):
     text = "<!-- " + "licence " * 1000 + "-->\n<Root >"
     df = opening_signature(spark.createDataFrame([(text,)], "content string"), "content")
     assert df.first()["xml_root"] == "Root"
+
+
+def test_facts_of_a_record_are_gathered_once(small):
+    """One grouping lists a record's facts; slots, predicates and types are told apart inside of it."""
+    plan = nested_records(small, "v3", per_record=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set(") == 1 and "collect_list(" not in plan
