@@ -10,6 +10,7 @@ of steps says the same where a name holds a dot or a bracket: ``("customData", "
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -56,8 +57,12 @@ def _elements(value: Column) -> Column:
 
 def _quoted(text: Column) -> Column:
     """A string as JSON spells it."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 # --- canonical form -------------------------------------------------------------------
@@ -137,6 +142,85 @@ def _text(value: Column, tree: dict) -> Column:
     return F.coalesce(*forms, F.to_json(value)) if forms else F.to_json(value)
 
 
+def without_paths(value: Column, kind: T.DataType, drop: dict) -> tuple[Column, T.DataType] | None:
+    """A column less what stands at a tree of paths, before it becomes a record.
+
+    None where only the record tells what a path meets: inside of a VARIANT, under keys that are no text
+    and among fields whose names differ in case only.
+    """
+    if not drop or isinstance(kind, T.AtomicType | T.NullType) and not isinstance(kind, T.VariantType):
+        return value, kind
+    if isinstance(kind, T.ArrayType):
+        if ELEMENT not in drop:
+            return value, kind
+        if drop[ELEMENT] is None:
+            return F.when(value.isNotNull(), F.array().cast("array<string>")), T.ArrayType(T.StringType())
+        inner = without_paths(F.lit(None), kind.elementType, drop[ELEMENT])
+        if inner is None:
+            return None
+        return F.transform(value, lambda e: without_paths(e, kind.elementType, drop[ELEMENT])[0]), T.ArrayType(inner[1])
+    if isinstance(kind, T.StructType):
+        if len({f.name.lower() for f in kind.fields}) < len(kind.fields):
+            return None
+        fields = []
+        for f in kind.fields:
+            below = _below(drop, f.name)
+            if below is None:
+                continue
+            inner = without_paths(value[f.name], f.dataType, below)
+            if inner is None:
+                return None
+            fields.append((f.name, *inner))
+        if not fields:
+            nothing = T.MapType(T.StringType(), T.StringType())
+            return F.when(value.isNotNull(), F.create_map().cast(nothing)), nothing
+        left = F.when(value.isNotNull(), F.struct(*[c.alias(name) for name, c, _ in fields]))
+        return left, T.StructType([T.StructField(name, t) for name, _, t in fields])
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        names = [n for n in drop if n not in (ELEMENT, ANY)]
+        if ANY in drop and drop[ANY] is None:
+            return F.when(value.isNotNull(), F.create_map().cast(kind)), kind
+        gone = [n for n in names if _below(drop, n) is None]
+        kept = F.map_filter(value, lambda k, v: ~k.isin(*gone)) if gone else value
+        below = {n: _below(drop, n) for n in names if n not in gone}
+        if not below and not drop.get(ANY):
+            return kept, kind
+        if any(without_paths(F.lit(None), kind.valueType, d) is None for d in (*below.values(), drop.get(ANY) or {})):
+            return None
+        forms = {n: without_paths(F.lit(None), kind.valueType, d)[1] for n, d in (*below.items(), (ANY, drop.get(ANY) or {}))}
+        # Values under different names must keep one type, which they do unless some lose fields.
+        if len({t.json() for t in forms.values()}) > 1:
+            return None
+
+        def trimmed(k: Column, v: Column) -> Column:
+            chosen = without_paths(v, kind.valueType, drop.get(ANY) or {})[0]
+            for name, d in below.items():
+                chosen = F.when(k == name, without_paths(v, kind.valueType, d)[0]).otherwise(chosen)
+            return chosen
+
+        return F.transform_values(kept, trimmed), T.MapType(kind.keyType, forms[ANY])
+    return None
+
+
+def _below(tree: dict, name: str) -> dict | None:
+    """What is dropped below a member of this name; None when the member itself is."""
+    return _under(tree, name) if name in tree else tree.get(ANY, {})
+
+
+def records_without(df: DataFrame, columns: list[str], drop: list[Path]) -> Column | None:
+    """``record_of`` the columns less what stands at ``drop``, where the columns' types tell; else None."""
+    tree, left = _dropping([path_steps(p) for p in drop]), []
+    for c in columns:
+        below = _below(tree, c)
+        if below is None:
+            continue
+        inner = without_paths(F.col(f"`{c}`"), df.schema[c].dataType, below)
+        if inner is None:
+            return None
+        left.append(inner[0].alias(c))
+    return F.parse_json(F.to_json(F.struct(*left))) if left else None
+
+
 # --- rules ----------------------------------------------------------------------------
 
 
@@ -192,31 +276,42 @@ def _is_null(value: Column) -> Column:
 
 
 def _kind_of(value: Column) -> Column:
+    """The kind of a value; members and elements are not copied to find it."""
     return (
-        F.when(_members(value).isNotNull(), "object")
-        .when(_elements(value).isNotNull(), "array")
-        .when(F.schema_of_variant(value) == "STRING", "string")
-        .when(F.schema_of_variant(value) == "BOOLEAN", "boolean")
-        .otherwise("number")
+        F.when(value.try_cast(T.StructType()).isNotNull(), "object")
+        .when(value.try_cast(T.ArrayType(T.StructType())).isNotNull(), "array")
+        .otherwise(
+            _bound(
+                F.schema_of_variant(value),
+                lambda s: F.when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").otherwise("number"),
+            )
+        )
     )
 
 
-def _own_faults(rule: PathRule, value: Column, path: Column) -> list[Column]:
+def _own_faults(rule: PathRule, value: Column, members: Column, elements: Column, path: Column) -> list[Column]:
     there, text = ~_is_null(value), F.coalesce(value.try_cast("string"), F.to_json(value))
     found = []
     if rule.required:
         found.append(_fault(_is_null(value) | F.coalesce(text == "", F.lit(False)), path, "a value is required"))
     if rule.kind is not None:
-        kind = _kind_of(value)
-        found.append(_fault(there & (kind != rule.kind), path, F.concat(F.lit(f"{rule.kind} expected, "), kind, F.lit(" found"))))
+        found.append(
+            _bound(
+                F.when(there, _kind_of(value)),
+                lambda kind: _fault(
+                    kind != rule.kind, path, F.concat(F.lit(f"{rule.kind} expected, "), kind, F.lit(" found"))
+                ),
+            )
+        )
     if rule.allowed is not None:
         found.append(_fault(there & ~text.isin(*rule.allowed), path, "not among the allowed values"))
     if rule.pattern is not None:
         found.append(_fault(there & ~text.rlike(rule.pattern), path, "not in the expected form"))
     if rule.least:
-        found.append(_fault(F.size(_elements(value)) < rule.least, path, f"at least {rule.least} expected"))
+        found.append(_fault(F.size(elements) < rule.least, path, f"at least {rule.least} expected"))
     if rule.only is not None:
-        extra = F.array_except(F.map_keys(_members(value)), F.array(*map(F.lit, rule.only)).cast("array<string>"))
+        extra = F.map_keys(members)
+        extra = F.filter(extra, lambda k: ~k.isin(*rule.only)) if rule.only else extra
         listed = F.transform(extra, lambda k: F.struct(_child(path, k).alias("path"), F.lit("not expected here").alias("error")))
         found.append(F.coalesce(listed, F.array().cast("array<struct<path:string,error:string>>")))
     return found
@@ -226,21 +321,60 @@ def _child(path: Column, name: Column) -> Column:
     return F.concat(path, F.lit("/"), name)
 
 
-def _faults(node: _Node, value: Column, path: Column) -> Column:
-    found = [fault for rule in node.rules for fault in _own_faults(rule, value, path)]
+def _members_type(node: _Node) -> T.DataType | None:
+    """What an object is taken apart as: the members that rules name, or all where they read every name."""
+    names = [n for n in node.below if n != ELEMENT]
+    alike = len({n.lower() for n in names}) < len(names)
+    if names == [ANY]:
+        return T.MapType(T.StringType(), _type_of(node.below[ANY]))
+    if ANY in names or alike or any(r.only is not None for r in node.rules):
+        return T.MapType(T.StringType(), T.VariantType())
+    return T.StructType([T.StructField(n, _type_of(node.below[n])) for n in names]) if names else None
+
+
+def _elements_type(node: _Node) -> T.DataType | None:
+    if ELEMENT in node.below:
+        return T.ArrayType(_type_of(node.below[ELEMENT]))
+    return T.ArrayType(T.StructType()) if any(r.least for r in node.rules) else None
+
+
+def _type_of(node: _Node) -> T.DataType:
+    """What a value is cast to: its parts where rules read nothing else, which copies no more than those."""
+    own = any(r.required or r.kind or r.allowed is not None or r.pattern is not None or r.least for r in node.rules)
+    members, elements = _members_type(node), _elements_type(node)
+    return T.VariantType() if own or (members is None) == (elements is None) else members or elements
+
+
+def _faults(node: _Node, value: Column, path: Column, kind: T.DataType) -> Column:
+    """Failures of a value of a type and of what is below it; its parts are taken out once."""
+    if not isinstance(kind, T.VariantType):
+        return _all_faults(node, value, value, value, path)
+    parts = {"m": _members_type(node), "e": _elements_type(node)}
+    taken = [value.try_cast(t).alias(name) for name, t in parts.items() if t is not None]
+    if not taken:
+        return _all_faults(node, value, F.lit(None), F.lit(None), path)
+    part = lambda t, name: t[name] if parts[name] is not None else F.lit(None)
+    return _bound(F.struct(*taken), lambda t: _all_faults(node, value, part(t, "m"), part(t, "e"), path))
+
+
+def _all_faults(node: _Node, value: Column, members: Column, elements: Column, path: Column) -> Column:
+    found = [fault for rule in node.rules for fault in _own_faults(rule, value, members, elements, path)]
     empty = F.array().cast("array<struct<path:string,error:string>>")
-    members = _members(value)
+    of_members = _members_type(node)
     for name, below in node.below.items():
         if name == ELEMENT:
-            inner = F.transform(_elements(value), lambda e, i: _faults(below, e, _child(path, i.cast("string"))))
+            kind = _type_of(below)
+            inner = F.transform(elements, lambda e, i: _faults(below, e, _child(path, i.cast("string")), kind))
             found.append(F.coalesce(F.flatten(inner), empty))
         elif name == ANY:
-            inner = F.transform(F.map_entries(members), lambda e: _faults(below, e["value"], _child(path, e["key"])))
+            entries = F.map_entries(members)
+            inner = F.transform(entries, lambda e: _faults(below, e["value"], _child(path, e["key"]), of_members.valueType))
             found.append(F.coalesce(F.flatten(inner), empty))
         else:
-            inner = _faults(below, members[name], _child(path, F.lit(name)))
+            kind = of_members[name].dataType if isinstance(of_members, T.StructType) else of_members.valueType
+            inner = _bound(members[name], lambda v: _faults(below, v, _child(path, F.lit(name)), kind))
             found.append(F.when(members.isNotNull(), inner).otherwise(empty))
-    return F.concat(*found) if found else empty
+    return (F.flatten(F.array(*found)) if len(found) > 1 else found[0]) if found else empty
 
 
 def record_faults(value: Column, rules: list[PathRule]) -> Column:
@@ -248,7 +382,7 @@ def record_faults(value: Column, rules: list[PathRule]) -> Column:
     root = _Node()
     for rule in rules:
         root.at(path_steps(rule.path) if rule.path else ()).rules.append(rule)
-    return _faults(root, value, F.lit(""))
+    return _faults(root, value, F.lit(""), T.VariantType())
 
 
 def validate_records(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import compare_value
 from ..session import stage
 from .fingerprints import BUCKETS, differing_buckets, rows_of_buckets
-from .nested import Path, canonical_text, is_nested, path_steps, record_of
+from .nested import Path, canonical_text, is_nested, path_steps, record_of, records_without
 from .order import ORDER, last_wins, top_sample
 
 
@@ -179,8 +179,17 @@ def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], ignore:
     dropped = {p[0] for p in paths if len(p) == 1}
     inside = [p for p in paths if len(p) > 1]
 
+    def compared(df: DataFrame) -> list[str]:
+        return sorted(c for c in df.columns if c not in keys and c not in dropped)
+
+    # What the types of both sides tell is left out before records are made; one form for both.
+    trimmed = [records_without(df, compared(df), inside) if inside else None for df in (expected, actual)]
+    early = dict(zip("ea", trimmed, strict=True)) if all(r is not None for r in trimmed) else {}
+
     def canonical(df: DataFrame, name: str) -> DataFrame:
-        columns = sorted(c for c in df.columns if c not in keys and c not in dropped)
+        columns = compared(df)
+        if early:
+            return df.select(*keys, canonical_text(early[name[1:]]).alias(name))
         if inside or any(is_nested(df.schema[c].dataType) for c in columns):
             return df.select(*keys, canonical_text(record_of(columns), inside).alias(name))
         return df.select(*keys, F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias(name))

@@ -39,7 +39,7 @@ def _order_records(t: Tables, backwards: bool) -> DataFrame:
     key = F.col("l_orderkey")
     shift = F.lit(1 if backwards else 0)
     order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(order)).alias("lines"))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(order)).alias("lines"))
 
     def custom(line: Column) -> Column:
         value = _text_map(
@@ -112,7 +112,7 @@ def _record_texts(t: Tables) -> DataFrame:
     """Orders as JSON records with texts, custom data and references, some of them faulty."""
     key = F.col("l_orderkey")
     order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(order)).alias("lines"))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(order)).alias("lines"))
     note = lambda x: F.struct(
         F.lit("line").alias("author"),
         x["l_linestatus"].alias("title"),

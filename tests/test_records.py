@@ -388,3 +388,25 @@ def test_dense_order_numbers_rows_of_files(spark, tmp_path, rows):
     thinned = dense_order(read.filter("n % 3 = 0"))
     assert [int(r["n"]) for r in thinned.orderBy(ORDER).collect()] == [i for i in got if i % 3 == 0]
     assert rows(dense_order(read.limit(0))) == []
+
+
+def test_members_are_taken_out_of_a_record_once(spark):
+    """Each copy of an object's members costs as much as the object, so rules share one."""
+    rules = {"T": [PathRule("a[].b", required=True, kind="string", allowed=("x",), pattern="x"), PathRule("c.d.e", required=True, kind="number")]}
+    df = spark.createDataFrame([("T", "1", "{}")], "kind string, id string, body string")
+    plan = validate_records(df, rules, "kind", "id", "body")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map<string,variant>" not in plan
+
+
+def test_paths_are_left_out_before_records_are_made(spark, rows):
+    schema = "k int, a struct<b:int,c:struct<d:string>>, m map<string,struct<p:int,q:int>>, l array<map<string,int>>"
+    one = spark.createDataFrame([(1, (1, ("x",)), {"u": (1, 2), "v": None}, [{"p": 1, "q": 2}, None]), (2, None, None, None)], schema)
+    two = spark.createDataFrame([(1, (1, ("y",)), {"v": None, "u": (7, 2)}, [{"q": 2, "p": 5}, None]), (2, None, None, None)], schema)
+    paths = ("a.c.d", "m.*.p", "l[].p")
+    assert rows(golden_diff(one, two, ["k"], paths)) == []
+    assert "variant>" not in golden_diff(one, two, ["k"], paths)._jdf.queryExecution().optimizedPlan().toString()
+    for left in range(3):
+        assert rows(golden_diff(one, two, ["k"], paths[:left] + paths[left + 1 :])) == [(1, "differing")]
+    # What a path empties stays as an empty object, and differs from an absent one.
+    none = two.withColumn("a", F.expr("named_struct('b', a.b, 'c', cast(null as struct<d:string>))"))
+    assert rows(golden_diff(one, none, ["k"], paths)) == [(1, "differing"), (2, "differing")]
