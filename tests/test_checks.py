@@ -9,7 +9,8 @@ from tablemint.operators.quality import (
     EntityRule, Role, check_manifest, duplicate_members, exactly_one, fallback_day, is_copied, leaked_fields,
     page_completeness, require_rows, sentinel_tally, shared_identifiers, unexpected_columns, validate_entities,
 )
-from tablemint.operators.reconcile import Field, Reconciliation, cross_tab, golden_diff, run_difference
+from tablemint.operators import reconcile
+from tablemint.operators.reconcile import Field, Reconciliation, Witness, cross_tab, golden_diff, reconcile_witnesses, run_difference
 from tablemint.operators.rules import assign_role, check_patterns, classify
 from tablemint.plans.delivery import signature_rules
 
@@ -45,6 +46,56 @@ def test_one_sided_values_do_not_fail_the_verdict(spark, rows):
     assert rows(absent) == [(0, 1, 0, 0, 0, "NOT DELIVERED")]
 
 
+def test_equal_texts_are_not_normalized(spark, rows):
+    def normal(value):
+        return F.when(value == "same", F.raise_error(F.lit("normalized"))).otherwise(F.lower(value))
+
+    left = spark.createDataFrame([("a", "same", "X"), ("b", "A", "y"), ("c", None, "")], "k string, v string, w string")
+    right = spark.createDataFrame([("a", "same", "x"), ("b", "B", "y"), ("c", "", "z")], "k string, v string, w string")
+    r = Reconciliation(left, right, ["k"], [Field("v", "v", "v", normal), Field("w", "w", "w", normal)])
+    assert rows(r.differences()) == [("b", "v", "A", "B", "mismatch"), ("c", "w", "", "z", "one_sided")]
+    assert "filter(" not in r.differences()._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_normal_form_that_is_null_is_one_sided(spark, rows):
+    number = lambda value: F.when(value.rlike("^[0-9]+$"), value)
+    left = spark.createDataFrame([("a", "1"), ("b", "x"), ("c", "x"), ("d", "x")], "k string, v string")
+    right = spark.createDataFrame([("a", "y"), ("b", "y"), ("c", None), ("d", "2")], "k string, v string")
+    r = Reconciliation(left, right, ["k"], [Field("v", "v", "v", number)])
+    assert rows(r.differences(), "k", "difference") == [("a", "one_sided"), ("d", "one_sided")]
+
+
+def test_witnesses_are_compared_in_one_grouping_as_each_by_itself(spark, rows, monkeypatch):
+    row = "day string, k string, v string, label string, _ord int"
+    # Keys repeat, are null in part, or are held by one side only.
+    left = spark.createDataFrame(
+        [("1", "a", "x", "old", 1), ("1", "a", "y", "new", 2), ("1", None, "n", "n", 3), ("1", "b", "x", None, 4), ("1", "c", " Z", "z", 5), ("2", "c", "w", "z", 6)], row
+    )
+    one = spark.createDataFrame([("1", "a", "y", 1), ("1", None, "n", 2), ("1", "d", "x", 3), ("1", "c", "z", 4)], "day string, k string, v string, _ord int")
+    two = spark.createDataFrame([("1", "a", "x", 9), ("1", "a", "q", 8), ("2", "c", None, 7)], "day string, k string, w string, _ord int")
+    none = two.filter("false").drop("_ord")
+    keys = ["day", "k"]
+    witnesses = {
+        "one": Witness(one, [Field("v", "v", "v", loose_text)]),
+        "two": Witness(two, [Field("v", "v", "w"), Field("label", "label", None)]),
+        "none": Witness(none, [Field("v", "v", "w")], delivered=False),
+    }
+    stored = []
+    write = reconcile.stage
+    monkeypatch.setattr(reconcile, "stage", lambda df, name: stored.append(df) or write(df, name))
+    compared, last = reconcile_witnesses(left, witnesses, keys, ("label",))
+    assert len(stored) == 1
+    plan = stored[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_max_by" in plan and "Join" not in plan
+    for name, w in witnesses.items():
+        alone = Reconciliation(left, w.rows, keys, w.fields, w.delivered)
+        for figure in ("summary", "by_field", "differences", "only_left", "only_right", "matched"):
+            assert rows(getattr(compared[name], figure)()) == rows(getattr(alone, figure)()), (name, figure)
+    assert rows(last) == sorted([("1", "a", "new"), ("1", None, "n"), ("1", "b", None), ("1", "c", "z"), ("2", "c", "z")], key=repr)
+    flags = one.withColumnRenamed("v", "flag")
+    assert rows(cross_tab(last, flags, keys, "flag", "label", unique=True)) == rows(cross_tab(left, flags, keys, "flag", "label"))
+
+
 def test_cross_tab_counts_every_witness_row(spark, rows):
     reference = with_order(spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", None)], "n int, k string, label string"), "n")
     witness = spark.createDataFrame([("a", "Y"), ("a", "Y"), ("b", None), ("z", "Y")], "k string, flag string")

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tablemint import session
 from tablemint.operators.quality import EntityRule
 from tablemint.operators.tree import walk_tree
 from tablemint.plans.build import build_entities
@@ -151,6 +152,23 @@ def test_staged_delivery_is_the_same(spark, tmp_path, delivery, rows):
         assert rows(df.drop("_ord")) == rows(delivery.tables()[name].drop("_ord"))
 
 
+def test_staging_splits_methods_too_long_to_compile(spark, tmp_path, monkeypatch):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    seen = []
+    df = spark.range(3)
+    write = type(df).write
+    monkeypatch.setattr(type(df), "write", property(lambda self: seen.append(spark.conf.get(limit)) or write.fget(self)))
+    given = spark.conf.get(limit)
+    assert session.stage(df, "small").count() == 3
+    assert int(seen[0]) <= 8000 and spark.conf.get(limit) == given
+    spark.conf.set(limit, "4000")
+    try:
+        session.stage(df, "smaller")
+    finally:
+        spark.conf.set(limit, given)
+    assert seen[1] == "4000"
+
+
 def test_witnesses(spark, tmp_path, delivery, rows):
     primary = with_take_key(delivery.takes)
     a = with_take_key(read_witness_a(spark, put(tmp_path / "a.xml", WITNESS_A)))

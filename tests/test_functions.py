@@ -132,3 +132,25 @@ def test_a_number_held_already_is_not_read_again(spark):
     none = F.lit(None).cast("string")
     twice = fn.take_key("slate", none, none, "take"), fn.take_key("slate", none, none, "take", "n")
     assert [r[0] for r in held.select(twice[0]).collect()] == [r[0] for r in held.select(twice[1]).collect()] == ["1||6.1", "2||PU", "null||3", "4||"]
+
+
+def test_short_labels_are_spelled_as_their_numbers(spark):
+    labels = [
+        "0", "00", "1", "01", "10", "1.0", "1.10", "0.5", "00.5", "0.10", "0.000001", "0.0000001", "123456789012", "1234567890123",
+        "123456789012.05", "12345678.123456", "12345678.120000", "99999999.999999", "1" * 30, "9" * 400, "6.1 PU", "06.10 PU", "5\n", "5\nPU", " 5", "5.", "5.5.5", "PU", "", None,
+    ]
+    df = spark.createDataFrame([(v,) for v in labels], "v string")
+    none = F.lit(None).cast("string")
+    by_text = fn.take_key(F.lit("s"), none, F.lit("A"), "v")
+    by_number = fn.take_key(F.lit("s"), none, F.lit("A"), "v", number=fn.take_number("v"))
+    assert df.filter(~by_text.eqNullSafe(by_number)).count() == 0
+    # A label that is its own spelling is never made a double.
+    spelled = df.filter("v in ('0', '1', '10', '0.5', '12345678.123456')")
+    assert spelled.filter(by_text == F.concat(F.lit("s|A|"), "v")).count() == 5
+    plain = spelled.filter(fn.as_number("v") == F.col("v"))
+    assert plain.count() == 5
+
+
+def test_plain_text_only_loses_its_case(spark):
+    values = ["A b", " A", "A ", "A  b", "A\tb", "É", "A\n", "", "a", "It’s", f"A{NBSP}", "A b C"]
+    assert apply(spark, fn.loose_text, values) == ["a b", "a", "a", "a b", "a b", "é", "a", "", "a", "it's", "a", "a b c"]
