@@ -152,6 +152,29 @@ def test_staged_delivery_is_the_same(spark, tmp_path, delivery, rows):
         assert rows(df.drop("_ord")) == rows(delivery.tables()[name].drop("_ord"))
 
 
+def _reads(df) -> str:
+    """The files that a plan reads."""
+    return " ".join(df.inputFiles())
+
+
+def test_notes_of_a_staged_delivery_pass_over_the_takes_once(spark, tmp_path, delivery, rows, monkeypatch):
+    kept = []
+    write = delivery_plans.stage
+    monkeypatch.setattr(delivery_plans, "stage", lambda df, name: kept.append((name, df)) or write(df, name))
+    staged = read_delivery(spark, put(tmp_path / "sim.xml", PRIMARY), staged=True)
+    notes = staged.notes()
+    assert rows(notes) == rows(delivery.notes())
+    # All that is asked of the takes' columns is one row, and what is left to read holds no take.
+    over_takes = [name for name, df in kept if "/shots-" in _reads(df)]
+    assert sorted(over_takes) == ["context", "duplicates", "findings"] and "/shots-" not in _reads(notes)
+
+
+def test_the_context_of_a_staged_delivery_is_found_once(spark, tmp_path, monkeypatch):
+    staged = read_delivery(spark, put(tmp_path / "sim.xml", PRIMARY), staged=True)
+    assert all("/context-" in _reads(df) for df in staged.tables().values())
+    assert "/shots-" not in _reads(staged.tables()["narrativeScenes"])
+
+
 def test_staging_splits_methods_too_long_to_compile(spark, tmp_path, monkeypatch):
     limit = "spark.sql.codegen.hugeMethodLimit"
     seen = []
