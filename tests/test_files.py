@@ -175,6 +175,19 @@ def test_the_context_of_a_staged_delivery_is_found_once(spark, tmp_path, monkeyp
     assert "/shots-" not in _reads(staged.tables()["narrativeScenes"])
 
 
+def test_stored_edges_hold_keys_only(spark, delivery, rows, monkeypatch):
+    from tablemint.plans import build
+
+    columns = {}
+    write = build.stage
+    monkeypatch.setattr(build, "stage", lambda df, name: columns.update({name: df.columns}) or write(df, name))
+    built = build_entities(delivery.tables(), [m for m in delivery_mappings() if m.table != "assets"], "Show")
+    stored = built.stored("keys", "edges")
+    assert not {"from_id", "to_id"} & set(columns["edges"])
+    assert stored.edges.columns == built.edges.columns and rows(stored.edges) == rows(built.edges)
+    assert rows(stored.unresolved) == rows(built.unresolved)
+
+
 def test_staging_splits_methods_too_long_to_compile(spark, tmp_path, monkeypatch):
     limit = "spark.sql.codegen.hugeMethodLimit"
     seen = []
