@@ -188,6 +188,23 @@ def test_stored_edges_hold_keys_only(spark, delivery, rows, monkeypatch):
     assert rows(stored.unresolved) == rows(built.unresolved)
 
 
+def test_a_report_parses_the_camera_log_once(spark, tmp_path, delivery, rows, monkeypatch):
+    kept = []
+    write = delivery_plans.stage
+    monkeypatch.setattr(delivery_plans, "stage", lambda df, name: kept.append(name) or write(df, name))
+    a = with_take_key(read_witness_a(spark, put(tmp_path / "a.xml", WITNESS_A)))
+    b = with_take_key(read_witness_b(spark, put(tmp_path / "b.csv", WITNESS_B)))
+    report = fidelity_report(with_take_key(delivery.takes), {"a": a, "b": b})
+    assert kept == ["witness-b"] and "b.csv" not in _reads(report)
+    assert rows(report.filter("section = 'circled'"), "name", "value") == [("(blank) / (blank)", 1), ("N / (blank)", 1), ("Y / Hold", 2)]
+    assert rows(report.filter("section like 'keys %' and name in ('matched', 'only_left', 'only_right')"), "section", "name", "value") == [
+        ("keys a", "matched", 1), ("keys a", "only_left", 2), ("keys a", "only_right", 1),
+        ("keys b", "matched", 3), ("keys b", "only_left", 0), ("keys b", "only_right", 0),
+    ]
+    late = fidelity_report(with_take_key(delivery.takes), {"a": None})
+    assert rows(late.filter("section = 'verdict a'"), "name") == [("NOT DELIVERED",)]
+
+
 def test_staging_splits_methods_too_long_to_compile(spark, tmp_path, monkeypatch):
     limit = "spark.sql.codegen.hugeMethodLimit"
     seen = []
